@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siftline.llm import byte_bpe, jump_hash, matroska, simhash, source_mixing
+from siftline.llm import byte_bpe, importance_resampling, jump_hash, matroska, simhash, source_mixing, toxicity
 
 #: The vocabulary of the byte-level BPE query.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -32,6 +33,17 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN)
 
 
+def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    picked = importance_resampling.select(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return picked.select(F.col("id").alias("doc_id"), "log_weight", F.col("key").alias("gumbel_key"), F.col("selected").alias("keep"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity.train(docs, labels), locate=True)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", F.size("offending").cast("long").alias("n_offending"))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -44,6 +56,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_matroska": op3_matroska,
     "op4_jump_hash": op4_jump_hash,
     "op5_byte_bpe": op5_byte_bpe,
+    "op7_importance_resampling": op7_importance_resampling,
+    "op8_toxicity": op8_toxicity,
     "op9_source_mixing": op9_source_mixing,
     "op10_simhash": op10_simhash,
 }

@@ -30,6 +30,13 @@ class Words(NamedTuple):
     data: np.ndarray
     doc_start: np.ndarray
     doc_end: np.ndarray
+    sums: np.ndarray
+    inverse: np.ndarray
+
+    def prefix_hashes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(is the word longer than ``n`` bytes, hash of its first ``n`` bytes), the latter of use only where so."""
+        to = np.minimum(self.start + n, self.end)
+        return self.end - self.start > n, mix((self.sums[to] - self.sums[self.start]) * self.inverse[self.start] + np.uint64(n))
 
 
 _powers: dict[str, np.ndarray] = {}
@@ -67,14 +74,15 @@ def string_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)), at
 
 
-def word_batches(texts: pa.Array, separators: bytes = WHITE, chunk_bytes: int = 1 << 21) -> Iterator[tuple[int, int, Words]]:
+def word_batches(texts: pa.Array, separators: bytes = WHITE, chunk_bytes: int = 1 << 21, marks: bytes = b"") -> Iterator[tuple[int, int, Words]]:
     """(first row, row after the last, words) of runs of whole texts of about ``chunk_bytes`` together.
 
-    Memory follows the chunk or the longest single text, not the batch.
+    Runs of ``marks`` are words of their own. Memory follows the chunk or the longest single text, not the batch.
     """
     data, at = string_buffers(texts)
-    plain = np.ones(256, bool)
-    plain[list(separators)] = False
+    kind = np.ones(256, np.uint8)
+    kind[list(marks)] = 2
+    kind[list(separators)] = 0
     lower = np.arange(256, dtype=np.uint8)
     lower[65:91] += 32
     first, rows = 0, len(at) - 1
@@ -83,15 +91,18 @@ def word_batches(texts: pa.Array, separators: bytes = WHITE, chunk_bytes: int =
         last = min(max(last, first + 1), rows)
         part, offsets = data[at[first] : at[last]], at[first : last + 1] - at[first]
         n = len(part)
-        inside = plain[part]
+        kinds = kind[part]
+        inside, changed = kinds > 0, np.ones(n + 1, bool)
+        if n:
+            changed[1:n] = kinds[1:] != kinds[:-1]
         edge = np.zeros(n + 1, bool)
         edge[offsets] = True
-        starts = np.flatnonzero(inside & (edge[:-1] | ~np.concatenate(([False], inside[:-1]))))
-        ends = np.flatnonzero(inside & (edge[1:] | ~np.concatenate((inside[1:], [False])))) + 1
+        edge |= changed
+        starts, ends = np.flatnonzero(inside & edge[:-1]), np.flatnonzero(inside & edge[1:]) + 1
         power, inverse = _table("power", _BASE, n + 1), _table("inverse", _INVERSE, n + 1)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum((lower[part].astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
         hashes = mix((sums[ends] - sums[starts]) * inverse[starts])
         doc = np.searchsorted(offsets, starts, "right") - 1
-        yield first, last, Words(doc, starts, ends, hashes, part, offsets[:-1], offsets[1:])
+        yield first, last, Words(doc, starts, ends, hashes, part, offsets[:-1], offsets[1:], sums, inverse)
         first = last
