@@ -24,7 +24,9 @@ BUCKETS = 1 << 18
 PREFIXES = (4, 5, 6)  # bytes
 #: Labelled rows of each class that training uses at most; they reach the driver as hashed features.
 LABELS_A_CLASS = 2_000
-ROUNDS, RATE, RIDGE, RARE = 80, 0.15, 1e-4, 3
+ROUNDS, RATE, RIDGE = 150, 0.15, 1e-5
+#: A feature is used if at least so many documents have it, and toxic and other documents differ by so many deviations.
+RARE, SCREEN = 3, 5.0
 _ENDS = b".!?\n"
 
 
@@ -60,8 +62,12 @@ def fit(bucket: np.ndarray, first: np.ndarray, document: np.ndarray, label: np.n
         return Model(model, 20.0 if len(label) and label.min() == 1 else -20.0)
     sentence = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(bucket))))
     owner, column = np.repeat(sentence, bucket.shape[1]), bucket.ravel().astype(np.int64)
-    seen = np.unique(column * len(label) + document[owner]) // len(label)
-    common = np.bincount(seen, minlength=BUCKETS + 1) >= RARE
+    seen = np.unique(column * len(label) + document[owner])
+    n, toxic = len(label), int(label.sum())
+    having = np.bincount(seen // n, minlength=BUCKETS + 1)
+    having_toxic = np.bincount(seen // n, weights=label[seen % n], minlength=BUCKETS + 1)
+    spread = np.sqrt(np.maximum(having / n * (1 - having / n), 1e-9) * (1 / toxic + 1 / (n - toxic)))
+    common = (having >= RARE) & (np.abs(having_toxic / toxic - (having - having_toxic) / (n - toxic)) > SCREEN * spread)
     common[BUCKETS] = False
     use = common[column]
     names, column = np.flatnonzero(common), (np.cumsum(common) - 1)[column[use]]
