@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm import byte_bpe, importance_resampling, jump_hash, matroska, simhash, source_mixing, toxicity
+from siftline.llm import byte_bpe, importance_resampling, jump_hash, matroska, multiset_hash, simhash, source_mixing, toxicity
 
 #: The vocabulary of the byte-level BPE query.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -18,6 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiset_hash.edits(_table(spark, sf_dir, "documents"))
+
+
 def op3_matroska(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = matroska.digests(matroska.store(docs))
@@ -53,6 +57,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_multiset_hash": op2_multiset_hash,
     "op3_matroska": op3_matroska,
     "op4_jump_hash": op4_jump_hash,
     "op5_byte_bpe": op5_byte_bpe,
