@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm import byte_bpe, importance_resampling, jump_hash, matroska, multiset_hash, simhash, source_mixing, toxicity
+from siftline.llm import byte_bpe, importance_resampling, jump_hash, matroska, multiset_hash, simhash, source_mixing, stupid_backoff, toxicity
 
 #: The vocabulary of the byte-level BPE query.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -37,6 +37,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN)
 
 
+def op6_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stupid_backoff.scores(_table(spark, sf_dir, "documents"))
+
+
 def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     picked = importance_resampling.select(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return picked.select(F.col("id").alias("doc_id"), "log_weight", F.col("key").alias("gumbel_key"), F.col("selected").alias("keep"))
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_matroska": op3_matroska,
     "op4_jump_hash": op4_jump_hash,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_stupid_backoff": op6_stupid_backoff,
     "op7_importance_resampling": op7_importance_resampling,
     "op8_toxicity": op8_toxicity,
     "op9_source_mixing": op9_source_mixing,
@@ -69,6 +74,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 #: DuckDB SQL for the queries that SQL can express; the others are tested against brute force in tests/llm.
 ORACLES: dict[str, str] = {
+    "op6_stupid_backoff": r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, unnest(list_concat([''], ws)) AS a, unnest(list_concat(ws, [''])) AS b FROM t WHERE len(ws) > 0),
+o AS (SELECT doc_id, a, b, count(*) AS own FROM p GROUP BY ALL),
+c AS (
+  SELECT *, sum(own) OVER (PARTITION BY a, b) - own AS others, sum(own) OVER (PARTITION BY a) AS ca, sum(own) OVER (PARTITION BY b) AS cb, sum(own) OVER () AS total
+  FROM o),
+s AS (
+  SELECT doc_id, CAST(sum(own) AS BIGINT) AS n_predictions, CAST(sum(CASE WHEN others = 0 THEN own ELSE 0 END) AS BIGINT) AS n_backoff,
+    sum(own * CASE WHEN others > 0 THEN log10(others) - log10(ca) ELSE log10(0.4) + log10(cb) - log10(total) END) AS part
+  FROM c GROUP BY doc_id)
+SELECT doc_id, coalesce(n_predictions, 0) AS n_predictions, coalesce(n_backoff, 0) AS n_backoff, round(part / n_predictions, 6) AS mean_log10
+FROM t LEFT JOIN s USING (doc_id)
+""",
     "op9_source_mixing": r"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
