@@ -25,19 +25,17 @@ _MASK = (1 << 32) - 1
 
 def _fingerprints(texts: DataFrame, keys: list[str]) -> DataFrame:
     """``keys`` and ``packed`` array<long> of ``texts`` (``keys``, text without nulls); keys must tell rows apart."""
-    lines = texts.select(*keys, F.explode(F.split("text", "\n")).alias("_line"))
-    digest = F.sha2("_line", 256)
-    equal = [F.conv(F.substring("_digest", 1 + 8 * i, 8), 16, 10).cast("long").alias(f"_e{i}") for i in range(8)]
+    # the outer forms of explode: the others add a filter on the size of what they explode, computed once more
+    lines = texts.select(*keys, F.explode_outer(F.split("text", "\n")).alias("_line"))
     words = F.filter(F.split("_line", WHITE), lambda w: w != "")
-    lines = lines.select(*keys, digest.alias("_digest"), words.alias("_words"))
+    lines = lines.select(*keys, F.array(F.sha2("_line", 256)).alias("_digest"), words.alias("_words"))
+    cut = F.flatten(F.transform("_digest", lambda d: F.array(*[F.conv(F.substring(d, 1 + 8 * i, 8), 16, 10).cast("long") for i in range(8)])))
     pairs = F.transform("_words", lambda w, i: F.xxhash64(w, F.get("_words", i + 1)))
-    # a line without words still counts as a paragraph: one row whose hash is null
-    lines = lines.select(*keys, *equal, F.when(F.size("_words") == 0, F.array(F.lit(None).cast("long"))).otherwise(pairs).alias("_pairs"))
-    units = lines.select(*keys, *[f"_e{i}" for i in range(8)], F.posexplode("_pairs").alias("_at", "_h"))
-    first = F.col("_at") == 0
-    sums = [F.sum(F.when(first, F.col(f"_e{i}")).otherwise(0)).alias(f"_e{i}") for i in range(8)]
-    sums += [F.sum(first.cast("long")).alias("_lines"), F.count("_h").alias("_n")]
-    sums += [F.sum(F.coalesce(F.shiftrightunsigned("_h", i).bitwiseAND(F.lit(_PAIR)), F.lit(0))).alias(f"_b{i}") for i in range(32)]
+    units = lines.select(*keys, F.concat(cut, pairs).alias("_units")).select(*keys, F.posexplode_outer("_units").alias("_at", "_u"))
+    sums = [F.sum(F.when(F.col("_at") == i, F.col("_u")).otherwise(0)).alias(f"_e{i}") for i in range(8)]
+    sums += [F.sum((F.col("_at") == 0).cast("long")).alias("_lines"), F.sum((F.col("_at") >= 8).cast("long")).alias("_n")]
+    units = units.select(*keys, "_at", "_u", F.when(F.col("_at") >= 8, F.col("_u")).otherwise(F.lit(0)).alias("_h"))
+    sums += [F.sum(F.shiftrightunsigned("_h", i).bitwiseAND(F.lit(_PAIR))).alias(f"_b{i}") for i in range(32)]
     found = units.groupBy(*keys).agg(*sums)
     pack = lambda low, high: F.col(low).bitwiseAND(F.lit(_MASK)).bitwiseOR(F.shiftleft(F.col(high).bitwiseAND(F.lit(_MASK)), 32))
     packed = [pack(f"_e{i}", f"_e{i + 1}") for i in range(0, 8, 2)] + [pack("_lines", "_n")] + [F.col(f"_b{i}") for i in range(32)]
@@ -111,9 +109,11 @@ def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     edited = F.concat(F.left("text", (F.col("n_chars") - third).cast("int")), F.left("head", third))
     joined = joined.select("k", F.monotonically_increasing_id().alias("row"), "doc_id", "next_k", "n_chars", "text", edited.alias("edited"))
     kept = ["k", "row", "doc_id", "next_k", "n_chars", "text_hash", "edited_sha256"]
-    joined = joined.withColumn("text_hash", F.xxhash64("text")).withColumn("edited_sha256", F.sha2("edited", 256))
-    both = joined.select(*kept, F.explode(F.array(F.struct(F.lit(0).alias("kind"), "text"), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")))).alias("v"))
-    prints = _fingerprints(both.select(*kept, F.col("v.kind").alias("kind"), F.col("v.text").alias("text")), [*kept, "kind"])
+    # what the rows keep is computed inside the exploded array, once, and not again for each exploded row
+    made = ["doc_id", "next_k", "n_chars", F.xxhash64("text").alias("text_hash"), F.sha2("edited", 256).alias("edited_sha256")]
+    both = joined.select("k", "row", F.explode_outer(F.array(*[F.struct(F.lit(i).alias("kind"), F.col(c).alias("text"), *made) for i, c in enumerate(("text", "edited"))])).alias("v"))
+    both = both.select("k", "row", "v.*").select(*kept, "kind", "text")
+    prints = _fingerprints(both, [*kept, "kind"])
     one = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("packed")))
     found = written(prints.groupBy(*kept).agg(one(0).alias("own"), one(1).alias("changed")).drop("row"), "multiset-hashes")
     following = found.groupBy(F.col("k").alias("next_k")).agg(F.min(F.struct("text_hash", "own")).alias("m")).select("next_k", F.col("m.own").alias("following"))
