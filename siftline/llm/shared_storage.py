@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +37,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """A reliable checkpoint, for the small tables of iterative jobs (Spark removes it with its DataFrame)."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: str) -> Iterator[None]:
+    """Arrow batches of at most ``size`` for the jobs run inside, where tasks hold several times their batch."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftline.llm.shared_storage import written
+from siftline.llm.shared_storage import small_batches, written
 from siftline.llm.word_hashes import mix, pair, word_batches
 
 ALPHA = 0.4
@@ -28,23 +28,67 @@ ALPHA = 0.4
 RANKED = 1 << 16
 #: Ranks whose pairs are counted apart: at most HOT * HOT counts.
 HOT = 64
+#: Rows from which the words whose pairs are counted apart are guessed.
+GUESS_ROWS = 500
+BATCH = "8m"
 _PAIRS_A_ROW = 1 << 16
 _PACKED = "bucket int, side int, key array<long>, own array<int>, a array<short>, b array<short>, al array<long>, bl array<long>, given array<double>"
 _NONE = {"own": pa.int32(), "a": pa.int16(), "b": pa.int16(), "al": pa.int64(), "bl": pa.int64(), "given": pa.float64()}
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n); word 0 counts documents that have words."""
+def _counts(frequent: np.ndarray):
+    """(word, n) of each word, where word 0 counts documents that have words, and (cell, n) of the pairs of hot words.
+
+    A task merges what it has counted so far whenever that grows long.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = np.arange(1, len(frequent) + 1)
+        order = np.argsort(frequent)
+        found, counts, docs, cells = np.empty(0, np.uint64), np.empty(0, np.int64), 0, np.zeros(HOT * HOT, np.int64)
+        for batch in batches:
+            for _, doc, a, b in _doc_pairs(batch.column(0), np.empty(0, np.uint64), ranks):
+                docs += int((b == 0).sum())
+                words, n = np.unique(b[b != 0].view(np.uint64), return_counts=True)
+                found, counts = np.concatenate((found, words)), np.concatenate((counts, n))
+                if len(found) > 1 << 21:
+                    found, counts = _summed(found, counts)
+                    if len(found) > 1 << 20:
+                        yield _count_rows(found.view(np.int64), counts, np.zeros(0, np.int64), np.zeros(0, np.int64))
+                        found, counts = found[:0], counts[:0]
+                x, y = (_known(c.view(np.uint64), frequent[order], ranks[order]) for c in (a, b))
+                hot = (x >= 0) & (y >= 0)
+                cells += np.bincount(x[hot] * HOT + y[hot], minlength=HOT * HOT)
+        found, counts = _summed(found, counts)
+        seen = np.flatnonzero(cells)
+        yield _count_rows(np.append(found.view(np.int64), 0), np.append(counts, docs), seen, cells[seen])
+
+    return run
+
+
+def _count_rows(word: np.ndarray, n: np.ndarray, cell: np.ndarray, n_cell: np.ndarray) -> pa.RecordBatch:
+    kind = np.repeat(np.array([0, 1], np.int32), [len(word), len(cell)])
+    return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(np.concatenate((word, cell))), pa.array(np.concatenate((n, n_cell)))], names=["kind", "word", "n"])
+
+
+def _summed(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    words, at = np.unique(words, return_inverse=True)
+    return words, np.bincount(at, weights=counts, minlength=len(words)).astype(np.int64)
+
+
+def _known(code: np.ndarray, words: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """The rank of each word that has one, as it is otherwise; 0 is the boundary."""
+    if not len(words):
+        return code.view(np.int64)
+    at = np.minimum(np.searchsorted(words, code), len(words) - 1)
+    return np.where(words[at] == code, ranks[at], code.view(np.int64))
+
+
+def _first_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found, counts = [np.zeros(1, np.uint64)], [np.zeros(1, np.int64)]
         for _, _, w in word_batches(batch.column(0)):
-            if len(w.hash):
-                h, n = np.unique(_rare(w.hash), return_counts=True)
-                found.append(h)
-                counts.append(n)
-                counts[0] += len(np.unique(w.doc))
-        words, at = np.unique(np.concatenate(found), return_inverse=True)
-        yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(np.bincount(at, weights=np.concatenate(counts)).astype(np.int64))], names=["word", "n"])
+            words, n = np.unique(_rare(w.hash), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], names=["word", "n"])
 
 
 def _rare(h: np.ndarray) -> np.ndarray:
@@ -55,9 +99,7 @@ def _rare(h: np.ndarray) -> np.ndarray:
 def _doc_pairs(texts: pa.Array, words: np.ndarray, ranks: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, document, context, target) of every word pair, whole documents at a time; words are ranks or negative hashes."""
     for first, _, w in word_batches(texts):
-        h = _rare(w.hash)
-        at = np.minimum(np.searchsorted(words, h), max(len(words) - 1, 0))
-        code = np.where(words[at] == h, ranks[at], h.view(np.int64)) if len(words) else h.view(np.int64)
+        code = _known(_rare(w.hash), words, ranks)
         if not len(code):
             continue
         starts = np.concatenate(([True], w.doc[1:] != w.doc[:-1]))
@@ -71,19 +113,6 @@ def _doc_pairs(texts: pa.Array, words: np.ndarray, ranks: np.ndarray) -> Iterato
         yield first, doc, context, target
 
 
-def _hot_counts(shipped) -> object:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(HOT * HOT, np.int64)
-        for batch in batches:
-            for _, _, a, b in _doc_pairs(batch.column(0), *shipped.value):
-                hot = (a >= 0) & (a < HOT) & (b >= 0) & (b < HOT)
-                total += np.bincount(a[hot] * HOT + b[hot], minlength=HOT * HOT)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["cell", "n"])
-
-    return run
-
-
 def _pack(shipped, hot_table, ids: list[int]):
     """Rows of ``_PACKED``: per chunk of documents, bucket and side the pairs of its documents with their own counts."""
 
@@ -103,7 +132,7 @@ def _pack(shipped, hot_table, ids: list[int]):
         yield pa.RecordBatch.from_arrays(out, names=["bucket", "side", "key", *_NONE])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, counts, total = hot_table.value
+        table, counts, total, n_hot = hot_table.value
         for batch in batches:
             keys = batch.column(1).to_numpy()
             for first, doc, a, b in _doc_pairs(batch.column(0), *shipped.value):
@@ -114,7 +143,7 @@ def _pack(shipped, hot_table, ids: list[int]):
                 n_doc = np.bincount(doc)
                 doc, a, b = doc[at], a[at], b[at]
                 key = keys[first + doc]
-                hot = (a >= 0) & (a < HOT) & (b >= 0) & (b < HOT)
+                hot = (a >= 0) & (a < n_hot) & (b >= 0) & (b < n_hot)
                 others = table[np.where(hot, a * HOT + b, 0)] - own
                 with np.errstate(divide="ignore"):
                     s = np.where(others > 0, np.log10(others) - np.log10(counts[np.where(hot, a, 0)]), np.log10(ALPHA) + np.log10(counts[np.where(hot, b, 0)]) - np.log10(total))
@@ -143,17 +172,25 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     spark = docs.sparkSession
     sc = spark.sparkContext
     rows = docs.select(F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))).alias("key"), F.col(id_col).alias("id"))
-    words = written(rows.select("text").mapInArrow(_word_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    # which words count as hot is guessed from a few rows; their counts are of all rows
+    guess = rows.select("text").limit(GUESS_ROWS).mapInArrow(_first_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(HOT - 1).collect()
+    frequent = np.array([r.word for r in guess], np.int64)
+    with small_batches(spark, BATCH):
+        counted = written(rows.select("text").mapInArrow(_counts(frequent.view(np.uint64)), "kind int, word long, n long").groupBy("kind", "word").agg(F.sum("n").alias("n")), "word-counts")
+    words, hot = counted.filter("kind = 0").drop("kind"), np.zeros(HOT * HOT, np.int64)
+    for r in counted.filter("kind = 1").collect():  # HOT * HOT rows at most
+        hot[r.word] = r.n
     n_docs = words.filter("word = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]  # words and ends of documents
-    top = words.filter("word <> 0").orderBy(F.desc("n"), "word").limit(RANKED - 1).collect()  # bounded
-    by_hash = sorted((np.int64(r.word).view(np.uint64), i) for i, r in enumerate(top, 1))
-    ranks = sc.broadcast((np.array([h for h, _ in by_hash], np.uint64), np.array([i for _, i in by_hash], np.int64)))
-    counts = np.array([n_docs, *[r.n for r in top]], np.float64)
-    hot = np.zeros(HOT * HOT, np.int64)
-    for r in rows.select("text").mapInArrow(_hot_counts(ranks), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
-        hot[r.cell] = r.n
-    known = sc.broadcast((hot, np.pad(counts[:HOT], (0, max(0, HOT - len(counts)))), float(total)))
+    ranked = words.filter("word <> 0").orderBy(~F.col("word").isin(frequent.tolist()), F.desc("n"), "word").limit(RANKED - 1).toArrow()  # bounded
+    top, n_top = ranked["word"].to_numpy(), ranked["n"].to_numpy()
+    order = {w: i for i, w in enumerate(frequent.tolist())}
+    place = np.array(sorted(range(len(top)), key=lambda i: order.get(top[i], HOT + i)), np.int64)
+    top, n_top = top[place].view(np.uint64), n_top[place]
+    by_hash = np.argsort(top)
+    ranks = sc.broadcast((top[by_hash], by_hash + 1))
+    counts = np.array([n_docs, *n_top], np.float64)
+    known = sc.broadcast((hot, np.pad(counts[:HOT], (0, max(0, HOT - len(counts)))), float(total), len(frequent) + 1))
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # an id for each shuffle partition, so that buckets are dealt evenly
@@ -163,15 +200,18 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     wide = lambda code, word: F.coalesce(F.col(code).cast("long") + F.lit(RANKED // 2), F.col(word))
     each = each.select("bucket", "side", "key", "own", wide("a", "al").alias("a"), wide("b", "bl").alias("b"), "given")
     each = each.withColumn("g", F.when(F.col("side") == 0, F.xxhash64("a", "b")).when(F.col("side") == 1, F.col("b")).when(F.col("side") == 2, F.col("a")).otherwise(F.col("key")))
-    same = Window.partitionBy("bucket", "side", "g", "a", "b")
-    met = each.withColumn("pairs", F.sum("own").over(same)).withColumn("meeting", F.sum("own").over(Window.partitionBy("bucket", "side", "g")))
-    frequent = F.broadcast(spark.createDataFrame(list(enumerate(counts.tolist())), "rank long, count double"))  # RANKED rows at most
-    met = met.join(frequent.select(F.col("rank").alias("a"), F.col("count").alias("ca")), "a", "left").join(frequent.select(F.col("rank").alias("b"), F.col("count").alias("cb")), "b", "left")
+    # sorted by the group first, whose leading bits settle nearly all comparisons; buckets only say where rows are
+    group = ["g", "bucket", "side"]
+    met = each.withColumn("pairs", F.sum("own").over(Window.partitionBy(*group, "a", "b"))).withColumn("meeting", F.sum("own").over(Window.partitionBy(*group)))
+    with np.errstate(divide="ignore"):
+        logs = pa.table({"rank": np.arange(len(counts)), "log": np.log10(counts)})
+    frequent = F.broadcast(spark.createDataFrame(logs))  # RANKED rows at most
+    met = met.join(frequent.select(F.col("rank").alias("a"), F.col("log").alias("log_a")), "a", "left").join(frequent.select(F.col("rank").alias("b"), F.col("log").alias("log_b")), "b", "left")
     others = F.col("pairs") - F.col("own")
     both = (F.col("a") < 0) & (F.col("b") < 0)
     log = lambda x: F.log10(x.cast("double"))
-    seen = F.col("own") * (log(others) - log(F.coalesce("ca", F.col("meeting"))))
-    back = F.col("own") * (F.lit(float(np.log10(ALPHA))) + log(F.coalesce("cb", F.col("meeting"))) - F.lit(float(np.log10(max(total, 1)))))
+    seen = F.col("own") * (log(others) - F.coalesce("log_a", log(F.col("meeting"))))
+    back = F.col("own") * (F.lit(float(np.log10(ALPHA))) + F.coalesce("log_b", log(F.col("meeting"))) - F.lit(float(np.log10(max(total, 1)))))
     # a pair of two rare words is met twice: with its context it counts if seen, with its target if not
     uses_seen = (others > 0) & ~(both & (F.col("side") == 1))
     uses_back = (others <= 0) & ~(both & (F.col("side") == 2))
@@ -182,7 +222,8 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         F.when(final, F.col("b")).when(uses_back, F.col("own")).otherwise(F.lit(0)).cast("long").alias("backed"),
         F.when(final, F.col("own")).otherwise(F.lit(0)).cast("long").alias("n"),
     )
-    sums = part.groupBy("key").agg(F.sum("part").alias("part"), F.sum("backed").alias("backed"), F.sum("n").alias("n"))
+    with small_batches(spark, BATCH):
+        sums = written(part.groupBy("key").agg(F.sum("part").alias("part"), F.sum("backed").alias("backed"), F.sum("n").alias("n")), "pair-sums")
     copies = rows.groupBy("id", "key").agg(F.count(F.lit(1)).alias("copies"))
     out = copies.join(sums, "key", "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     share = lambda c: F.coalesce((F.col(c) / F.col("copies")).cast("long"), F.lit(0))

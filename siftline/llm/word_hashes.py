@@ -68,7 +68,7 @@ def pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 def string_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts and n + 1 offsets; null counts as empty."""
-    texts = texts.cast(pa.large_string()).fill_null("")
+    texts = (texts.fill_null("") if texts.null_count else texts).cast(pa.large_string())
     _, offsets, data = texts.buffers()
     at = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
     return (np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)), at
