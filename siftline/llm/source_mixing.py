@@ -10,7 +10,7 @@ from __future__ import annotations
 import heapq
 import math
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftline.llm.shared_storage import written
@@ -71,18 +71,20 @@ def min_cost_flow(capacity: dict[tuple, int], quota: dict, epochs: int = 3) -> d
     return {p: sum(capacity[p] - x[1] for x in graph[0] if x[0] == node["p", p]) for p in patterns}
 
 
-def take(docs: DataFrame, taken: DataFrame, seed: str) -> DataFrame:
-    """``docs`` (doc_id, size, pattern, ...) with ``taken`` long: whole passes plus a seeded subset of each pattern.
+def take(docs: DataFrame, taken: DataFrame, seed: str, narrow: DataFrame | None = None) -> DataFrame:
+    """``docs`` (doc_id, size, pattern, ...) with ``times`` and ``taken`` long: passes and a seeded subset of each pattern.
 
     ``taken`` is (pattern, flow, capacity). Documents of a pattern are ordered by the MD5 of seed and id; the leading
     hash digits cut the pattern into blocks, and only the block in which the remainder runs out is ordered row by row.
-    That document is taken if the sum then lies nearer to the flow.
+    That document is taken if the sum then lies nearer to the flow. ``narrow`` may hold doc_id, size and pattern of
+    the same rows, cheaper to sum.
     """
-    hashed = docs.withColumn("_h", F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))))
-    hashed = hashed.withColumn("_block", F.substring("_h", 1, _HASH_DIGITS))
+    md5 = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    hashed = docs.withColumn("_h", md5).withColumn("_block", F.substring("_h", 1, _HASH_DIGITS))
+    narrow = (docs if narrow is None else narrow).withColumn("_block", F.substring(md5, 1, _HASH_DIGITS))
     quota = taken.select("pattern", F.when(F.col("capacity") > 0, F.floor(F.col("flow") / F.col("capacity"))).otherwise(0).cast("long").alias("_passes"), "flow", "capacity")
     quota = quota.withColumn("_rest", F.col("flow") - F.col("_passes") * F.col("capacity")).drop("flow", "capacity")
-    sums = hashed.groupBy("pattern", "_block").agg(F.sum("size").alias("_sum"))  # 16 ** _HASH_DIGITS rows a pattern
+    sums = narrow.groupBy("pattern", "_block").agg(F.sum("size").alias("_sum"))  # 16 ** _HASH_DIGITS rows a pattern
     before = Window.partitionBy("pattern").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
     cut = sums.join(quota, "pattern").filter("_before < _rest and _before + _sum >= _rest")
@@ -97,10 +99,11 @@ def take(docs: DataFrame, taken: DataFrame, seed: str) -> DataFrame:
     inside = inside.withColumn("_once", (over <= 0) | ((F.col("_sum") - F.col("size") < F.col("_rest")) & (over < F.col("size") - over)))
     outside = rows.filter(F.col("_cut").isNull() | (F.col("_block") != F.col("_cut"))).withColumn("_once", F.col("_cut").isNotNull() & (F.col("_block") < F.col("_cut")))
     both = outside.unionByName(inside.drop("_sum"))
-    return both.withColumn("taken", F.col("size") * (F.col("_passes") + F.col("_once").cast("long"))).select(*docs.columns, "taken")
+    both = both.withColumn("times", F.col("_passes") + F.col("_once").cast("long"))
+    return both.select(*docs.columns, "times", (F.col("size") * F.col("times")).alias("taken"))
 
 
-def targets(spark: SparkSession, sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), limit: int = 3) -> DataFrame:
+def targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), limit: int = 3) -> DataFrame:
     """(source, source_size, target) of ``sizes`` (source, source_size): shares of the whole by repeating weights.
 
     Sources are ordered by code point, null last. A target stops at ``limit`` times its source's size; what is above
@@ -127,19 +130,39 @@ def mix(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: st
     Size is the number of words; a null text has none. A null source is a source of its own. Repeated rows stay and
     are taken on their own. An empty table, or one without words, takes nothing.
     """
-    spark = docs.sparkSession
-    size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORDS)), F.lit(0)).cast("long")
-    rows = written(docs.select(F.col(id_col).alias("doc_id"), size.alias("size"), F.col(source_col).alias("source")), "mix-sizes")
+    rows = written(docs.select(F.col(id_col).alias("doc_id"), _size(text_col).alias("size"), F.col(source_col).alias("source")), "mix-sizes")
     rows = rows.withColumn("pattern", F.array("source"))
-    wanted = written(targets(spark, rows.groupBy("source").agg(F.sum("size").alias("source_size")), limit=epochs), "mix-targets")
+    wanted, solved = _solved(rows, epochs)
+    chosen = take(rows, solved, seed)
+    out = chosen.join(wanted.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mixed(docs: DataFrame, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", epochs: int = 3) -> DataFrame:
+    """The rows of ``docs`` as the mix repeats them: each as often as ``mix`` takes it, none if that is never."""
+    plain = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    named = docs.withColumnsRenamed(plain)
+    rows = named.withColumns({"doc_id": F.col(plain[id_col]), "size": _size(plain[text_col]), "source": F.col(plain[source_col])})
+    sizes = written(rows.select("doc_id", "size", "source"), "mix-sizes")
+    _, solved = _solved(sizes, epochs)
+    chosen = take(rows.withColumn("pattern", F.array("source")), solved, seed, sizes.withColumn("pattern", F.array("source")))
+    again = chosen.filter("times > 0").withColumn("_pass", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
+    return again.select(*[F.col(name).alias(c) for c, name in plain.items()])
+
+
+def _size(text_col: str) -> Column:
+    return F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORDS)), F.lit(0)).cast("long")
+
+
+def _solved(rows: DataFrame, epochs: int) -> tuple[DataFrame, DataFrame]:
+    """Targets of each source, and (pattern, flow, capacity) of the documents of each, for one source a document."""
+    spark = rows.sparkSession
+    wanted = written(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), limit=epochs), "mix-targets")
     summary = wanted.limit(MAX_PATTERNS + 1).collect()  # a row per source
     if len(summary) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} sources: group them first")
     flow = min_cost_flow({(r.source,): r.source_size for r in summary}, {r.source: math.floor(r.target + 0.5) for r in summary}, epochs)
-    solved = spark.createDataFrame([([r.source], flow[(r.source,)], r.source_size) for r in summary], "pattern array<string>, flow long, capacity long")
-    chosen = take(rows, solved, seed)
-    out = chosen.join(wanted.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
-    return out.select("doc_id", "size", "source_size", "target", "taken")
+    return wanted, spark.createDataFrame([([r.source], flow[(r.source,)], r.source_size) for r in summary], "pattern array<string>, flow long, capacity long")
 
 
 def mix_overlapping(docs: DataFrame, quotas: dict[str, int], seed: str = "mix", epochs: int = 3) -> DataFrame:
@@ -156,4 +179,4 @@ def mix_overlapping(docs: DataFrame, quotas: dict[str, int], seed: str = "mix",
     capacity = {tuple(r.pattern): r.n for r in sums}
     flow = min_cost_flow(capacity, quotas, epochs)
     solved = spark.createDataFrame([(list(p), flow[p], n) for p, n in capacity.items()], "pattern array<string>, flow long, capacity long")
-    return take(rows, solved, seed).drop("pattern")
+    return take(rows, solved, seed).drop("pattern", "times")
