@@ -145,13 +145,13 @@ def _pack(shipped, hot_table, ids: list[int]):
                 key = keys[first + doc]
                 hot = (a >= 0) & (a < n_hot) & (b >= 0) & (b < n_hot)
                 others = table[np.where(hot, a * HOT + b, 0)] - own
-                with np.errstate(divide="ignore"):
+                with np.errstate(divide="ignore", invalid="ignore"):
                     s = np.where(others > 0, np.log10(others) - np.log10(counts[np.where(hot, a, 0)]), np.log10(ALPHA) + np.log10(counts[np.where(hot, b, 0)]) - np.log10(total))
                 given = np.bincount(doc[hot], weights=(own * s)[hot], minlength=len(n_doc))
                 backed = np.bincount(doc[hot], weights=(own * (others <= 0))[hot], minlength=len(n_doc))
                 present = np.flatnonzero(n_doc)
                 there = keys[first + present]
-                yield from rows(3, there, there, own=n_doc[present].astype(np.int32), bl=backed[present].astype(np.int64), given=given[present])
+                yield from rows(3, there, there, own=n_doc[present].astype(np.int32), bl=backed[present].astype(np.int64), given=given[present].astype(np.float64))
                 ra, rb = a >= 0, b >= 0
                 use = ra & rb & ~hot
                 short = lambda x: (x - RANKED // 2).astype(np.int16)
