@@ -92,22 +92,23 @@ def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     The edited text has the last third of the code points (rounded down) replaced by the first as many of the next
     document by descending id, nulls last; the last document is followed by the first. Rows that share an id share
     their next document, and where the next id is repeated, the row with the smallest hash of its text stands for it.
-    Other columns are not read. A single document is its own next.
+    Other columns are not read; the
+    smallest long is taken for no id. A single document is its own next.
     """
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))  # null ids come last, below all others
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    base = docs.select(key.alias("k"), F.col(id_col).alias("doc_id"), text.alias("text"))
+    none = F.lit(-(1 << 63))  # null ids come last, below all others
+    # both joins below take this table by k with the same columns, so that its texts are shuffled once
+    base = docs.select(F.coalesce(F.col(id_col).cast("long"), none).alias("k"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     third = F.floor(F.char_length("text") / 3).cast("int")
     ids = base.groupBy("k").agg(F.max(third).alias("need"))
     order = [F.desc("k")]
     ids = with_next(in_blocks(ids, order, "neighbours"), "k", order, "next")
     wanted = ids.select(F.col("k").alias("for_k"), F.col("next.k").alias("next_k"), "need")
-    heads = base.select(F.col("k").alias("next_k"), "text").join(wanted, "next_k")
+    heads = base.withColumnRenamed("k", "next_k").join(wanted, "next_k")
     heads = heads.groupBy("for_k", "next_k").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.left("text", F.col("need")).alias("head"))).alias("m"))
     joined = base.join(heads.select(F.col("for_k").alias("k"), "next_k", F.col("m.head").alias("head")), "k")
     joined = joined.withColumn("n_chars", F.char_length("text").cast("long"))
     edited = F.concat(F.left("text", (F.col("n_chars") - third).cast("int")), F.left("head", third))
-    joined = joined.select("k", F.monotonically_increasing_id().alias("row"), "doc_id", "next_k", "n_chars", "text", edited.alias("edited"))
+    joined = joined.select("k", F.monotonically_increasing_id().alias("row"), F.nullif("k", none).alias("doc_id"), "next_k", "n_chars", "text", edited.alias("edited"))
     kept = ["k", "row", "doc_id", "next_k", "n_chars", "text_hash", "edited_sha256"]
     # what the rows keep is computed inside the exploded array, once, and not again for each exploded row
     made = ["doc_id", "next_k", "n_chars", F.xxhash64("text").alias("text_hash"), F.sha2("edited", 256).alias("edited_sha256")]
@@ -118,4 +119,4 @@ def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     found = written(prints.groupBy(*kept).agg(one(0).alias("own"), one(1).alias("changed")).drop("row"), "multiset-hashes")
     following = found.groupBy(F.col("k").alias("next_k")).agg(F.min(F.struct("text_hash", "own")).alias("m")).select("next_k", F.col("m.own").alias("following"))
     out = found.join(following, "next_k")
-    return out.select("doc_id", "n_chars", "edited_sha256", to_text(F.col("own")).alias("fingerprint"), to_text(F.col("changed")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("changed")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"))
+    return out.select(F.col("doc_id").cast(docs.schema[id_col].dataType).alias("doc_id"), "n_chars", "edited_sha256", to_text(F.col("own")).alias("fingerprint"), to_text(F.col("changed")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("changed")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"))
