@@ -23,7 +23,7 @@ from siftline.llm.word_hashes import WHITE_AND_PUNCTUATION, Words, word_batches
 BUCKETS = 1 << 18
 PREFIXES = (4, 5, 6)  # bytes
 #: Labelled rows of each class that training uses at most; they reach the driver as hashed features.
-LABELS_A_CLASS = 2_000
+LABELS_A_CLASS = 1_500
 ROUNDS, RATE, RIDGE = 150, 0.15, 1e-5
 #: A feature is used if at least so many documents have it, and toxic and other documents differ by so many deviations.
 RARE, SCREEN = 3, 5.0
