@@ -60,12 +60,15 @@ def fit(bucket: np.ndarray, first: np.ndarray, document: np.ndarray, label: np.n
     model = np.zeros(BUCKETS + 1)
     if not len(first) or label.min() == label.max():
         return Model(model, 20.0 if len(label) and label.min() == 1 else -20.0)
-    sentence = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(bucket))))
-    owner, column = np.repeat(sentence, bucket.shape[1]), bucket.ravel().astype(np.int64)
-    seen = np.unique(column * len(label) + document[owner])
+    sentence = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(bucket))))
+    owner, column = np.repeat(sentence, bucket.shape[1]), bucket.ravel()
     n, toxic = len(label), int(label.sum())
-    having = np.bincount(seen // n, minlength=BUCKETS + 1)
-    having_toxic = np.bincount(seen // n, weights=label[seen % n], minlength=BUCKETS + 1)
+    having, having_toxic = np.zeros(BUCKETS + 1, np.int64), np.zeros(BUCKETS + 1, np.int64)
+    edges = np.searchsorted(document[owner[:: bucket.shape[1]]], np.arange(n + 1)) * bucket.shape[1]
+    for d in range(n):
+        seen = np.unique(column[edges[d] : edges[d + 1]])
+        having[seen] += 1
+        having_toxic[seen] += label[d]
     spread = np.sqrt(np.maximum(having / n * (1 - having / n), 1e-9) * (1 / toxic + 1 / (n - toxic)))
     common = (having >= RARE) & (np.abs(having_toxic / toxic - (having - having_toxic) / (n - toxic)) > SCREEN * spread)
     common[BUCKETS] = False
