@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm import byte_bpe, importance_resampling, jump_hash, matroska, multiset_hash, simhash, source_mixing, stupid_backoff, toxicity
+from siftline.llm import byte_bpe, importance_resampling, jump_hash, matroska, multiset_hash, quote_threads, simhash, source_mixing, stupid_backoff, toxicity
 
 #: The vocabulary of the byte-level BPE query.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -18,6 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quote_threads.threads(_table(spark, sf_dir, "conversations"))
+
+
 def op2_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.edits(_table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quote_threads": op1_quote_threads,
     "op2_multiset_hash": op2_multiset_hash,
     "op3_matroska": op3_matroska,
     "op4_jump_hash": op4_jump_hash,
