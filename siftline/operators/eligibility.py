@@ -24,8 +24,7 @@ def row_range(rows: DataFrame, start_row: int = 2, max_rows: int | None = None,
     kept = rows.filter(F.col("row_index") >= start_row)
     if max_rows is not None and max_rows > 0:
         kept = kept.filter(F.col("row_index") < start_row + max_rows)
-    last = F.broadcast(last_useful_row(rows, inputs))  # one row
-    return kept.join(last, F.col("row_index") <= F.col("last_useful_row")).drop("last_useful_row")
+    return kept.filter(F.col("row_index") <= last_useful_row(rows, inputs).scalar())
 
 
 def read_status(status: Column) -> Column:

@@ -120,6 +120,13 @@ def decoded(rows: DataFrame, text_col: str = "answer") -> DataFrame:
     return sanitized(parsed.select(*rows.columns, *[F.col(f"_a.{f}").alias(f) for f in FIELDS], error.alias("decode_error")))
 
 
+def unreadable(raw: DataFrame) -> DataFrame:
+    """(row_index, attempt, recorded_at_utc, error_type, answer, raw) of answers that hold no JSON object, for diagnosis."""
+    rows = raw.filter("error_type = ''").withColumn("answer", answer_text(F.col("raw")))
+    bad = rows.filter(embedded_object(F.col("answer")).isNull())
+    return bad.select("row_index", "attempt", F.current_timestamp().alias("recorded_at_utc"), F.when(is_cut_off(F.col("raw")), "CutOff").otherwise("UnreadableAnswer").alias("error_type"), "answer", "raw")
+
+
 def consulted(source: Column, pages: Column) -> Column:
     """Whether a source is among the pages that were looked at, fragments and closing slashes aside."""
     key = V.evidence_key(source)

@@ -83,10 +83,11 @@ def run(sheet: DataFrame, provider: Callable[[], responses.Provider], keep: Call
         F.coalesce("status", F.when(merge.is_not_found(lines), V.NOT_FOUND).otherwise(V.SUCCESS)).alias("status"), F.lit(c.overwrite_existing).alias("overwrite_existing"), "error_type", "error_message",
     )
     log = keep(written, "journal")
+    keep(responses.unreadable(raw), "unreadable-answers")
     merged = keep(merge.merge(sheet, everything, c.overwrite_existing, c.audit), "merged")
     touched = merged.join(everything.select("row_index"), "row_index", "left_semi")
-    scanned = rows.agg(F.count(F.lit(1)).alias("scanned_rows"))
-    counters = eligibility.run_counters(touched).crossJoin(scanned)  # one row each
+    scanned = keep(rows.agg(F.count(F.lit(1)).alias("scanned_rows")), "scanned")
+    counters = eligibility.run_counters(touched).withColumn("scanned_rows", scanned.scalar())
     return Outcome(merged, everything, log, counters)
 
 

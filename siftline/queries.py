@@ -198,8 +198,8 @@ _HOLES = "CASE WHEN row_index % 5 = 0 OR row_index > (SELECT 0.9 * max(row_index
 
 def _with_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = derived.companies(spark, sf_dir)
-    last = F.broadcast(c.agg((F.max("row_index") * 0.9).alias("most")))  # one row
-    return c.join(last).select("row_index", F.when((F.col("row_index") % 5 == 0) | (F.col("row_index") > F.col("most")), None).otherwise(F.col("siret")).alias("siret"))
+    most = c.agg(F.max("row_index") * 0.9).scalar()
+    return c.select("row_index", F.when((F.col("row_index") % 5 == 0) | (F.col("row_index") > most), None).otherwise(F.col("siret")).alias("siret"))
 
 
 @registered(f"{_C}, holes AS (SELECT row_index, {_HOLES} AS siret FROM companies) SELECT CAST(coalesce(max(row_index), 1) AS INTEGER) AS last_useful_row FROM holes WHERE siret IS NOT NULL AND row_index >= 2")

@@ -27,7 +27,7 @@ FROM {{customer}} JOIN {{nation}} ON c_nationkey = n_nationkey
 """
 
 JOURNAL = """
-SELECT CAST(row_number() OVER (ORDER BY ts, event_id) AS BIGINT) AS line_no, CAST(user_id + 2 AS INT) AS row_index,
+SELECT CAST(event_id AS BIGINT) AS line_no, CAST(user_id + 2 AS INT) AS row_index,
   CASE event_type WHEN 'purchase' THEN 'success' WHEN 'view' THEN 'not_found' WHEN 'error' THEN 'technical_error' WHEN 'signup' THEN 'invalid_input' ELSE 'success' END AS status,
   event_type <> 'error' AS has_result,
   CASE event_type WHEN 'purchase' THEN concat('u', CAST(event_id AS STRING), '@example.com') WHEN 'error' THEN NULL ELSE 'Non trouvé' END AS email,
