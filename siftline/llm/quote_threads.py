@@ -85,7 +85,8 @@ def threads(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
     """
     parse = F.pandas_udf(lambda texts: pd.DataFrame([said(t) for t in texts], columns=["body", "own", "quotes"]), _SAID)
     rows = messages.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), parse(F.col(text_col)).alias("s"))
-    rows = written(rows.select("conv_id", "turn", "text_hash", "s.*"), "messages")
+    # the number of a row is written with it, so it is the same whenever the row is read
+    rows = written(rows.select(F.monotonically_increasing_id().alias("row"), "conv_id", "turn", "text_hash", "s.*"), "messages")
 
     says = rows.filter("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", F.explode("own").alias("hash"))
     quotes = rows.filter("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", F.explode("quotes").alias("q")).select("conv_id", "turn", "q.*").distinct()
@@ -113,10 +114,11 @@ def threads(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
     about = written(about.select("conv_id", "turn", "n_quotes", "n_linked", F.col("reply.to_turn").alias("reply_to_turn"), F.col("most.to_conv").alias("quoted_conv_id"), F.col("most.to_turn").alias("quoted_turn")), "replies")
     roots = _roots(about.filter("reply_to_turn IS NOT NULL").select("conv_id", "turn", "reply_to_turn"))
 
-    all_rows = rows.select("conv_id", "turn", "text_hash", F.col("body").alias("text")).join(about, ["conv_id", "turn"], "left").join(roots, ["conv_id", "turn"], "left")
+    all_rows = rows.select("row", "conv_id", "turn", "text_hash").join(about, ["conv_id", "turn"], "left").join(roots, ["conv_id", "turn"], "left")
     all_rows = all_rows.withColumn("thread_turn", F.coalesce("thread_turn", "turn")).withColumn("reply_depth", F.coalesce("reply_depth", F.lit(0)))
     order = [F.col(c).asc_nulls_first() for c in ("conv_id", "thread_turn", "turn", "text_hash")]
     placed = with_running_total(in_blocks(all_rows.withColumn("one", F.lit(1).cast("long")), order, "reply-order"), ["conv_id"], order, "one", "position")
+    placed = placed.join(rows.select("row", F.col("body").alias("text")), "row")
     return placed.select("conv_id", "turn", "position", "thread_turn", "reply_to_turn", "reply_depth", F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"), F.coalesce("n_linked", F.lit(0)).alias("n_linked"), "quoted_conv_id", "quoted_turn", "text", "text_hash")
 
 
