@@ -30,7 +30,8 @@ RANKED = 1 << 16
 HOT = 64
 #: Rows from which the words whose pairs are counted apart are guessed.
 GUESS_ROWS = 500
-BATCH = "8m"
+BATCH = "4m"
+CHUNK = 1 << 20
 _PAIRS_A_ROW = 1 << 16
 _PACKED = "bucket int, side int, key array<long>, own array<int>, a array<short>, b array<short>, al array<long>, bl array<long>, given array<double>"
 _NONE = {"own": pa.int32(), "a": pa.int16(), "b": pa.int16(), "al": pa.int64(), "bl": pa.int64(), "given": pa.float64()}
@@ -51,9 +52,9 @@ def _counts(frequent: np.ndarray):
                 docs += int((b == 0).sum())
                 words, n = np.unique(b[b != 0].view(np.uint64), return_counts=True)
                 found, counts = np.concatenate((found, words)), np.concatenate((counts, n))
-                if len(found) > 1 << 21:
+                if len(found) > 1 << 20:
                     found, counts = _summed(found, counts)
-                    if len(found) > 1 << 20:
+                    if len(found) > 1 << 19:
                         yield _count_rows(found.view(np.int64), counts, np.zeros(0, np.int64), np.zeros(0, np.int64))
                         found, counts = found[:0], counts[:0]
                 x, y = (_known(c.view(np.uint64), frequent[order], ranks[order]) for c in (a, b))
@@ -98,7 +99,7 @@ def _rare(h: np.ndarray) -> np.ndarray:
 
 def _doc_pairs(texts: pa.Array, words: np.ndarray, ranks: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, document, context, target) of every word pair, whole documents at a time; words are ranks or negative hashes."""
-    for first, _, w in word_batches(texts):
+    for first, _, w in word_batches(texts, chunk_bytes=CHUNK):
         code = _known(_rare(w.hash), words, ranks)
         if not len(code):
             continue
