@@ -208,7 +208,8 @@ def connected(edges: DataFrame) -> DataFrame:
         spread = labels.join(seen, "node").select("node", F.least("label", "m").alias("label"), F.col("label").alias("old"))
         spread = checkpointed(spread)
         jump = spread.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        new = checkpointed(spread.join(jump, "label").select("node", F.col("next").alias("label"), F.col("old")))
+        # dealt by node again, so that a large component's rows don't stay where its label put them
+        new = checkpointed(spread.join(jump, "label").select("node", F.col("next").alias("label"), F.col("old")).repartition("node"))
         labels = new.select("node", "label")
         if new.filter("label <> old").isEmpty():
             return labels
