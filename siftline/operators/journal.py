@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftline.functions import values as V
-from siftline.operators.merge import SOURCES, is_not_found  # noqa: F401
 
 SCHEMA = (
     "seq long, version int, recorded_at_utc timestamp, row_index int, siret string, company_name string, "
@@ -42,15 +43,16 @@ def mismatches(journal: DataFrame, sheet: DataFrame) -> DataFrame:
     return journal.join(s, "row_index", "left").filter(~F.coalesce(same, F.lit(False))).drop("s_siret", "s_name")
 
 
-def folded(journal: DataFrame, values: tuple[str, ...] = V.CONTACTS, order: str = "line_no") -> DataFrame:
+def folded(journal: DataFrame, values: tuple[str, ...] = V.CONTACTS, order: str = "line_no", keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """The journal as one row per table row: what replaying it in ``order`` comes to.
 
     Per value: ``reset_<v>`` is the value of the last overwriting record with a result, null if there is none, and
     ``first_<v>`` the first value found from there on (or at all). Min and max by the order combine map-side, so a row
-    with a long history is no longer a task than any other.
+    with a long history is no longer a task than any other. ``keep`` may write the restarts: a join with a written
+    table is one that Spark can split where a row's history is long.
     """
     has = F.col("has_result")
-    restart = journal.filter(has & F.col("overwrite_existing")).groupBy("row_index").agg(F.max(order).alias("_restart"))
+    restart = keep(journal.filter(has & F.col("overwrite_existing")).groupBy("row_index").agg(F.max(order).alias("_restart")))
     rows = journal.join(restart, "row_index", "left")
     since = has & (F.col("_restart").isNull() | (F.col(order) >= F.col("_restart")))
     out = [F.max_by("status", order).alias("status"), F.count(F.lit(1)).cast("long").alias("records"), F.max(has).alias("any_result"), F.max("_restart").isNotNull().alias("was_reset")]
@@ -68,12 +70,12 @@ def replayed_value(existing: Column, was_reset: Column, reset: Column, first: Co
     return F.when(was_reset, fresh).when(~any_result | real, existing).otherwise(after)
 
 
-def replay(sheet: DataFrame, journal: DataFrame, order: str = "line_no") -> DataFrame:
+def replay(sheet: DataFrame, journal: DataFrame, order: str = "line_no", keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """``sheet`` as if each record had been applied in turn; fails as a whole if any is of another company."""
     if "siret" in journal.columns and not mismatches(journal, sheet).isEmpty():
         raise JournalError("the journal holds records of other companies than the table's rows")
     values = tuple(v for v in V.CONTACTS if v in journal.columns)
-    f = folded(journal, values, order)
+    f = folded(journal, values, order, keep)
     f = f.withColumnsRenamed({c: f"_{c}" for c in f.columns if c != "row_index"})
     both = sheet.join(f, "row_index", "left")
     new = {v: F.when(F.col("_records").isNull(), F.col(v)).otherwise(replayed_value(F.col(v), F.col("_was_reset"), F.col(f"_reset_{v}"), F.col(f"_first_{v}"), F.col("_any_result"))) for v in values}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from siftline.functions import search_text as T
 from siftline.functions import values as V
 from siftline.operators import eligibility, evaluate, identity, journal, merge, pages, responses
-from siftline.sources import derived, headers
+from siftline.sources import derived, headers, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _dealt(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return tables.read_parquet(spark, f"{sf_dir}/{name}.parquet")
+
+
 # ---- DuckDB forms of the value functions, on an expression x ----
 
 _TOKENS = ", ".join(f"'{t}'" for t in V.MISSING_TOKENS)
@@ -336,26 +340,26 @@ def page_path_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("""SELECT page_id, CAST(len(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS INTEGER) AS n_links, array_to_string(regexp_extract_all(html, '<a href="([^"]*)"', 1), ' ') AS hrefs FROM pages""")
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = pages.parse(_table(spark, sf_dir, "pages")).select("page_id", "links")
+    links = pages.parse(_dealt(spark, sf_dir, "pages")).select("page_id", "links")
     return links.select("page_id", F.size("links").alias("n_links"), F.array_join(F.transform("links", lambda x: x["href"]), " ").alias("hrefs"))
 
 
 @registered("""SELECT page_id, 'body' AS region, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS h FROM pages) GROUP BY page_id""")
 def link_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = pages.parse(_table(spark, sf_dir, "pages")).select("page_id", F.explode("links").alias("x"))
+    links = pages.parse(_dealt(spark, sf_dir, "pages")).select("page_id", F.explode("links").alias("x"))
     return links.groupBy("page_id", F.col("x.region").alias("region")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @registered("""SELECT page_id, count(*) AS n, count(*) FILTER (h IN ('/contact', '/tel', '/email')) AS contact FROM (SELECT page_id, lower(unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1))) AS h FROM pages) GROUP BY page_id""")
 def link_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = pages.parse(_table(spark, sf_dir, "pages")).select("page_id", F.explode("links").alias("x"))
+    links = pages.parse(_dealt(spark, sf_dir, "pages")).select("page_id", F.explode("links").alias("x"))
     return links.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("x.contact")).alias("contact"))
 
 
 @registered()
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shown text needs an HTML parser; tests/test_pages.py holds it against pages written by hand."""
-    return pages.parse(_table(spark, sf_dir, "pages")).select("page_id", "text", "legal_popup", F.size("candidates").alias("n_candidates"))
+    return pages.parse(_dealt(spark, sf_dir, "pages")).select("page_id", "text", "legal_popup", F.size("candidates").alias("n_candidates"))
 
 
 # ---- texts ----
@@ -366,7 +370,7 @@ _MAIL = r"(?i)[A-Z0-9.!#$%&''*+/=?^_`{|}~-]+@[A-Z0-9.-]+\.[A-Z]{2,63}"
 @registered(rf"SELECT doc_id, CAST(len(m) AS INTEGER) AS n, array_to_string(m, ' ') AS emails FROM (SELECT doc_id, regexp_extract_all(text, '{_MAIL}') AS m FROM documents)")
 def email_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = F.regexp_extract_all("text", F.lit(r"(?i)(?<![\w.+-])[A-Z0-9.!#$%&'*+/=?^_`{|}~-]+(?:@|%40)[A-Z0-9.-]+\.[A-Z]{2,63}"), F.lit(0))
-    return _table(spark, sf_dir, "documents").select("doc_id", F.size(found).alias("n"), F.array_join(found, " ").alias("emails"))
+    return _dealt(spark, sf_dir, "documents").select("doc_id", F.size(found).alias("n"), F.array_join(found, " ").alias("emails"))
 
 
 _KEY = r"trim(regexp_replace(replace(lower(strip_accents(text)), 'ß', 'ss'), '[^a-z0-9]+', ' ', 'g'))"
@@ -374,12 +378,12 @@ _KEY = r"trim(regexp_replace(replace(lower(strip_accents(text)), 'ß', 'ss'), '[
 
 @registered(f"SELECT doc_id, {_KEY} AS search_key FROM documents")
 def text_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents").select("doc_id", T.search_key(F.col("text")).alias("search_key"))
+    return _dealt(spark, sf_dir, "documents").select("doc_id", T.search_key(F.col("text")).alias("search_key"))
 
 
 @registered(f"SELECT doc_id, list_has_any(string_split(k, ' '), ['trash', 'contact', 'tel', 'token']) OR contains(k, 'of the') AS has_word FROM (SELECT doc_id, {_KEY} AS k FROM documents)")
 def keyword_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "documents").select("doc_id", T.has_word(T.search_key(F.col("text")), ("trash", "contact", "tel", "token", "of the")).alias("has_word"))
+    return _dealt(spark, sf_dir, "documents").select("doc_id", T.has_word(T.search_key(F.col("text")), ("trash", "contact", "tel", "token", "of the")).alias("has_word"))
 
 
 @registered("SELECT doc_id, place, substr(text, greatest(1, place - 300), CASE WHEN place > 300 THEN 600 ELSE place - 1 + 300 END) AS context FROM (SELECT doc_id, text, CAST(strpos(text, 'the') AS INTEGER) AS place FROM documents) WHERE place > 0")
@@ -535,7 +539,7 @@ FROM {orders}
 
 
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _table(spark, sf_dir, "orders").createOrReplaceTempView("siftline_orders")
+    _dealt(spark, sf_dir, "orders").createOrReplaceTempView("siftline_orders")
     return spark.sql(_ANSWERS.format(orders="siftline_orders").replace('\\"', '\\\\"'))
 
 
