@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from siftline.llm import byte_bpe, importance_resampling, simhash, source_mixing, toxicity
 from siftline.llm.queries import RANKS
 from siftline.llm.shared_storage import written
+from siftline.sources.tables import read_parquet
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +47,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read_parquet(spark, f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftline.llm import byte_bpe, importance_resampling, jump_hash, matroska, multiset_hash, quote_threads, simhash, source_mixing, stupid_backoff, toxicity
+from siftline.sources.tables import read_parquet
 
 #: The vocabulary of the byte-level BPE query.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
 def op1_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
