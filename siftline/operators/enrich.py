@@ -51,6 +51,6 @@ def enrich(companies: DataFrame, results: DataFrame, page_store: DataFrame, max_
         "legal_popup_detected": F.coalesce("_popup", F.lit(False)),
     }
     if audit:
-        made["sources"] = V.union_distinct(old("sources", None), F.col("_pages"))
+        made["sources"] = V.union_distinct(F.col("_pages"), old("sources", None))  # the site's own pages come first
     keepers = [c for c in results.columns if c not in made]
     return out.select(*keepers, *[x.alias(c) for c, x in made.items()])

@@ -37,10 +37,9 @@ def name_matches(text_key: Column, key: Column) -> Column:
 def address_matches(text_key: Column, address_key: Column, postal_key: Column) -> Column:
     """Two telling words of the address (or its only one) are in the text, and the postal code if there is one."""
     words = address_words(address_key)
-    hits = F.size(F.array_intersect(F.array_distinct(words), F.split(text_key, " ")))
-    repeated = F.size(F.filter(words, lambda w: F.array_contains(F.split(text_key, " "), w)))
+    hits = F.size(F.filter(words, lambda w: F.array_contains(F.split(text_key, " "), w)))
     postal = (F.coalesce(postal_key, F.lit("")) == "") | F.contains(text_key, postal_key)
-    return (F.size(words) > 0) & (F.greatest(hits, repeated) >= F.least(F.lit(2), F.size(words))) & postal
+    return (F.size(words) > 0) & (hits >= F.least(F.lit(2), F.size(words))) & postal
 
 
 def page_identity(rows: DataFrame) -> DataFrame:

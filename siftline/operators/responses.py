@@ -53,6 +53,11 @@ def usage_by_row(attempts: DataFrame, raw_col: str = "raw") -> DataFrame:
     return counted.groupBy("row_index").agg(*[F.sum(c).alias(c) for c in ("input_tokens", "output_tokens", "total_tokens")])
 
 
+def origin(raw: Column) -> dict[str, Column]:
+    """Which answer of which model: trimmed strings, empty where an answer doesn't say."""
+    return {name: F.coalesce(_text(raw, path), F.lit("")) for name, path in (("response_id", "$.id"), ("model_snapshot", "$.model"))}
+
+
 def output(raw: Column) -> Column:
     items = F.get_json_object(raw, "$.output")
     return F.coalesce(F.from_json(items, _OUTPUT), F.from_json(F.lit("[]"), _OUTPUT))

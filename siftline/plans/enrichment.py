@@ -64,7 +64,7 @@ def run(sheet: DataFrame, provider: Callable[[], responses.Provider], keep: Call
     usable = eligibility.is_processable(F.col("siret"), F.col("company_name"))
     asked = responses.requests(todo.filter(usable), c.model, c.instructions, c.template, c.unknown, c.context_size, c.audit)
     raw = keep(responses.call(asked, provider, c.tries, c.wait_s, c.concurrency), "raw-answers")
-    results = keep(_results(raw), "results")
+    results = keep(_results(raw, c.model), "results")
     fine = results.filter("error_type = ''")
     if c.read_sites and page_store is not None:
         fine = enrich.enrich(todo, fine, page_store, c.site_pages, c.audit, lambda df: keep(df, "walk"))
@@ -91,13 +91,13 @@ def run(sheet: DataFrame, provider: Callable[[], responses.Provider], keep: Call
     return Outcome(merged, everything, log, counters)
 
 
-def _results(raw: DataFrame) -> DataFrame:
-    """The last answer of each row decoded, with the usage and searches of all its attempts."""
+def _results(raw: DataFrame, model: str) -> DataFrame:
+    """The last answer of each row decoded, with where it comes from and the usage and searches of all its attempts."""
     costs = raw.withColumns({**responses.usage(F.col("raw")), "web_search_calls": responses.search_calls(F.col("raw"))})
     costs = costs.groupBy("row_index").agg(*[F.sum(x).cast("long").alias(x) for x in ("input_tokens", "output_tokens", "total_tokens", "web_search_calls")])
     last = raw.groupBy("row_index").agg(F.max_by(F.struct("raw", "error_type", "error_message"), "attempt").alias("r")).select("row_index", "r.*")
     read = responses.decoded(last.withColumn("answer", responses.answer_text(F.col("raw"))))
-    read = read.withColumn("sources", responses.sources(F.col("raw")))
+    read = read.withColumns({"sources": responses.sources(F.col("raw")), **responses.origin(F.col("raw")), "model_deployment": F.lit(model), "searched_at_utc": F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")})
     bad = (F.col("error_type") == "") & (F.col("decode_error") != "")
     read = read.withColumns({"error_message": F.when(bad, F.col("decode_error")).otherwise(F.col("error_message")), "error_type": F.when(bad, "UnreadableAnswer").otherwise(F.col("error_type"))})
     return responses.mark_methods(read).drop("raw", "answer", "decode_error").join(costs, "row_index")

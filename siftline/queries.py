@@ -549,6 +549,11 @@ def response_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _answers(spark, sf_dir).select("id", *[c.alias(n) for n, c in responses.usage(F.col("raw")).items()])
 
 
+@registered("SELECT o_orderkey AS id, concat('r', o_orderkey) AS response_id, '' AS model_snapshot FROM orders")
+def response_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _answers(spark, sf_dir).select("id", *[c.alias(n) for n, c in responses.origin(F.col("raw")).items()])
+
+
 @registered("""SELECT CAST(o_orderkey % 1000 AS INTEGER) AS row_index, CAST(sum(100 + o_orderkey % 900) AS BIGINT) AS input_tokens, CAST(sum(CASE WHEN o_orderkey % 5 < 2 THEN 0 ELSE 40 END) AS BIGINT) AS output_tokens,
   CAST(sum(CASE WHEN o_orderkey % 2 = 0 THEN 100 + o_orderkey % 900 + CASE WHEN o_orderkey % 5 < 2 THEN 0 ELSE 40 END ELSE 777 END) AS BIGINT) AS total_tokens FROM orders GROUP BY 1""")
 def usage_by_row(spark: SparkSession, sf_dir: str) -> DataFrame:

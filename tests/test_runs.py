@@ -39,7 +39,7 @@ def keep(spark, tmp_path):
 
 
 def test_whole_run(spark, keep):
-    answers = {"11111111111111": answer("info@atelier.fr"), "22222222222222": "no json here", "44444444444444": answer("never@asked.fr")}
+    answers = {"11111111111111": answer("info@atelier.fr", id=" r-1", model="m-2"), "22222222222222": "no json here", "44444444444444": answer("never@asked.fr")}
     out = enrichment.run(sheet(spark), responses.recorded(answers), keep, enrichment.Config(audit=True, wait_s=0))
     got = {r.row_index: r for r in out.sheet.collect()}
     assert (got[2].email, got[2].phone, got[2].website, got[2].status, got[2].email_source) == ("info@atelier.fr", MISSING, "https://atelier.fr/", "success", "https://atelier.fr/contact")
@@ -49,6 +49,7 @@ def test_whole_run(spark, keep):
     assert (c.scanned_rows, c.processed_rows, c.success_rows, c.technical_error_rows, c.invalid_input_rows) == (5, 4, 1, 2, 1)
     tokens = {r.row_index: (r.total_tokens, r.web_search_calls) for r in out.results.collect()}
     assert tokens[2] == (15, 1)
+    assert {(r.row_index, r.response_id, r.model_snapshot, r.model_deployment) for r in out.results.filter("row_index = 2").collect()} == {(2, "r-1", "m-2", "recorded")}
     again = {r.row_index: (r.email, r.status) for r in enrichment.recover(sheet(spark), out.journal).collect()}
     assert again == {k: (r.email, r.status) for k, r in got.items()}
     second = enrichment.run(out.sheet, responses.recorded({"22222222222222": answer("m@moulin.fr", verified=False)}), keep, enrichment.Config(wait_s=0))
