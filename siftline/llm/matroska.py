@@ -5,13 +5,14 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 # Element ids of the Matroska specification.
@@ -242,35 +243,50 @@ def payload(data: bytes) -> bytes:
 
 
 _PACKETS = "track int, timestamp long, byte_offset long, byte_size long, keyframe boolean, lacing string, block_offset long, cluster_offset long"
+_TRACKS = "track int, kind int, codec string, sampling_frequency double"
+_CUES = "timestamp long, track int, cluster_offset long"
 
 
-def packets(files: DataFrame, id_cols: list[str], media_col: str = "media", errors: str = "raise") -> DataFrame:
-    """A row per packet: ``id_cols``, track, timestamp (ms), byte range, keyframe, lacing, block and cluster positions.
+def _rows(files: DataFrame, id_cols: list[str], media_col: str, errors: str, ddl: str, found: Callable[[Parsed], list[tuple]]) -> DataFrame:
+    """A row per tuple that ``found`` makes of a file: ``id_cols`` and the columns of ``ddl``.
 
-    Null files have no packets. A broken file is an error, or with ``errors="skip"`` has none.
+    Null files have none. A broken file is an error, or with ``errors="skip"`` has none.
     """
+    schema = StructType([*files.select(*id_cols).schema.fields, *StructType.fromDDL(ddl).fields])
+    kinds = to_arrow_schema(StructType.fromDDL(ddl)).types
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                data = batch.column(batch.num_columns - 1)[row].as_py()
                 try:
-                    parsed = parse(data or b"")
+                    rows = found(parse(batch.column(batch.num_columns - 1)[row].as_py() or b""))
                 except (ValueError, IndexError, struct.error):
                     if errors == "raise":
                         raise
                     continue
-                if found := parsed.packets:
-                    ids = [pa.repeat(batch.column(i)[row], len(found)) for i in range(len(id_cols))]
-                    columns = [list(c) for c in zip(*found, strict=True)]
-                    columns[1] = [t * parsed.scale // 1_000_000 for t in columns[1]]
-                    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.string(), pa.int64(), pa.int64()]
-                    yield pa.RecordBatch.from_arrays([*ids, *map(pa.array, columns, kinds)], names=[*id_cols, *[x.split()[0] for x in _PACKETS.split(", ")]])
-
-    schema = StructType([*files.select(*id_cols).schema.fields, *StructType.fromDDL(_PACKETS).fields])
+                if rows:
+                    ids = [pa.repeat(batch.column(i)[row], len(rows)) for i in range(len(id_cols))]
+                    columns = [pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)]
+                    yield pa.RecordBatch.from_arrays([*ids, *columns], names=schema.names)
+
     return files.select(*id_cols, media_col).mapInArrow(run, schema)
 
 
+def packets(files: DataFrame, id_cols: list[str], media_col: str = "media", errors: str = "raise") -> DataFrame:
+    """A row per packet: ``id_cols``, track, timestamp (ms), byte range, keyframe, lacing, block and cluster positions; see ``_rows``."""
+    return _rows(files, id_cols, media_col, errors, _PACKETS, lambda p: [x._replace(timestamp=x.timestamp * p.scale // 1_000_000) for x in p.packets])
+
+
+def tracks(files: DataFrame, id_cols: list[str], media_col: str = "media", errors: str = "raise") -> DataFrame:
+    """A row per track: ``id_cols``, its number, kind (1 video, 2 audio), codec and sampling frequency; see ``_rows``."""
+    return _rows(files, id_cols, media_col, errors, _TRACKS, lambda p: p.tracks)
+
+
+def cues(files: DataFrame, id_cols: list[str], media_col: str = "media", errors: str = "raise") -> DataFrame:
+    """A row per cue: ``id_cols``, timestamp (ms), track and the byte position of its cluster; see ``_rows``."""
+    return _rows(files, id_cols, media_col, errors, _CUES, lambda p: [(t * p.scale // 1_000_000, *rest) for t, *rest in p.cues])
+
+
 def digests(files: DataFrame, media_col: str = "media") -> DataFrame:
     """``files`` without the media, with payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature.
 

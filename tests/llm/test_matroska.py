@@ -50,3 +50,7 @@ def test_documents_and_edge_cases(spark):
     assert [r.timestamp for r in table][:3] == [0, 24, 24] and {r.lacing for r in table} == set(M.LACINGS)
     assert M.packets(files.selectExpr("doc_id", "cast('junk' as binary) AS media"), ["doc_id"], errors="skip").count() == 0
     assert M.digests(M.store(docs.limit(0))).count() == 0
+    places = {r.cluster_offset for r in table}
+    assert [tuple(r) for r in M.tracks(files.filter("doc_id = 2"), ["doc_id"]).collect()] == [(2, 1, 2, "A_PCM/INT/LIT", 8000.0)]
+    found = M.cues(files.filter("doc_id = 5"), ["doc_id"]).collect()
+    assert {r.cluster_offset for r in found} == places and [r.timestamp for r in found] == sorted({min(p.timestamp for p in table if p.cluster_offset == c) for c in places})
