@@ -44,7 +44,7 @@ class ByteBPE:
                 if ranks.get(a, ranks[token]) < ranks[token] and ranks.get(b, ranks[token]) < ranks[token]:
                     merges.append((spelled[a], spelled[b]))
         self.tokens = {r: t for t, r in ranks.items()}
-        self._tokenizer = Tokenizer(models.BPE({spelled[t]: r for t, r in ranks.items()}, merges, ignore_merges=True, cache_capacity=100_000))
+        self._tokenizer = Tokenizer(models.BPE({spelled[t]: r for t, r in ranks.items()}, merges, ignore_merges=True))
         self._tokenizer.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.Split(Regex(pattern), "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
