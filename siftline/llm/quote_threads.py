@@ -76,7 +76,7 @@ def threads(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
     quoted_conv_id, quoted_turn, text, text_hash.
 
     A quote is linked to the first message of its own conversation that says it and comes earlier, else to the first
-    other message anywhere that does. reply_to_turn is the earlier message of the conversation most quoted at depth 1
+    message of any other conversation that does. reply_to_turn is the earlier message of the conversation most quoted at depth 1
     (by characters, then the latest); quoted_conv_id and quoted_turn name the most quoted message anywhere. A thread is
     a message that answers none, with all that answer it; position numbers a conversation's messages from 0 by (thread,
     turn, hash of the text), so that answers follow what they answer. ``text`` has no quotes left.
@@ -94,13 +94,17 @@ def threads(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
     asked = written(quotes.select("hash").distinct(), "quoted-hashes")
     said_by = says.join(asked, "hash")
     here = written(said_by.groupBy("conv_id", "hash").agg(F.min("turn").alias("here_turn")), "said-here")
-    first_two = said_by.groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("first"))
-    anywhere = written(first_two, "said-first")
-    found = quotes.join(here, ["conv_id", "hash"], "left").join(anywhere, "hash", "left")
+    sayer = F.min(F.struct("conv_id", F.col("here_turn").alias("turn")))
+    anywhere = written(here.groupBy("hash").agg(sayer.alias("first")), "said-first")
+    # the conversation that says it first may quote it before that: its quotes come from the first of the others
+    early = quotes.join(anywhere, "hash").filter(F.col("conv_id") == F.col("first.conv_id")).filter(F.col("first.turn") >= F.col("turn"))
+    others = here.join(early.select("hash", F.col("conv_id").alias("own_conv")).distinct(), "hash").filter("conv_id <> own_conv")
+    others = written(others.groupBy("hash").agg(sayer.alias("other")), "said-by-others")
+    found = quotes.join(here, ["conv_id", "hash"], "left").join(anywhere, "hash", "left").join(others, "hash", "left")
     inside = F.col("here_turn") < F.col("turn")
-    elsewhere = F.col("first").isNotNull() & ~((F.col("first.conv_id") == F.col("conv_id")) & (F.col("first.turn") >= F.col("turn")))
-    found = found.withColumn("to_conv", F.when(inside, F.col("conv_id")).when(elsewhere, F.col("first.conv_id")))
-    found = found.withColumn("to_turn", F.when(inside, F.col("here_turn")).when(elsewhere, F.col("first.turn")))
+    elsewhere = F.when(F.col("first.conv_id") == F.col("conv_id"), F.col("other")).otherwise(F.col("first"))
+    found = found.withColumn("to_conv", F.when(inside, F.col("conv_id")).otherwise(elsewhere["conv_id"]))
+    found = found.withColumn("to_turn", F.when(inside, F.col("here_turn")).otherwise(elsewhere["turn"]))
     # a passage found as a whole doesn't count its lines again
     by_passage = found.groupBy("conv_id", "turn", "passage").agg(F.max(F.col("whole") & F.col("to_turn").isNotNull()).alias("hit"), F.max(F.col("to_turn").isNotNull()).alias("any_hit"))
     found = written(found.join(by_passage, ["conv_id", "turn", "passage"]).filter(F.col("whole") | ~F.col("hit")), "quotes")

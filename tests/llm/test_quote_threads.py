@@ -104,3 +104,12 @@ def test_edge_cases(spark):
     check(spark, rows)
     df = spark.createDataFrame([(1, 0, "user", "x", "y")], SCHEMA)
     assert Q.threads(df.limit(0)).count() == 0
+
+
+def test_quotes_said_later_here_are_found_in_other_conversations(spark):
+    x = "what several conversations say alike"
+    rows = [(1, 5, f"> {x}\nfirst answer"), (1, 7, x), (2, 0, x), (3, 0, x), (4, 1, f"> {x}\nsecond answer"), (5, 1, "> said only later on, and here"), (5, 2, "said only later on, and here")]
+    got = {(r.conv_id, r.turn): (r.n_linked, r.reply_to_turn, r.quoted_conv_id, r.quoted_turn) for r in Q.threads(spark.createDataFrame([(c, t, "user", x, "") for c, t, x in rows], SCHEMA)).collect()}
+    assert got[1, 5] == (1, None, 2, 0)
+    assert got[4, 1] == (1, None, 1, 7)
+    assert got[5, 1] == (0, None, None, None)
