@@ -20,7 +20,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quote_threads.threads(_table(spark, sf_dir, "conversations"))
+    return quote_threads.threads(_table(spark, sf_dir, "conversations"), elsewhere_chars=quote_threads.ELSEWHERE_CHARS)
 
 
 def op2_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:

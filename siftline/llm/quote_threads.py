@@ -20,8 +20,8 @@ from siftline.llm.shared_storage import checkpointed, written
 _MARKS = re.compile(r"[ \t]*(?:>[ \t]*)+")
 # How an introduction to a quote ends in four languages.
 _INTRODUCTION = re.compile(r"(?:wrote|écrit|schrieb|escribió)[^\n]{0,40}:\s*$", re.I)
-#: Shorter passages say too little about where they come from.
-LEAST_CHARS = 12
+#: Shorter passages say too little about which other conversation they come from; the query links them inside their own.
+ELSEWHERE_CHARS = 12
 _SAID = "struct<body: string, own: array<bigint>, quotes: array<struct<level: int, passage: int, whole: boolean, hash: bigint, chars: int>>>"
 
 
@@ -67,16 +67,17 @@ def said(text: str | None) -> tuple[str, list[int], list[dict]]:
         own.update([normal(" ".join(run)), *map(normal, run)])
     for number, (depth, run) in enumerate(r for r in passages(lines) if r[0]):
         units = [(True, normal(" ".join(run)))] + [(False, normal(x)) for x in run if len(run) > 1]
-        quotes += [{"level": depth, "passage": number, "whole": whole, "hash": _hash(u), "chars": len(u)} for whole, u in units if len(u) >= LEAST_CHARS]
-    return body, sorted(_hash(u) for u in own if len(u) >= LEAST_CHARS), quotes
+        quotes += [{"level": depth, "passage": number, "whole": whole, "hash": _hash(u), "chars": len(u)} for whole, u in units if u]
+    return body, sorted(_hash(u) for u in own if u), quotes
 
 
-def threads(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text") -> DataFrame:
+def threads(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", text_col: str = "text", elsewhere_chars: int = 1) -> DataFrame:
     """A row per row of ``messages``: conv_id, turn, position, thread_turn, reply_to_turn, reply_depth, n_quotes, n_linked,
     quoted_conv_id, quoted_turn, text, text_hash.
 
     A quote is linked to the first message of its own conversation that says it and comes earlier, else to the first
-    message of any other conversation that does. reply_to_turn is the earlier message of the conversation most quoted at depth 1
+    message of any other conversation that does; passages and lines of fewer than ``elsewhere_chars`` normalised
+    characters are linked inside their own conversation only, and count in n_quotes like any other. reply_to_turn is the earlier message of the conversation most quoted at depth 1
     (by characters, then the latest); quoted_conv_id and quoted_turn name the most quoted message anywhere. A thread is
     a message that answers none, with all that answer it; position numbers a conversation's messages from 0 by (thread,
     turn, hash of the text), so that answers follow what they answer. ``text`` has no quotes left.
@@ -97,12 +98,12 @@ def threads(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
     sayer = F.min(F.struct("conv_id", F.col("here_turn").alias("turn")))
     anywhere = written(here.groupBy("hash").agg(sayer.alias("first")), "said-first")
     # the conversation that says it first may quote it before that: its quotes come from the first of the others
-    early = quotes.join(anywhere, "hash").filter(F.col("conv_id") == F.col("first.conv_id")).filter(F.col("first.turn") >= F.col("turn"))
+    early = quotes.filter(F.col("chars") >= elsewhere_chars).join(anywhere, "hash").filter(F.col("conv_id") == F.col("first.conv_id")).filter(F.col("first.turn") >= F.col("turn"))
     others = here.join(early.select("hash", F.col("conv_id").alias("own_conv")).distinct(), "hash").filter("conv_id <> own_conv")
     others = written(others.groupBy("hash").agg(sayer.alias("other")), "said-by-others")
     found = quotes.join(here, ["conv_id", "hash"], "left").join(anywhere, "hash", "left").join(others, "hash", "left")
     inside = F.col("here_turn") < F.col("turn")
-    elsewhere = F.when(F.col("first.conv_id") == F.col("conv_id"), F.col("other")).otherwise(F.col("first"))
+    elsewhere = F.when(F.col("chars") < elsewhere_chars, F.lit(None)).when(F.col("first.conv_id") == F.col("conv_id"), F.col("other")).otherwise(F.col("first"))
     found = found.withColumn("to_conv", F.when(inside, F.col("conv_id")).otherwise(elsewhere["conv_id"]))
     found = found.withColumn("to_turn", F.when(inside, F.col("here_turn")).otherwise(elsewhere["turn"]))
     # a passage found as a whole doesn't count its lines again

@@ -113,3 +113,13 @@ def test_quotes_said_later_here_are_found_in_other_conversations(spark):
     assert got[1, 5] == (1, None, 2, 0)
     assert got[4, 1] == (1, None, 1, 7)
     assert got[5, 1] == (0, None, None, None)
+
+
+def test_short_quotes(spark):
+    rows = [(1, 0, "Yes, I agree"), (1, 1, "Why?"), (1, 2, "> why?\nsince it is so"), (1, 3, "> 好的，明天见\nfine"), (2, 0, "> Why?\n> why?\nno idea"), (3, 0, "好的，明天见")]
+    df = spark.createDataFrame([(c, t, "user", x, "") for c, t, x in rows], SCHEMA)
+    for least, other in ((1, (1, 1, 1)), (Q.ELSEWHERE_CHARS, (0, None, None))):
+        got = {(r.conv_id, r.turn): (r.n_quotes, r.reply_to_turn, r.thread_turn, r.n_linked, r.quoted_conv_id, r.quoted_turn) for r in Q.threads(df, elsewhere_chars=least).collect()}
+        assert got[1, 2] == (1, 1, 1, 1, 1, 1)
+        assert got[2, 0] == (1, None, 0, *other)
+        assert got[1, 3] == (1, None, 3, *((1, 3, 0) if least == 1 else (0, None, None)))
