@@ -8,7 +8,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siftline.llm import byte_bpe, importance_resampling, simhash, source_mixing, toxicity
+from siftline.llm import byte_bpe, importance_resampling, near_copies, source_mixing, toxicity
 from siftline.llm.queries import RANKS
 from siftline.llm.shared_storage import written
 from siftline.sources.tables import read_parquet
@@ -23,7 +23,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.one_per_group(docs)
+    return near_copies.one_per_group(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

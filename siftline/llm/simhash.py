@@ -247,6 +247,11 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     order = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("id"), F.col("text_hash").alias("h"))
     kept = g.groupBy("component", F.when(F.col("component").isNull(), F.col("fp")).alias("f")).agg(F.min(order).alias("k"))
     kept = kept.select(F.col("k.id").alias("_id"), F.col("k.h").alias("_h")).distinct()
+    return keep_rows(docs, kept, id_col, text_col)
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row of ``docs`` for each row of ``kept``: (_id, _h), an id and the hash of its text."""
     keyed = docs.withColumn("_h", F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))).withColumn("_id", F.col(id_col))
     hit = keyed.join(kept, keyed["_id"].eqNullSafe(kept["_id"]) & (keyed["_h"] == kept["_h"]), "left_semi")
     firsts = hit.groupBy("_id", "_h").agg(*[F.first(F.col(c)).alias(c) for c in docs.columns])
