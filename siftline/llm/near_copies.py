@@ -1,10 +1,19 @@
 """Groups of near copies: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-SimHash within a few bits leaves most edited copies, so candidates come from a complete prefix join. Each set is put in
-one global order, frequent shingles last. Two sets of at least 0.8 share ceil(0.8 n) shingles or more, so the first m
-that they share lie among the first n - ceil(0.8 n) + m of either. Only these are joined, m being 1 + n // 20 (of the
-smaller set); pairs that share m are compared by their whole sets. The order decides only how many candidates there
-are, never which pairs are found, so frequent shingles may be guessed from a sample.
+SimHash within a few bits leaves most edited copies, so fingerprints choose what is compared and sets decide:
+
+1. Anchor covering (``simhash.links``) joins 64-bit fingerprints within three bits by a forest of links.
+2. A complete prefix join finds what lies further apart. Each set is put in one global order, frequent shingles last. Two
+   sets of at least 0.8 share ceil(0.8 n) shingles or more, so they share one among the first n - ceil(0.8 n) + 1 of
+   either. Documents meet at the shingles of these prefixes; each takes one leader there that is close by a 128-bit
+   SimHash, so a meeting of any size gives a row per member.
+3. The links of both are checked by the whole sets, and their components are formed.
+4. Documents of different components that meet are compared once more, each with each, by the 128-bit SimHash; what is
+   within ``PLAUSIBLE_BITS`` is checked by the whole sets too. Members of one component need no further links.
+
+Sets of similarity 0.8 differ in 15 % of SimHash bits (19 % for the smallest sets); more than 48 of 128 bits is over five
+standard deviations off: one such pair in ten million would be missed. The order of shingles decides only how many meet,
+never which pairs are found, so frequent shingles may be guessed from a sample.
 """
 
 from __future__ import annotations
@@ -19,13 +28,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftline.llm.shared_storage import written
-from siftline.llm.simhash import _LOWER, connected, keep_rows
+from siftline.llm.simhash import _LOWER, connected, keep_rows, links
+from siftline.llm.word_hashes import mix
 
 SHINGLE_WORDS = 5
 #: Least Jaccard similarity, in tenths.
 LEAST_TENTHS = 8
-#: Candidates share one prefix shingle and one more for each so many shingles of the smaller set.
-STEP = 20
+#: Of 128 bits: within which a document takes a leader, and beyond which no pair is compared.
+LEADER_BITS, PLAUSIBLE_BITS = 28, 48
+#: Rows of one meeting that a task holds; larger meetings are split.
+MEMBERS_PER_TASK = 4096
 #: Rows from which frequent shingles are guessed, how often they occur there, and how many are kept (bounded).
 SAMPLE_ROWS, SAMPLE_LEAST, FREQUENT = 20_000, 4, 1 << 17
 
@@ -42,14 +54,24 @@ def shingles(text: str | None, size: int = SHINGLE_WORDS) -> tuple[int, np.ndarr
     return body, np.unique(np.array([digest(joined[a : b - 1], 42) for a, b in zip(ends, ends[size:], strict=False)], np.uint64))
 
 
+def set_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """Two unsigned 64-bit halves of the SimHash of a set of shingle hashes."""
+    ones = np.zeros(128, np.int64)
+    for at in range(0, len(hashes), 1 << 15):
+        part = hashes[at : at + (1 << 15)]
+        both = np.stack((part, mix(part)), 1)
+        ones += np.unpackbits(both.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)
+
+
 def prefix(hashes: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The first shingles by (frequency in the sample, hash), enough to share ``1 + n // STEP`` with any near copy."""
+    """The first shingles by (frequency in the sample, hash), enough to share one with any near copy."""
     n = len(hashes)
     often = np.zeros(n, np.int64)
     if len(frequent) and n:
         at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
         often = np.where(frequent[at] == hashes, counts[at], 0)
-    return hashes[np.argsort(often, kind="stable")][: n - -(-LEAST_TENTHS * n // 10) + 1 + n // STEP if n else 0]
+    return hashes[np.argsort(often, kind="stable")][: n - -(-LEAST_TENTHS * n // 10) + 1 if n else 0]
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -73,23 +95,112 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _prefixes(frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies, sizes, firsts = [], [], []
+            bodies, sizes, prints, firsts = [], [], [], []
             for x in batch.column(1):
                 body, found = shingles(x.as_py())
                 bodies.append(body)
                 sizes.append(len(found))
+                prints.append(set_fingerprint(found))
                 firsts.append(prefix(found, *frequent.value))
-            columns = [batch.column(0), batch.column(2), pa.array(bodies, pa.int64()), pa.array(sizes, pa.int32()), _lists(firsts)]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "text_hash", "body", "n", "first"])
+            halves = np.array(prints, np.uint64).reshape(-1, 2).view(np.int64)
+            columns = [batch.column(0), batch.column(2), pa.array(bodies, pa.int64()), pa.array(sizes, pa.int32()), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), _lists(firsts)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "text_hash", "body", "n", "fp", "fp2", "first"])
 
     return run
 
 
-def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _meetings(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """(columns, starts of groups with an end) of whole groups; rows come sorted by the first ``keys`` columns."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        held = [np.concatenate(x) for x in zip(held, columns, strict=True)] if held else columns
+        new = np.zeros(max(len(held[0]) - 1, 0), bool)
+        for c in held[:keys]:
+            new |= c[1:] != c[:-1]
+        starts = np.flatnonzero(new) + 1
+        if len(starts):
+            yield [c[: starts[-1]] for c in held], np.concatenate(([0], starts))
+            held = [c[starts[-1] :] for c in held]
+    if held and len(held[0]):
+        yield held, np.array([0, len(held[0])])
+
+
+def _bits(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    return np.bitwise_count((a[0] ^ b[0]).view(np.uint64)) + np.bitwise_count((a[1] ^ b[1]).view(np.uint64))
+
+
+def _alike(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes can be near copies."""
+    return 10 * np.minimum(n, m) >= LEAST_TENTHS * np.maximum(n, m)
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+
+def _led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (s, part, body, n, fp, fp2) to a pair per member with the first that is close to it; those lead who have none."""
+    for (_, _, body, n, *fp), starts in _meetings(batches, 2):
+        sizes = np.diff(starts)
+        for m in np.unique(sizes[(sizes > 1) & (sizes <= 8)]):
+            at = starts[:-1][sizes == m][:, None] + np.arange(m)
+            x, y = [c[at][:, :, None] for c in (n, *fp)], [c[at][:, None, :] for c in (n, *fp)]
+            close = _alike(x[0], y[0]) & (_bits(x[1:], y[1:]) <= LEADER_BITS) & np.tri(m, k=-1, dtype=bool)
+            g, i = np.nonzero(close.any(2))
+            yield _pairs(body[at[g, i]], body[at[g, close[g, i].argmax(1)]])
+        for s, e in zip(starts[:-1][sizes > 8], starts[1:][sizes > 8], strict=True):
+            left = np.arange(s, e)
+            while len(left) > 1:
+                lead, rest = left[0], left[1:]
+                close = _alike(n[rest], n[lead]) & (_bits([c[rest] for c in fp], [c[lead] for c in fp]) <= LEADER_BITS)
+                if close.any():
+                    yield _pairs(body[rest[close]], np.repeat(body[lead], close.sum()))
+                left = rest[~close]
+
+
+def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (s, part, role, body, label, n, fp, fp2), role 0 home, 1 visitor, 2 both, to plausible pairs of other components."""
+    for (_, _, role, body, label, *rest), starts in _meetings(batches, 2):
+        sizes, (n, *fp) = np.diff(starts), rest
+        mixed = np.zeros(len(body), bool)
+        mixed[1:] = label[1:] != label[:-1]
+        mixed[starts[:-1]] = False
+        mixed = np.add.reduceat(mixed, starts[:-1], dtype=np.int64) > 0
+        small = mixed & (sizes <= 8) & (role[starts[:-1]] == 2)
+        for m in np.unique(sizes[small]):
+            at = starts[:-1][small & (sizes == m)][:, None] + np.arange(m)
+            x, y = [c[at][:, :, None] for c in (label, n, *fp)], [c[at][:, None, :] for c in (label, n, *fp)]
+            near = (x[0] != y[0]) & _alike(x[1], y[1]) & (_bits(x[2:], y[2:]) <= PLAUSIBLE_BITS) & np.tri(m, k=-1, dtype=bool)
+            g, i, j = np.nonzero(near)
+            yield _pairs(body[at[g, i]], body[at[g, j]])
+        for s, e in zip(starts[:-1][mixed & ~small], starts[1:][mixed & ~small], strict=True):
+            visitors, homes = s + np.flatnonzero(role[s:e] > 0), s + np.flatnonzero(role[s:e] != 1)
+            for at in range(0, len(visitors), 256):
+                v = visitors[at : at + 256]
+                near = (label[v][:, None] != label[homes]) & _alike(n[v][:, None], n[homes])
+                near &= _bits([c[v][:, None] for c in fp], [c[homes] for c in fp]) <= PLAUSIBLE_BITS
+                i, j = np.nonzero(near)
+                yield _pairs(body[v[i]], body[homes[j]])
+
+
+def _near(pairs: DataFrame, bodies: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose whole sets have the similarity; only texts of these pairs are read again."""
+    asked = pairs.select(F.col("a").alias("body")).union(pairs.select("b")).distinct().join(bodies.select("body", "k"), "body")
+    asked = written(asked.select(F.col("k.id").alias("asked_id"), F.col("k.h").alias("asked_hash")), "asked")
+    there = texts.join(asked, texts["id"].eqNullSafe(asked["asked_id"]) & (texts["text_hash"] == asked["asked_hash"]), "left_semi")
+    sets = written(there.select("t").mapInArrow(_sets, "body long, all array<long>").groupBy("body").agg(F.first("all").alias("all")), "shingle-sets")
+    both = pairs.join(sets.select(F.col("body").alias("a"), F.col("all").alias("x")), "a").join(sets.select(F.col("body").alias("b"), F.col("all").alias("y")), "b")
+    shared = F.size(F.array_intersect("x", "y"))
+    return written(both.filter(10 * shared >= LEAST_TENTHS * (F.size("x") + F.size("y") - shared)).select("a", "b"), "near")
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", members_per_task: int = MEMBERS_PER_TASK) -> DataFrame:
     """The rows of ``docs`` with one row of each group of near copies: the smallest (id, hash of the text).
 
-    Groups are the components of all pairs of similarity 0.8 or more. Texts without words are one group. The columns
-    and their order stay; rows without an id count after those with one.
+    Groups are the components of all pairs of similarity 0.8 or more. Null, empty and wordless texts are one group. The
+    columns and their order stay, whatever their names; rows without an id count after those with one. Of rows that
+    share id and text the least by its other columns stays. Texts are taken whole; an empty table stays empty.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
@@ -99,23 +210,52 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     often = sample.groupBy("s").agg(F.sum("n").alias("n")).filter(F.col("n") >= SAMPLE_LEAST).orderBy(F.desc("n"), "s").limit(FREQUENT).toArrow()  # bounded
     words, n = often["s"].to_numpy().view(np.uint64), often["n"].to_numpy()
     order = np.argsort(words)
-    prints = texts.mapInArrow(_prefixes(spark.sparkContext.broadcast((words[order], n[order]))), f"id {kind}, text_hash long, body long, n int, first array<long>")
+    prints = texts.mapInArrow(_prefixes(spark.sparkContext.broadcast((words[order], n[order]))), f"id {kind}, text_hash long, body long, n int, fp long, fp2 long, first array<long>")
     row = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("text_hash").alias("h"))
-    bodies = written(prints.groupBy("body").agg(F.min(row).alias("k"), F.first("n").alias("n"), F.first("first").alias("first")), "bodies")
+    bodies = written(prints.groupBy("body").agg(F.min(row).alias("k"), *[F.first(c).alias(c) for c in ("n", "fp", "fp2", "first")]), "bodies")
 
-    held = bodies.select(F.explode("first").alias("s"), "body", "n")
-    a, b = held.alias("a"), held.alias("b")
-    near = (F.col("a.body") < F.col("b.body")) & (10 * F.least("a.n", "b.n") >= LEAST_TENTHS * F.greatest("a.n", "b.n"))
-    met = a.join(b, F.col("a.s") == F.col("b.s")).filter(near).select(F.col("a.body").alias("a"), F.col("b.body").alias("b"), F.least("a.n", "b.n").alias("n"))
-    pairs = written(met.groupBy("a", "b", "n").count().filter(F.col("count") > F.floor(F.col("n") / STEP)).select("a", "b"), "candidates")
-    asked = pairs.select(F.col("a").alias("body")).union(pairs.select("b")).distinct().join(bodies.select("body", "k"), "body")
-    asked = written(asked.select(F.col("k.id").alias("asked_id"), F.col("k.h").alias("asked_hash")), "asked")
-    there = texts.join(asked, texts["id"].eqNullSafe(asked["asked_id"]) & (texts["text_hash"] == asked["asked_hash"]), "left_semi")
-    sets = written(there.select("t").mapInArrow(_sets, "body long, all array<long>").groupBy("body").agg(F.first("all").alias("all")), "shingle-sets")
-    both = pairs.join(sets.select(F.col("body").alias("a"), F.col("all").alias("x")), "a").join(sets.select(F.col("body").alias("b"), F.col("all").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    edges = both.filter(10 * shared >= LEAST_TENTHS * (F.size("x") + F.size("y") - shared)).select("a", "b")
+    # by anchors: the forest of close fingerprints, and all texts of one fingerprint with the first of them
+    leads = written(bodies.groupBy("fp").agg(F.min("body").alias("lead")), "leads")
+    forest = links(leads)
+    for end in ("a", "b"):
+        forest = forest.join(leads.select(F.col("fp").alias(end), F.col("lead").alias(f"lead_{end}")), end)
+    same = bodies.select("fp", "body").join(leads, "fp").filter("body <> lead").select(F.least("body", "lead").alias("a"), F.greatest("body", "lead").alias("b"))
+    anchored = forest.select(F.least("lead_a", "lead_b").alias("a"), F.greatest("lead_a", "lead_b").alias("b")).union(same)
+
+    # by prefixes: only shingles at which several documents meet
+    held = bodies.select(F.explode("first").alias("s"), "body")
+    counts = held.groupBy("s").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    met = written(held.join(counts, "s").join(bodies.select("body", "n", "fp", "fp2"), "body").select("s", "members", "body", "n", "fp", "fp2"), "meetings")
+    parts = F.ceil(F.col("members") / members_per_task).cast("int")
+    part = F.pmod(F.xxhash64("body"), parts).cast("int").alias("part")
+    dealt = met.select("s", part, "body", "n", "fp", "fp2").repartition("s", "part").sortWithinPartitions("s", "part", "body")
+    pairs = written(dealt.mapInArrow(_led, "a long, b long").union(anchored).distinct(), "candidates")
+    edges = _near(pairs, bodies, texts)
     labels = written(connected(edges), "labels")
+
+    # what meets and is still apart
+    met = met.join(labels.withColumnRenamed("node", "body"), "body", "left").withColumn("label", F.coalesce("label", "body"))
+    whole = met.filter(F.col("members") <= members_per_task).select("s", F.lit(0).alias("part"), F.lit(2).alias("role"), "body", "label", "n", "fp", "fp2")
+    dealt = whole.union(_cells(met.filter(F.col("members") > members_per_task), members_per_task)).repartition("s", "part").sortWithinPartitions("s", "part", "role")
+    further = written(dealt.mapInArrow(_apart, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti"), "further-candidates")
+    labels = written(connected(edges.union(_near(further, bodies, texts))), "all-labels")
+
     grouped = bodies.select("body", "k").join(labels, bodies["body"] == labels["node"], "left")
     kept = grouped.groupBy(F.coalesce("label", "body").alias("component")).agg(F.min("k").alias("k"))
     return keep_rows(docs, kept.select(F.col("k.id").alias("_id"), F.col("k.h").alias("_h")), id_col, text_col)
+
+
+def _cells(crowded: DataFrame, members_per_task: int) -> DataFrame:
+    """Large meetings as cells of homes and visitors. Homes are the members outside the meeting's largest component: a
+    pair of two components has one of these at least."""
+    of = crowded.groupBy("s", "label").agg(F.count(F.lit(1)).alias("c"))
+    top = of.groupBy("s").agg(F.max_by("label", F.struct("c", "label")).alias("top"), (F.sum("c") - F.max("c")).alias("homes"), F.sum("c").alias("all"))
+    rows = crowded.join(top.filter("homes > 0"), "s")
+    n_homes, n_all = (F.ceil(F.col(c) / members_per_task).cast("int") for c in ("homes", "all"))
+    own = lambda n: F.pmod(F.xxhash64("body"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    rest = ["body", "label", "n", "fp", "fp2"]
+    home = rows.filter("label <> top").select("s", (own(n_homes) * n_all).alias("first"), every(n_all).alias("step"), F.lit(0).alias("role"), *rest)
+    visitor = rows.select("s", own(n_all).alias("first"), n_all.alias("cells"), every(n_homes).alias("step"), F.lit(1).alias("role"), *rest)
+    visitor = visitor.select("s", "first", (F.col("step") * F.col("cells")).alias("step"), "role", *rest)
+    return home.union(visitor).select("s", (F.col("first") + F.col("step")).alias("part"), "role", *rest)

@@ -216,20 +216,21 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp, text_hash, component): component is the smallest id whose text is reachable over links.
+    """(id, fp, text_hash, component, label): component is the smallest id whose text is reachable over links.
 
     Null and empty texts have fingerprint zero and link like any other. Null ids are grouped with the others and are
-    never the smallest (null only where a whole component has no id). Repeated rows stay rows. An empty table gives
-    an empty table; other columns are not read.
+    never the smallest (null only where a whole component has no id); ``label``, a fingerprint of the component, tells
+    such components apart. Repeated rows stay rows. An empty table gives an empty table; other columns are not read.
     """
     prints = written(with_fingerprints(docs, id_col, text_col), "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
     labels = written(connected(links(distinct)), "labels")
     member = written(labels.join(distinct, labels["node"] == distinct["fp"]).select("fp", "label", "least"), "members")
     smallest = written(member.groupBy("label").agg(F.min("least").alias("component")), "smallest")
-    linked = member.join(smallest, "label").select(F.col("fp").alias("linked_fp"), "component")
-    of = written(distinct.join(linked, distinct["fp"] == linked["linked_fp"], "left").select(F.col("fp").alias("k"), F.coalesce("component", "least").alias("component")), "components")
-    return prints.join(of, prints["fp"] == of["k"]).select("id", "fp", "text_hash", "component")
+    linked = member.join(smallest, "label").select(F.col("fp").alias("linked_fp"), "component", "label")
+    of = distinct.join(linked, distinct["fp"] == linked["linked_fp"], "left")
+    of = written(of.select(F.col("fp").alias("k"), F.coalesce("component", "least").alias("component"), F.coalesce("label", "fp").alias("label")), "components")
+    return prints.join(of, prints["fp"] == of["k"]).select("id", "fp", "text_hash", "component", "label")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -241,18 +242,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with one row of each group: the smallest (id, hash of the text).
 
-    The columns and their order stay; rows without an id count after those with one.
+    The columns and their order stay, whatever their names; rows without an id count after those with one, and a group
+    without any id keeps one row as well. Of rows that share id and text the least by its other columns stays.
     """
     g = groups(docs, id_col, text_col)
     order = F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("id"), F.col("text_hash").alias("h"))
-    kept = g.groupBy("component", F.when(F.col("component").isNull(), F.col("fp")).alias("f")).agg(F.min(order).alias("k"))
-    kept = kept.select(F.col("k.id").alias("_id"), F.col("k.h").alias("_h")).distinct()
-    return keep_rows(docs, kept, id_col, text_col)
+    kept = g.groupBy("label").agg(F.min(order).alias("k"))
+    return keep_rows(docs, kept.select(F.col("k.id").alias("_id"), F.col("k.h").alias("_h")), id_col, text_col)
 
 
 def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row of ``docs`` for each row of ``kept``: (_id, _h), an id and the hash of its text."""
-    keyed = docs.withColumn("_h", F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))).withColumn("_id", F.col(id_col))
+    """One row of ``docs`` for each row of ``kept``: (_id, _h), an id and the hash of its text.
+
+    Of rows that share both the least by its columns stays; maps and variants have no order, there any of them does.
+    """
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    place = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    keyed = plain.withColumn("_h", F.xxhash64(F.coalesce(F.col(place[text_col]), F.lit("")))).withColumn("_id", F.col(place[id_col]))
     hit = keyed.join(kept, keyed["_id"].eqNullSafe(kept["_id"]) & (keyed["_h"] == kept["_h"]), "left_semi")
-    firsts = hit.groupBy("_id", "_h").agg(*[F.first(F.col(c)).alias(c) for c in docs.columns])
-    return firsts.select(*docs.columns)
+    ordered = not any(t in f.dataType.simpleString() for f in docs.schema for t in ("map<", "variant"))
+    one = F.min(F.struct(*plain.columns)) if ordered else F.first(F.struct(*plain.columns))
+    return hit.groupBy("_id", "_h").agg(one.alias("r")).select("r.*").toDF(*docs.columns)

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 import corpus_pipeline
 from siftline.llm import near_copies
 
@@ -41,7 +43,8 @@ def test_edited_copies_in_the_pipeline_stage(spark):
     assert sorted(r.doc_id for r in kept.collect()) == want
 
 
-def test_edits_near_the_bound_chains_and_shared_passages(spark):
+@pytest.mark.parametrize("members", [near_copies.MEMBERS_PER_TASK, 5])
+def test_edits_near_the_bound_chains_and_shared_passages(spark, members):
     rng = random.Random(8)
     word = lambda: f"w{rng.randrange(5000)}"
     rows, passage = [], [word() for _ in range(40)]
@@ -53,13 +56,27 @@ def test_edits_near_the_bound_chains_and_shared_passages(spark):
                 text[rng.randrange(len(text))] = word()
     rng.shuffle(rows)
     want, edited = brute(rows)
-    kept = near_copies.one_per_group(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    kept = near_copies.one_per_group(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), members_per_task=members)
     assert sorted(r.doc_id for r in kept.collect()) == want and edited > 20
 
 
+def test_drifting_copies_of_one_text(spark):
+    rng = random.Random(3)
+    text, rows = [f"w{rng.randrange(5000)}" for _ in range(120)], []
+    for i in range(300):
+        text = list(text)
+        for _ in range(rng.choice([1, 1, 3, 9])):
+            text[rng.randrange(len(text))] = f"w{rng.randrange(5000)}"
+        rows.append((i, " ".join(text)))
+    rng.shuffle(rows)
+    want, edited = brute(rows)
+    kept = near_copies.one_per_group(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), members_per_task=16)
+    assert sorted(r.doc_id for r in kept.collect()) == want and edited > 200 and len(want) > 1
+
+
 def test_edge_cases(spark):
     rows = [(3, None), (9, ""), (5, " \t\n"), (None, "one two three"), (8, "One  two\nthree"), (8, "One  two\nthree"), (7, "solo"), (2, "word " * 60000), (1, "WORD " * 40000)]
-    docs = spark.createDataFrame([(*r, "clash", 1) for r in rows], "doc_id long, text string, body string, n int")
+    docs = spark.createDataFrame([(*r, "clash", 1, 2, 3) for r in rows], "doc_id long, text string, body string, n int, _h int, _id int")
     kept = near_copies.one_per_group(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3, 7, 8]
     assert near_copies.one_per_group(docs.limit(0)).count() == 0

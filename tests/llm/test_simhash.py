@@ -87,3 +87,12 @@ def test_edge_cases(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 7, 8]
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
     assert simhash.one_per_group(docs.filter(F.lit(False))).count() == 0
+
+
+def test_one_row_of_groups_without_ids_and_clashing_names(spark):
+    rows = [(None, "one two three", 5, 1), (None, "One two  three", 4, 1), (2, "other words here", 3, 1), (2, "other words here", 1, 1), (2, "other words here", 2, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _h int, _id int")
+    kept = simhash.one_per_group(docs)
+    assert kept.columns == docs.columns
+    got = sorted(kept.collect(), key=lambda r: r.doc_id or 0)
+    assert [r.doc_id for r in got] == [None, 2] and got[1]["_h"] == 1
