@@ -8,12 +8,15 @@ SimHash within a few bits leaves most edited copies, so fingerprints choose what
    either. Documents meet at the shingles of these prefixes; each takes one leader there that is close by a 128-bit
    SimHash, so a meeting of any size gives a row per member.
 3. The links of both are checked by the whole sets, and their components are formed.
-4. Documents of different components that meet are compared once more, each with each, by the 128-bit SimHash; what is
-   within ``PLAUSIBLE_BITS`` is checked by the whole sets too. Members of one component need no further links.
-
-Sets of similarity 0.8 differ in 15 % of SimHash bits (19 % for the smallest sets); more than 48 of 128 bits is over five
-standard deviations off: one such pair in ten million would be missed. The order of shingles decides only how many meet,
-never which pairs are found, so frequent shingles may be guessed from a sample.
+4. Documents of different components that meet are compared once more, each with each, by parities: a set's 1024 bits
+   say whether an odd number of its shingles fall on each of 1024 places. Two sets differ in at least as many shingles as
+   their parities differ in bits, and in at most a ninth of their sizes' sum at 0.8, so no pair is lost. What passes is
+   held against up to 8192 parities and at last checked by the whole sets. Members of one component need no further
+   links, so at first each document takes one partner of another component a meeting, by SimHash again, and all pairs
+   only of what is apart after that.
+
+The order of shingles decides only how many meet, never which pairs are found, so frequent shingles may be guessed from
+a sample. SimHash decides only which pairs are checked first.
 """
 
 from __future__ import annotations
@@ -34,8 +37,10 @@ from siftline.llm.word_hashes import mix
 SHINGLE_WORDS = 5
 #: Least Jaccard similarity, in tenths.
 LEAST_TENTHS = 8
-#: Of 128 bits: within which a document takes a leader, and beyond which no pair is compared.
-LEADER_BITS, PLAUSIBLE_BITS = 28, 48
+#: Of 128 bits: within which a document takes a leader.
+LEADER_BITS = 28
+#: Bits of a set's parities where documents meet, and at most.
+PARITIES, MOST_PARITIES = 1024, 8192
 #: Rows of one meeting that a task holds; larger meetings are split.
 MEMBERS_PER_TASK = 4096
 #: Rows from which frequent shingles are guessed, how often they occur there, and how many are kept (bounded).
@@ -64,6 +69,24 @@ def set_fingerprint(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)
 
 
+def parities(hashes: np.ndarray) -> bytes:
+    """For each place that a shingle hash can fall on, whether an odd number of the set does; larger sets have more places."""
+    places = PARITIES
+    while places < min(2 * len(hashes), MOST_PARITIES):
+        places *= 2
+    return np.packbits(np.bincount((mix(hashes) % np.uint64(places)).astype(np.int64), minlength=places) & 1).tobytes()
+
+
+def _folded(odd: bytes, size: int) -> np.ndarray:
+    """Parities of fewer places, as words."""
+    return np.bitwise_xor.reduce(np.frombuffer(odd, np.uint64).reshape(-1, size // 64), axis=0)
+
+
+def _allowed(n: np.ndarray, m: np.ndarray, differ: np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes that differ in so many shingles at least can be near copies."""
+    return (10 + LEAST_TENTHS) * differ <= (10 - LEAST_TENTHS) * (n + m)
+
+
 def prefix(hashes: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The first shingles by (frequency in the sample, hash), enough to share one with any near copy."""
     n = len(hashes)
@@ -95,25 +118,30 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _prefixes(frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies, sizes, prints, firsts = [], [], [], []
+            bodies, sizes, prints, odd, firsts = [], [], [], [], []
             for x in batch.column(1):
                 body, found = shingles(x.as_py())
                 bodies.append(body)
                 sizes.append(len(found))
                 prints.append(set_fingerprint(found))
+                odd.append(parities(found))
                 firsts.append(prefix(found, *frequent.value))
             halves = np.array(prints, np.uint64).reshape(-1, 2).view(np.int64)
-            columns = [batch.column(0), batch.column(2), pa.array(bodies, pa.int64()), pa.array(sizes, pa.int32()), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), _lists(firsts)]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "text_hash", "body", "n", "fp", "fp2", "first"])
+            columns = [batch.column(0), batch.column(2), pa.array(bodies, pa.int64()), pa.array(sizes, pa.int32()), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), pa.array(odd, pa.binary()), _lists(firsts)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "text_hash", "body", "n", "fp", "fp2", "odd", "first"])
 
     return run
 
 
+def _rows_of_bits(column: pa.Array) -> np.ndarray:
+    return np.stack([_folded(x, PARITIES) for x in column.to_pylist()]) if len(column) else np.empty((0, PARITIES // 64), np.uint64)
+
+
 def _meetings(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
     """(columns, starts of groups with an end) of whole groups; rows come sorted by the first ``keys`` columns."""
     held: list[np.ndarray] = []
     for batch in batches:
-        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        columns = [_rows_of_bits(c) if pa.types.is_binary(c.type) else c.to_numpy(zero_copy_only=False) for c in batch.columns]
         held = [np.concatenate(x) for x in zip(held, columns, strict=True)] if held else columns
         new = np.zeros(max(len(held[0]) - 1, 0), bool)
         for c in held[:keys]:
@@ -159,33 +187,73 @@ def _led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 left = rest[~close]
 
 
-def _apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (s, part, role, body, label, n, fp, fp2), role 0 home, 1 visitor, 2 both, to plausible pairs of other components."""
-    for (_, _, role, body, label, *rest), starts in _meetings(batches, 2):
-        sizes, (n, *fp) = np.diff(starts), rest
-        mixed = np.zeros(len(body), bool)
-        mixed[1:] = label[1:] != label[:-1]
-        mixed[starts[:-1]] = False
-        mixed = np.add.reduceat(mixed, starts[:-1], dtype=np.int64) > 0
-        small = mixed & (sizes <= 8) & (role[starts[:-1]] == 2)
-        for m in np.unique(sizes[small]):
-            at = starts[:-1][small & (sizes == m)][:, None] + np.arange(m)
-            x, y = [c[at][:, :, None] for c in (label, n, *fp)], [c[at][:, None, :] for c in (label, n, *fp)]
-            near = (x[0] != y[0]) & _alike(x[1], y[1]) & (_bits(x[2:], y[2:]) <= PLAUSIBLE_BITS) & np.tri(m, k=-1, dtype=bool)
-            g, i, j = np.nonzero(near)
-            yield _pairs(body[at[g, i]], body[at[g, j]])
-        for s, e in zip(starts[:-1][mixed & ~small], starts[1:][mixed & ~small], strict=True):
-            visitors, homes = s + np.flatnonzero(role[s:e] > 0), s + np.flatnonzero(role[s:e] != 1)
-            for at in range(0, len(visitors), 256):
-                v = visitors[at : at + 256]
-                near = (label[v][:, None] != label[homes]) & _alike(n[v][:, None], n[homes])
-                near &= _bits([c[v][:, None] for c in fp], [c[homes] for c in fp]) <= PLAUSIBLE_BITS
-                i, j = np.nonzero(near)
-                yield _pairs(body[v[i]], body[homes[j]])
+def _within_bound(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Whether sets of (label, n, parities) are of two components and their parities allow a similarity of 0.8."""
+    out = (x[0] != y[0]) & _alike(x[1], y[1])
+    differ = np.zeros(out.shape, np.int32)
+    for word in range(PARITIES // 64):
+        differ += np.bitwise_count(x[2][..., word] ^ y[2][..., word])
+    return out & _allowed(x[1], y[1], differ)
+
+
+def _close(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """Whether sets of (label, n, fp, fp2) are of two components and close by SimHash."""
+    return (x[0] != y[0]) & _alike(x[1], y[1]) & (_bits(x[2:], y[2:]) <= LEADER_BITS)
+
+
+def _apart(first: bool):
+    """Rows (s, part, role, body, label, n, odd), role 0 home, 1 visitor, 2 both, to all pairs that the bound allows; with
+    ``first`` rows of fp and fp2 for odd to one close pair a visitor."""
+    fits = _close if first else _within_bound
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, _, role, body, *rest), starts in _meetings(batches, 2):
+            sizes, label = np.diff(starts), rest[0]
+            mixed = np.zeros(len(body), bool)
+            mixed[1:] = label[1:] != label[:-1]
+            mixed[starts[:-1]] = False
+            mixed = np.add.reduceat(mixed, starts[:-1], dtype=np.int64) > 0
+            small = mixed & (sizes <= 8) & (role[starts[:-1]] == 2)
+            for m in np.unique(sizes[small]):
+                groups = starts[:-1][small & (sizes == m)]
+                for g0 in range(0, len(groups), 4096):
+                    at = groups[g0 : g0 + 4096][:, None] + np.arange(m)
+                    near = fits([c[at][:, :, None] for c in rest], [c[at][:, None, :] for c in rest]) & np.tri(m, k=-1, dtype=bool)
+                    g, i, j = np.nonzero(_firsts(near) if first else near)
+                    yield _pairs(body[at[g, i]], body[at[g, j]])
+            for s, e in zip(starts[:-1][mixed & ~small], starts[1:][mixed & ~small], strict=True):
+                visitors, homes = s + np.flatnonzero(role[s:e] > 0), s + np.flatnonzero(role[s:e] != 1)
+                for at in range(0, len(visitors), 256):
+                    v = visitors[at : at + 256]
+                    near = fits([c[v][:, None] for c in rest], [c[homes][None] for c in rest])
+                    i, j = np.nonzero(_firsts(near) if first else near)
+                    yield _pairs(body[v[i]], body[homes[j]])
+
+    return run
+
+
+def _firsts(near: np.ndarray) -> np.ndarray:
+    """The first true value along the last axis alone."""
+    return near & (np.cumsum(near, axis=-1) == 1)
+
+
+def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (a, b, n, odd, m, odd2) to the pairs that all their parities allow."""
+    for batch in batches:
+        a, b, n, odd, m, odd2 = (batch.column(i) for i in range(6))
+        differ = np.zeros(len(a), np.int64)
+        for i, (x, y) in enumerate(zip(odd.to_pylist(), odd2.to_pylist(), strict=True)):
+            size = 8 * min(len(x), len(y))
+            differ[i] = np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum()
+        use = pa.array(_allowed(n.to_numpy(), m.to_numpy(), differ))
+        yield pa.RecordBatch.from_arrays([a.filter(use), b.filter(use)], names=["a", "b"])
 
 
 def _near(pairs: DataFrame, bodies: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose whole sets have the similarity; only texts of these pairs are read again."""
+    """Those of ``pairs`` (a, b) whose whole sets have the similarity; only texts of plausible pairs are read again."""
+    of = lambda end, n, odd: bodies.select(F.col("body").alias(end), F.col("n").alias(n), F.col("odd").alias(odd))
+    sketched = pairs.join(of("a", "n", "odd"), "a").join(of("b", "m", "odd2"), "b").select("a", "b", "n", "odd", "m", "odd2")
+    pairs = written(sketched.mapInArrow(_plausible, "a long, b long"), "plausible-pairs")
     asked = pairs.select(F.col("a").alias("body")).union(pairs.select("b")).distinct().join(bodies.select("body", "k"), "body")
     asked = written(asked.select(F.col("k.id").alias("asked_id"), F.col("k.h").alias("asked_hash")), "asked")
     there = texts.join(asked, texts["id"].eqNullSafe(asked["asked_id"]) & (texts["text_hash"] == asked["asked_hash"]), "left_semi")
@@ -210,9 +278,9 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     often = sample.groupBy("s").agg(F.sum("n").alias("n")).filter(F.col("n") >= SAMPLE_LEAST).orderBy(F.desc("n"), "s").limit(FREQUENT).toArrow()  # bounded
     words, n = often["s"].to_numpy().view(np.uint64), often["n"].to_numpy()
     order = np.argsort(words)
-    prints = texts.mapInArrow(_prefixes(spark.sparkContext.broadcast((words[order], n[order]))), f"id {kind}, text_hash long, body long, n int, fp long, fp2 long, first array<long>")
+    prints = texts.mapInArrow(_prefixes(spark.sparkContext.broadcast((words[order], n[order]))), f"id {kind}, text_hash long, body long, n int, fp long, fp2 long, odd binary, first array<long>")
     row = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("text_hash").alias("h"))
-    bodies = written(prints.groupBy("body").agg(F.min(row).alias("k"), *[F.first(c).alias(c) for c in ("n", "fp", "fp2", "first")]), "bodies")
+    bodies = written(prints.groupBy("body").agg(F.min(row).alias("k"), *[F.first(c).alias(c) for c in ("n", "fp", "fp2", "odd", "first")]), "bodies")
 
     # by anchors: the forest of close fingerprints, and all texts of one fingerprint with the first of them
     leads = written(bodies.groupBy("fp").agg(F.min("body").alias("lead")), "leads")
@@ -224,8 +292,8 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     # by prefixes: only shingles at which several documents meet
     held = bodies.select(F.explode("first").alias("s"), "body")
-    counts = held.groupBy("s").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    met = written(held.join(counts, "s").join(bodies.select("body", "n", "fp", "fp2"), "body").select("s", "members", "body", "n", "fp", "fp2"), "meetings")
+    sizes = held.groupBy("s").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    met = written(held.join(sizes, "s").join(bodies.select("body", "n", "fp", "fp2"), "body").select("s", "members", "body", "n", "fp", "fp2"), "meetings")
     parts = F.ceil(F.col("members") / members_per_task).cast("int")
     part = F.pmod(F.xxhash64("body"), parts).cast("int").alias("part")
     dealt = met.select("s", part, "body", "n", "fp", "fp2").repartition("s", "part").sortWithinPartitions("s", "part", "body")
@@ -233,19 +301,29 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     edges = _near(pairs, bodies, texts)
     labels = written(connected(edges), "labels")
 
-    # what meets and is still apart
-    met = met.join(labels.withColumnRenamed("node", "body"), "body", "left").withColumn("label", F.coalesce("label", "body"))
-    whole = met.filter(F.col("members") <= members_per_task).select("s", F.lit(0).alias("part"), F.lit(2).alias("role"), "body", "label", "n", "fp", "fp2")
-    dealt = whole.union(_cells(met.filter(F.col("members") > members_per_task), members_per_task)).repartition("s", "part").sortWithinPartitions("s", "part", "role")
-    further = written(dealt.mapInArrow(_apart, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti"), "further-candidates")
-    labels = written(connected(edges.union(_near(further, bodies, texts))), "all-labels")
+    # what meets and is still apart: one partner each, then all
+    met, checked = met.select("s", "members", "body"), pairs
+    for first in (True, False):
+        now = met.join(labels.withColumnRenamed("node", "body"), "body", "left").withColumn("label", F.coalesce("label", "body"))
+        several = now.groupBy("s").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("s")
+        now = written(now.join(several, "s", "left_semi"), "still-apart")
+        met = now.select("s", "members", "body")
+        rest = ["body", "label", "n", *(("fp", "fp2") if first else ("odd",))]
+        now = now.join(bodies.select("body", *rest[2:]), "body")
+        whole = now.filter(F.col("members") <= members_per_task).select("s", F.lit(0).alias("part"), F.lit(2).alias("role"), *rest)
+        dealt = whole.union(_cells(now.filter(F.col("members") > members_per_task), members_per_task, rest)).repartition("s", "part").sortWithinPartitions("s", "part", "role")
+        further = written(dealt.mapInArrow(_apart(first), "a long, b long").distinct(), "further-candidates")
+        further = further.join(checked, ["a", "b"], "left_anti")
+        checked = checked.union(further)
+        edges = edges.union(_near(further, bodies, texts))
+        labels = written(connected(edges), "labels")
 
     grouped = bodies.select("body", "k").join(labels, bodies["body"] == labels["node"], "left")
     kept = grouped.groupBy(F.coalesce("label", "body").alias("component")).agg(F.min("k").alias("k"))
     return keep_rows(docs, kept.select(F.col("k.id").alias("_id"), F.col("k.h").alias("_h")), id_col, text_col)
 
 
-def _cells(crowded: DataFrame, members_per_task: int) -> DataFrame:
+def _cells(crowded: DataFrame, members_per_task: int, rest: list[str]) -> DataFrame:
     """Large meetings as cells of homes and visitors. Homes are the members outside the meeting's largest component: a
     pair of two components has one of these at least."""
     of = crowded.groupBy("s", "label").agg(F.count(F.lit(1)).alias("c"))
@@ -254,7 +332,6 @@ def _cells(crowded: DataFrame, members_per_task: int) -> DataFrame:
     n_homes, n_all = (F.ceil(F.col(c) / members_per_task).cast("int") for c in ("homes", "all"))
     own = lambda n: F.pmod(F.xxhash64("body"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    rest = ["body", "label", "n", "fp", "fp2"]
     home = rows.filter("label <> top").select("s", (own(n_homes) * n_all).alias("first"), every(n_all).alias("step"), F.lit(0).alias("role"), *rest)
     visitor = rows.select("s", own(n_all).alias("first"), n_all.alias("cells"), every(n_homes).alias("step"), F.lit(1).alias("role"), *rest)
     visitor = visitor.select("s", "first", (F.col("step") * F.col("cells")).alias("step"), "role", *rest)
