@@ -12,8 +12,8 @@ SimHash within a few bits leaves most edited copies, so fingerprints choose what
    say whether an odd number of its shingles fall on each of 1024 places. Two sets differ in at least as many shingles as
    their parities differ in bits, and in at most a ninth of their sizes' sum at 0.8, so no pair is lost. What passes is
    held against up to 8192 parities and at last checked by the whole sets. Members of one component need no further
-   links, so at first each document takes one partner of another component a meeting, by SimHash again, and all pairs
-   only of what is apart after that.
+   links, so at first each document takes one partner of another component a meeting, and all pairs only of what is
+   apart after that.
 
 The order of shingles decides only how many meet, never which pairs are found, so frequent shingles may be guessed from
 a sample. SimHash decides only which pairs are checked first.
@@ -196,15 +196,9 @@ def _within_bound(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     return out & _allowed(x[1], y[1], differ)
 
 
-def _close(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
-    """Whether sets of (label, n, fp, fp2) are of two components and close by SimHash."""
-    return (x[0] != y[0]) & _alike(x[1], y[1]) & (_bits(x[2:], y[2:]) <= LEADER_BITS)
-
-
 def _apart(first: bool):
-    """Rows (s, part, role, body, label, n, odd), role 0 home, 1 visitor, 2 both, to all pairs that the bound allows; with
-    ``first`` rows of fp and fp2 for odd to one close pair a visitor."""
-    fits = _close if first else _within_bound
+    """Rows (s, part, role, body, label, n, odd), role 0 home, 1 visitor, 2 both, to all pairs that the bound allows, or with
+    ``first`` to at most one for each visitor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (_, _, role, body, *rest), starts in _meetings(batches, 2):
@@ -218,14 +212,14 @@ def _apart(first: bool):
                 groups = starts[:-1][small & (sizes == m)]
                 for g0 in range(0, len(groups), 4096):
                     at = groups[g0 : g0 + 4096][:, None] + np.arange(m)
-                    near = fits([c[at][:, :, None] for c in rest], [c[at][:, None, :] for c in rest]) & np.tri(m, k=-1, dtype=bool)
+                    near = _within_bound([c[at][:, :, None] for c in rest], [c[at][:, None, :] for c in rest]) & np.tri(m, k=-1, dtype=bool)
                     g, i, j = np.nonzero(_firsts(near) if first else near)
                     yield _pairs(body[at[g, i]], body[at[g, j]])
             for s, e in zip(starts[:-1][mixed & ~small], starts[1:][mixed & ~small], strict=True):
                 visitors, homes = s + np.flatnonzero(role[s:e] > 0), s + np.flatnonzero(role[s:e] != 1)
                 for at in range(0, len(visitors), 256):
                     v = visitors[at : at + 256]
-                    near = fits([c[v][:, None] for c in rest], [c[homes][None] for c in rest])
+                    near = _within_bound([c[v][:, None] for c in rest], [c[homes][None] for c in rest])
                     i, j = np.nonzero(_firsts(near) if first else near)
                     yield _pairs(body[v[i]], body[homes[j]])
 
@@ -308,8 +302,8 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         several = now.groupBy("s").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("s")
         now = written(now.join(several, "s", "left_semi"), "still-apart")
         met = now.select("s", "members", "body")
-        rest = ["body", "label", "n", *(("fp", "fp2") if first else ("odd",))]
-        now = now.join(bodies.select("body", *rest[2:]), "body")
+        rest = ["body", "label", "n", "odd"]
+        now = now.join(bodies.select("body", "n", "odd"), "body")
         whole = now.filter(F.col("members") <= members_per_task).select("s", F.lit(0).alias("part"), F.lit(2).alias("role"), *rest)
         dealt = whole.union(_cells(now.filter(F.col("members") > members_per_task), members_per_task, rest)).repartition("s", "part").sortWithinPartitions("s", "part", "role")
         further = written(dealt.mapInArrow(_apart(first), "a long, b long").distinct(), "further-candidates")
