@@ -7,6 +7,7 @@ reads back; decoding can be repeated at will.
 from __future__ import annotations
 
 import json
+import re
 import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
@@ -24,6 +25,15 @@ ANSWER = "email string, phone string, website string, website_type string, email
 FIELDS = [x.split()[0] for x in ANSWER.split(", ")]
 MAX_SOURCES = 20
 FIRST_CAP, SECOND_CAP, GENERATIONS = 600, 1200, 2
+# The kinds of website that a model may name.
+ASKED_KINDS = ("official_site", "google_maps", "directory", "social_network", "marketplace", "other", "not_found")
+#: The strict form that a model is asked to answer in.
+FORM = {
+    "type": "object",
+    "properties": {f: {"type": "boolean"} if f == "identity_verified" else {"type": "string"} for f in FIELDS} | {"website_type": {"type": "string", "enum": list(ASKED_KINDS)}, "identity_match_type": {"type": "string", "enum": list(V.MATCH_TYPES)}},
+    "required": FIELDS,
+    "additionalProperties": False,
+}
 _OUTPUT = "array<struct<type: string, action: struct<type: string, sources: array<struct<url: string, url_citation: struct<url: string>>>>, content: array<struct<annotations: array<struct<url: string, url_citation: struct<url: string>>>>>>>"
 
 
@@ -89,20 +99,16 @@ def is_cut_off(raw: Column) -> Column:
     return F.coalesce((F.get_json_object(raw, "$.status") == "incomplete") & (F.get_json_object(raw, "$.incomplete_details.reason") == "max_output_tokens"), F.lit(False))
 
 
+_MARKS = re.compile(r'"[^"\\]*(?:\\.[^"\\]*)*"?|[{}]', re.S)
+
+
 def first_object(text: str | None) -> str | None:
     """The first balanced JSON object in a text; braces in strings don't count."""
-    start = (text or "").find("{")
-    depth, quoted, escaped = 0, False, False
-    for i in range(start, len(text)) if start >= 0 else ():
-        c = text[i]
-        if quoted:
-            escaped, quoted = c == "\\" and not escaped, not (c == '"' and not escaped)
-        elif c == '"':
-            quoted = True
-        elif c in "{}":
-            depth += 1 if c == "{" else -1
-            if not depth:
-                return text[start : i + 1]
+    start, depth = (text or "").find("{"), 0
+    for mark in _MARKS.finditer(text, start) if start >= 0 else ():
+        depth += {"{": 1, "}": -1}.get(mark[0], 0)
+        if not depth:
+            return text[start : mark.end()]
     return None
 
 
@@ -126,10 +132,11 @@ def decoded(rows: DataFrame, text_col: str = "answer") -> DataFrame:
 
 
 def unreadable(raw: DataFrame) -> DataFrame:
-    """(row_index, attempt, recorded_at_utc, error_type, answer, raw) of answers that hold no JSON object, for diagnosis."""
-    rows = raw.filter("error_type = ''").withColumn("answer", answer_text(F.col("raw")))
-    bad = rows.filter(embedded_object(F.col("answer")).isNull())
-    return bad.select("row_index", "attempt", F.current_timestamp().alias("recorded_at_utc"), F.when(is_cut_off(F.col("raw")), "CutOff").otherwise("UnreadableAnswer").alias("error_type"), "answer", "raw")
+    """(row_index, attempt, recorded_at_utc, error_type, answer, raw) of answers that can't be used, for diagnosis: cut
+    off, without a JSON object, or with an unknown value."""
+    rows = decoded(raw.filter("error_type = ''").withColumn("answer", answer_text(F.col("raw")))).filter("decode_error <> ''")
+    why = F.when(is_cut_off(F.col("raw")), "CutOff").when(F.col("decode_error") == "unknown value", "UnknownValue").otherwise("UnreadableAnswer")
+    return rows.select("row_index", "attempt", F.current_timestamp().alias("recorded_at_utc"), why.alias("error_type"), "answer", "raw")
 
 
 def consulted(source: Column, pages: Column) -> Column:
@@ -163,10 +170,12 @@ def prompts(companies: DataFrame, template: str, unknown: dict[str, str]) -> Col
     return text
 
 
-def requests(companies: DataFrame, model: str, instructions: str, template: str, unknown: dict[str, str], context_size: str = "medium", audit: bool = False, cap: int = FIRST_CAP) -> DataFrame:
-    """(row_index, request): the JSON that a provider sends for each company."""
-    tool = F.struct(F.lit("web_search").alias("type"), *([F.lit(context_size).alias("search_context_size")] if context_size != "medium" else []))
+def requests(companies: DataFrame, model: str, instructions: str, template: str, unknown: dict[str, str], context_size: str = "default", audit: bool = False, cap: int = FIRST_CAP, effort: str = "low") -> DataFrame:
+    """(row_index, request): the JSON that a provider sends for each company, with the strict form of its answer."""
+    tool = F.struct(F.lit("web_search").alias("type"), *([F.lit(context_size).alias("search_context_size")] if context_size != "default" else []))
     fields = [F.lit(model).alias("model"), F.lit(instructions).alias("instructions"), prompts(companies, template, unknown).alias("input"), F.array(tool).alias("tools"), F.lit("required").alias("tool_choice"), F.lit(cap).alias("max_output_tokens")]
+    form = json.dumps({"format": {"type": "json_schema", "name": "company_contacts", "strict": True, "schema": FORM}})
+    fields += [F.struct(F.lit(effort).alias("effort")).alias("reasoning"), F.from_json(F.lit(form), F.schema_of_json(F.lit(form))).alias("text")]
     fields += [F.array(F.lit("web_search_call.action.sources")).alias("include")] if audit else []
     return companies.select("row_index", F.to_json(F.struct(*fields)).alias("request"))
 
@@ -182,10 +191,12 @@ class Retryable(RuntimeError):
 
 
 def call(requests: DataFrame, make_provider: Callable[[], Provider], tries: int = 3, wait_s: float = 5.0, concurrency: int | None = None) -> DataFrame:
-    """(row_index, attempt, raw, error_type, error_message) of each request; a row per generation.
+    """(row_index, attempt, raw, error_type, error_message, latency_seconds) of each request; a row per call.
 
     Runs on the executors, one client a task; ``concurrency`` is how many tasks call at once. An answer cut off at its
-    token cap or without a JSON object is asked for once more with a larger cap. The caller writes the result before
+    token cap is asked for once more with twice the cap or ``SECOND_CAP``, whichever is more. An answer that can't be
+    used (no JSON object, an unknown value) is generated once more, under ``SECOND_CAP`` or its own cap, whichever is
+    more. The latency is measured at the call, with its tries and waits. The caller writes the result before
     using it: reading it twice would bill twice, so the key of a call is its row and attempt.
     """
 
@@ -195,39 +206,69 @@ def call(requests: DataFrame, make_provider: Callable[[], Provider], tries: int
             rows = []
             for row, request in zip(pdf["row_index"], pdf["request"], strict=True):
                 rows += _generations(provider, int(row), request, tries, wait_s)
-            yield pd.DataFrame(rows, columns=["row_index", "attempt", "raw", "error_type", "error_message"])
+            yield pd.DataFrame(rows, columns=["row_index", "attempt", "raw", "error_type", "error_message", "latency_seconds"])
 
     dealt = requests.repartition(concurrency) if concurrency else requests
-    return dealt.select("row_index", "request").mapInPandas(run, "row_index int, attempt int, raw string, error_type string, error_message string")
+    return dealt.select("row_index", "request").mapInPandas(run, "row_index int, attempt int, raw string, error_type string, error_message string, latency_seconds double")
 
 
 def _generations(provider: Provider, row: int, request: str, tries: int, wait_s: float) -> list[tuple]:
-    out = []
-    for attempt in range(GENERATIONS):
-        body = json.loads(request) | ({"max_output_tokens": SECOND_CAP} if attempt else {})
-        for n in range(tries):
-            try:
-                raw = provider(json.dumps(body, ensure_ascii=False), f"{row}-{attempt}")
-            except Retryable as e:
-                if n + 1 == tries:
-                    return [*out, (row, attempt, None, type(e).__name__, str(e)[:500])]
-                time.sleep(wait_s)
-            except Exception as e:  # noqa: BLE001  whatever a provider raises is this row's outcome
-                return [*out, (row, attempt, None, type(e).__name__, str(e)[:500])]
-            else:
+    out, body = [], json.loads(request)
+    cap = body.get("max_output_tokens", FIRST_CAP)
+    for first in (cap, max(SECOND_CAP, cap))[:GENERATIONS]:
+        for allowed in (first, max(SECOND_CAP, 2 * first)):
+            out.append(_one_call(provider, row, len(out), body | {"max_output_tokens": allowed}, tries, wait_s))
+            if out[-1][3]:
+                return out
+            if not _was_cut(out[-1][2]):
                 break
-        out.append((row, attempt, raw, "", ""))
-        if first_object(raw and _plain_text(raw)) is not None:
+        if _is_usable(out[-1][2]):
             break
     return out
 
 
-def _plain_text(raw: str) -> str:
+def _one_call(provider: Provider, row: int, attempt: int, body: dict, tries: int, wait_s: float) -> tuple:
+    began = time.perf_counter()
+    raw, kind, message = None, "", ""
+    for n in range(tries):
+        try:
+            raw, kind, message = provider(json.dumps(body, ensure_ascii=False), f"{row}-{attempt}"), "", ""
+            break
+        except Retryable as e:
+            kind, message = type(e).__name__, str(e)[:500]
+            if n + 1 < tries:
+                time.sleep(wait_s)
+        except Exception as e:  # noqa: BLE001  whatever a provider raises is this row's outcome
+            kind, message = type(e).__name__, str(e)[:500]
+            break
+    return row, attempt, raw, kind, message, time.perf_counter() - began
+
+
+def _answer(raw: str | None) -> dict:
     try:
-        answer = json.loads(raw)
+        answer = json.loads(raw or "")
     except ValueError:
-        return ""
-    if not isinstance(answer, dict) or answer.get("status") == "incomplete":
+        return {}
+    return answer if isinstance(answer, dict) else {}
+
+
+def _was_cut(raw: str | None) -> bool:
+    answer = _answer(raw)
+    return answer.get("status") == "incomplete" and (answer.get("incomplete_details") or {}).get("reason") == "max_output_tokens"
+
+
+def _is_usable(raw: str | None) -> bool:
+    """Whether an answer holds a JSON object whose kinds are known ones."""
+    try:
+        found = json.loads(first_object(_plain_text(raw or "")) or "")
+    except ValueError:
+        return False
+    return found.get("identity_match_type", "none") in V.MATCH_TYPES and found.get("website_type", "not_found") in V.WEBSITE_TYPES
+
+
+def _plain_text(raw: str) -> str:
+    answer = _answer(raw)
+    if answer.get("status") == "incomplete":
         return ""
     if isinstance(answer.get("output_text"), str) and answer["output_text"].strip():
         return answer["output_text"]
@@ -241,10 +282,12 @@ def recorded(answers: dict[str, str]) -> Callable[[], Provider]:
 
     def make() -> Provider:
         def answer(request: str, key: str) -> str:
-            hit = next((a for number, a in answers.items() if number in request), None)
+            asked = json.loads(request)["input"]
+            numbers = (re.sub(r"[^0-9]", "", m) for m in re.findall(r"[0-9](?:[ .\u00a0]?[0-9])+", asked))
+            hit = next((n for n in numbers if n in answers), None)
             if hit is None:
                 raise KeyError("no recorded answer")
-            return hit
+            return answers[hit]
 
         return answer
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,13 +28,14 @@ class Config:
     tries: int = 3
     wait_s: float = 5.0
     model: str = "recorded"
-    context_size: str = "medium"
+    context_size: str = "default"
+    effort: str = "low"
     instructions: str = "Find the public contacts of this company. Answer with the agreed JSON only."
     template: str = "SIRET: {siret}\nName: {company_name}\nAddress: {address}\nPostal code: {postal_code}\nCity: {city}"
     unknown: dict[str, str] = field(default_factory=lambda: {"address": "unknown", "postal_code": "unknown", "city": "unknown"})
 
     def checked(self) -> Config:
-        bad = [n for n, ok in (("start_row", self.start_row >= 2), ("site_pages", 1 <= self.site_pages <= 12), ("concurrency", 1 <= self.concurrency <= 32), ("tries", self.tries > 0), ("wait_s", self.wait_s >= 0), ("context_size", self.context_size in ("low", "medium", "high"))) if not ok]
+        bad = [n for n, ok in (("start_row", self.start_row >= 2), ("site_pages", 1 <= self.site_pages <= 12), ("concurrency", 1 <= self.concurrency <= 32), ("tries", self.tries > 0), ("wait_s", self.wait_s >= 0), ("context_size", self.context_size in ("default", "low", "medium", "high")), ("effort", self.effort in ("none", "minimal", "low", "medium", "high"))) if not ok]
         if bad:
             raise ValueError(f"out of range: {', '.join(bad)}")
         return self
@@ -58,11 +60,12 @@ def run(sheet: DataFrame, provider: Callable[[], responses.Provider], keep: Call
     built, so that a run that breaks off between the two can be replayed.
     """
     c = (config or Config()).checked()
+    began = datetime.now(UTC)  # orders this run's records after those of earlier runs; a row has one record a run
     sheet = keep(sheet, "sheet")
     rows = eligibility.row_range(sheet, c.start_row, c.max_rows)
     todo = keep(rows.filter(~eligibility.skip(c.overwrite_existing, c.skip_if_filled)), "eligible")
     usable = eligibility.is_processable(F.col("siret"), F.col("company_name"))
-    asked = responses.requests(todo.filter(usable), c.model, c.instructions, c.template, c.unknown, c.context_size, c.audit)
+    asked = responses.requests(todo.filter(usable), c.model, c.instructions, c.template, c.unknown, c.context_size, c.audit, effort=c.effort)
     raw = keep(responses.call(asked, provider, c.tries, c.wait_s, c.concurrency), "raw-answers")
     results = keep(_results(raw, c.model), "results")
     fine = results.filter("error_type = ''")
@@ -78,7 +81,7 @@ def run(sheet: DataFrame, provider: Callable[[], responses.Provider], keep: Call
     lines = everything.join(todo.select("row_index", "siret", "company_name"), "row_index")
     value = F.struct(*[F.col(x) for x in ("email", "phone", "website", "website_type", "sources", "email_source", "phone_source", "website_source")])
     written = lines.select(
-        F.col("row_index").cast("long").alias("seq"), F.lit(1).alias("version"), F.current_timestamp().alias("recorded_at_utc"), "row_index", "siret", "company_name",
+        F.unix_micros(F.lit(began)).alias("seq"), F.lit(1).alias("version"), F.current_timestamp().alias("recorded_at_utc"), "row_index", "siret", "company_name",
         F.when(F.col("status").isNull(), value).alias("result"),
         F.coalesce("status", F.when(merge.is_not_found(lines), V.NOT_FOUND).otherwise(V.SUCCESS)).alias("status"), F.lit(c.overwrite_existing).alias("overwrite_existing"), "error_type", "error_message",
     )
@@ -94,7 +97,7 @@ def run(sheet: DataFrame, provider: Callable[[], responses.Provider], keep: Call
 def _results(raw: DataFrame, model: str) -> DataFrame:
     """The last answer of each row decoded, with where it comes from and the usage and searches of all its attempts."""
     costs = raw.withColumns({**responses.usage(F.col("raw")), "web_search_calls": responses.search_calls(F.col("raw"))})
-    costs = costs.groupBy("row_index").agg(*[F.sum(x).cast("long").alias(x) for x in ("input_tokens", "output_tokens", "total_tokens", "web_search_calls")])
+    costs = costs.groupBy("row_index").agg(*[F.sum(x).cast("long").alias(x) for x in ("input_tokens", "output_tokens", "total_tokens", "web_search_calls")], F.sum("latency_seconds").alias("latency_seconds"))
     last = raw.groupBy("row_index").agg(F.max_by(F.struct("raw", "error_type", "error_message"), "attempt").alias("r")).select("row_index", "r.*")
     read = responses.decoded(last.withColumn("answer", responses.answer_text(F.col("raw"))))
     read = read.withColumns({"sources": responses.sources(F.col("raw")), **responses.origin(F.col("raw")), "model_deployment": F.lit(model), "searched_at_utc": F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")})

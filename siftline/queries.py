@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -369,7 +370,7 @@ _MAIL = r"(?i)[A-Z0-9.!#$%&''*+/=?^_`{|}~-]+@[A-Z0-9.-]+\.[A-Z]{2,63}"
 
 @registered(rf"SELECT doc_id, CAST(len(m) AS INTEGER) AS n, array_to_string(m, ' ') AS emails FROM (SELECT doc_id, regexp_extract_all(text, '{_MAIL}') AS m FROM documents)")
 def email_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = F.regexp_extract_all("text", F.lit(r"(?i)(?<![\w.+-])[A-Z0-9.!#$%&'*+/=?^_`{|}~-]+(?:@|%40)[A-Z0-9.-]+\.[A-Z]{2,63}"), F.lit(0))
+    found = F.transform(pages.scanned_emails(F.col("text")), lambda x: x["raw"])
     return _dealt(spark, sf_dir, "documents").select("doc_id", F.size(found).alias("n"), F.array_join(found, " ").alias("emails"))
 
 
@@ -570,6 +571,25 @@ def response_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _answers(spark, sf_dir).select("id", F.array_join(responses.sources(F.col("raw")), " ").alias("sources"))
 
 
+@registered("""SELECT o_orderkey AS id, CAST(a AS INTEGER) AS attempt, CASE WHEN k = 1 AND a = 1 THEN 1200 WHEN k = 2 AND a = 3 THEN 2400 WHEN k = 2 AND a IN (1, 2) OR k = 3 AND a = 1 OR k = 4 AND a = 1 THEN 1200 ELSE 600 END AS cap
+FROM (SELECT o_orderkey, o_orderkey % 5 AS k, unnest(range([1, 2, 4, 2, 2][o_orderkey % 5 + 1])) AS a FROM orders)""")
+def call_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls of a provider whose answers are whole, cut off once or always, of an unknown kind or without an object."""
+
+    def provider(request: str, key: str) -> str:
+        body = json.loads(request)
+        k, cap = int(body["input"]) % 5, body["max_output_tokens"]
+        if k == 2 or (k == 1 and cap < 1200):
+            return json.dumps({"cap": cap, "status": "incomplete", "incomplete_details": {"reason": "max_output_tokens"}})
+        text = {3: '{"website_type": "castle"}' if cap < 1200 else '{"email": "a@b.fr"}', 4: "none" if cap < 1200 else "{}"}.get(k, '{"email": "a@b.fr"}')
+        return json.dumps({"cap": cap, "output_text": text})
+
+    key = F.col("o_orderkey")
+    asked = _dealt(spark, sf_dir, "orders").select(key.cast("int").alias("row_index"), F.to_json(F.struct(key.cast("string").alias("input"), F.lit(600).alias("max_output_tokens"))).alias("request"))
+    got = responses.call(asked, lambda: provider, wait_s=0)
+    return got.select(F.col("row_index").cast("long").alias("id"), "attempt", F.get_json_object("raw", "$.cap").cast("int").alias("cap"))
+
+
 @registered("""SELECT o_orderkey AS id, concat('{"email": "x', o_orderkey, '@example.com"}') AS answer FROM orders""")
 def answer_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _answers(spark, sf_dir).select("id", responses.answer_text(F.col("raw")).alias("answer"))

@@ -99,6 +99,27 @@ def test_calls_are_retried(spark):
     assert usage == {2: 15, 3: 0, 4: 616, 5: 15}
 
 
+@pytest.mark.parametrize(("cap", "caps"), [(600, [600, 1200, 1200, 2400]), (2000, [2000, 4000, 2000, 4000])])
+def test_caps_grow_and_never_shrink(spark, cap, caps):
+    cut = json.dumps({"status": "incomplete", "incomplete_details": {"reason": "max_output_tokens"}})
+    told = lambda request, key: json.dumps(json.loads(cut) | {"cap": json.loads(request)["max_output_tokens"]})
+    asked = spark.createDataFrame([(2, json.dumps({"input": "x", "max_output_tokens": cap}))], "row_index int, request string")
+    got = sorted(responses.call(asked, lambda: told, wait_s=0).collect(), key=lambda r: r.attempt)
+    assert [json.loads(r.raw)["cap"] for r in got] == caps and [r.attempt for r in got] == [0, 1, 2, 3] and all(r.latency_seconds >= 0 for r in got)
+
+
+def test_answers_with_unknown_values_are_generated_again_and_kept_for_diagnosis(spark):
+    bad = json.dumps({"output_text": '{"website_type": "castle"}'})
+    provider = lambda request, key: bad if key.endswith("-0") else answer("a@b.fr")
+    asked = responses.requests(spark.createDataFrame([(2, "1" * 14, "A", None, None, None)], "row_index int, siret string, company_name string, address string, postal_code string, city string"), "m", "i", "{siret}", {}, effort="high")
+    body = json.loads(asked.first().request)
+    assert body["reasoning"] == {"effort": "high"} and body["text"]["format"]["strict"] is True and sorted(body["text"]["format"]["schema"]["required"]) == sorted(responses.FIELDS)
+    assert "search_context_size" not in body["tools"][0] and body["text"]["format"]["schema"]["additionalProperties"] is False
+    got = spark.createDataFrame(responses.call(asked, lambda: provider, wait_s=0).collect())
+    assert got.count() == 2
+    assert [(r.attempt, r.error_type) for r in responses.unreadable(got).collect()] == [(0, "UnknownValue")]
+
+
 def test_answers_of_many_shapes(spark):
     raws = [
         answer("a@b.fr"), json.dumps({"output": [{"content": [{"text": {"value": '{"email": "v@b.fr"}'}}, {"json": {"email": 1}}]}]}),
