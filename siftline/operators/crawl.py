@@ -7,6 +7,7 @@ sites, not the number of pages; no site's pages are gathered in one task.
 
 from __future__ import annotations
 
+from functools import reduce
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -78,6 +79,7 @@ def crawl(starts: DataFrame, facts: DataFrame, max_pages: int = MAX_PAGES, keep=
 
     empty_facts, empty = F.array().cast(f"array<{PAGE_FACTS}>"), F.array().cast("array<string>")
     walks = starts.withColumns({"seen": empty_facts, "absent": empty, "waits": F.array("start"), "pages": empty})
+    finished = []
     while True:
         asked = walks.select("row_index", F.explode("waits").alias("url"))
         got = asked.join(facts, F.col("url") == F.col("fact.requested"), "left").groupBy("row_index").agg(
@@ -87,6 +89,8 @@ def crawl(starts: DataFrame, facts: DataFrame, max_pages: int = MAX_PAGES, keep=
         walks = walks.withColumn("seen", F.concat("seen", F.coalesce("new", empty_facts))).withColumn("absent", F.array_union("absent", F.coalesce("gone", empty))).drop("new", "gone")
         walks = walks.withColumn("state", carried_on("start", "needs_email", "needs_phone", "seen", "absent"))
         walks = keep(walks.withColumns({"pages": F.col("state.pages"), "waits": F.col("state.waits")}).drop("state"))
-        if walks.filter(F.size("waits") > 0).isEmpty():
+        finished.append(walks.filter(F.size("waits") == 0).select("row_index", "pages"))
+        walks = walks.filter(F.size("waits") > 0)
+        if walks.isEmpty():
             break
-    return walks.select("row_index", F.posexplode("pages").alias("page_no", "requested"))
+    return reduce(DataFrame.union, finished).select("row_index", F.posexplode("pages").alias("page_no", "requested"))

@@ -19,7 +19,7 @@ def enrich(companies: DataFrame, results: DataFrame, page_store: DataFrame, max_
     """
     open_rows = (F.col("website") != V.MISSING) & ((F.col("email") == V.MISSING) | (F.col("phone") == V.MISSING))
     starts = results.filter(open_rows).select("row_index", V.canonical_url(F.col("website")).alias("start"), (F.col("email") == V.MISSING).alias("needs_email"), (F.col("phone") == V.MISSING).alias("needs_phone"))
-    parsed = keep(pages.parse(page_store))
+    parsed = keep(pages.parse(asked_pages(page_store, starts)))
     read = crawl.crawl(starts, crawl.page_facts(parsed), max_pages, keep)
     known = identity.company_keys(companies.select("row_index", "siret", "company_name", "address", "postal_code", "city")).drop("siret", "company_name", "address", "postal_code", "city")
     claims = results.select("row_index", "website", "identity_verified", "email", "phone")
@@ -54,3 +54,11 @@ def enrich(companies: DataFrame, results: DataFrame, page_store: DataFrame, max_
         made["sources"] = V.union_distinct(F.col("_pages"), old("sources", None))  # the site's own pages come first
     keepers = [c for c in results.columns if c not in made]
     return out.select(*keepers, *[x.alias(c) for c, x in made.items()])
+
+
+def asked_pages(page_store: DataFrame, starts: DataFrame) -> DataFrame:
+    """The pages that walks can reach, which stay on one host: of the hosts they start at or are sent to from there."""
+    first = starts.select(F.col("start").alias("requested")).distinct()
+    moved = page_store.join(first, "requested").select(V.url_host(F.col("url")).alias("_host"))
+    hosts = starts.select(V.url_host(F.col("start")).alias("_host")).union(moved).distinct()
+    return page_store.withColumn("_host", V.url_host(F.col("requested"))).join(hosts, "_host", "left_semi").drop("_host")

@@ -27,7 +27,13 @@ def site_references(sheet: DataFrame, max_rows: int) -> DataFrame:
     rows = sheet.filter((read_status(F.col("status")) == V.SUCCESS) & is_processable(F.col("siret"), F.col("company_name")) & wanted)
     match = F.col("identity_match_type") if "identity_match_type" in sheet.columns else F.lit(None).cast("string")
     match = F.when(match.isin(*V.MATCH_TYPES) & (match != "none"), match).otherwise("name_and_city")
-    return rows.withColumns(cell | {"identity_match_type": match, "identity_verified": F.lit(True), "identity_extraction_method": F.lit("baseline")}).orderBy("row_index").limit(max_rows)
+    own = lambda c: V.clean(F.col(c)) if c in sheet.columns else F.lit(None).cast("string")
+    page = F.coalesce(own("website_source"), cell["website"])
+    trusted = {"website_source": page, "identity_source": F.coalesce(own("identity_source"), page), "identity_match_type": match, "identity_verified": F.lit(True), "identity_extraction_method": F.lit("baseline")}
+    trusted |= {f"{c}_source": F.coalesce(own(f"{c}_source"), F.lit(V.MISSING)) for c in ("email", "phone")}
+    trusted |= {f"{c}_extraction_method": F.when(cell[c] != V.MISSING, "baseline").otherwise("") for c in ("email", "phone")}
+    trusted |= {"sources": V.source_list(F.col("sources"))} if "sources" in sheet.columns else {}
+    return rows.withColumns(cell | trusted).orderBy("row_index").limit(max_rows)
 
 
 def cross_deployments(references: DataFrame, deployments: list[str]) -> DataFrame:
@@ -57,6 +63,58 @@ def evaluation_rows(references: DataFrame, results: DataFrame) -> DataFrame:
     return compared(out)
 
 
+#: What a row of an evaluation holds where its lookup failed, by column.
+WHERE_FAILED = (
+    dict.fromkeys(("identity_source", "email_source", "phone_source", "website_source"), V.MISSING)
+    | dict.fromkeys(("sources", "deterministic_pages"), "[]")
+    | dict.fromkeys(("input_tokens", "output_tokens", "total_tokens", "web_search_calls", "deterministic_fields_found"), 0)
+    | dict.fromkeys(("email_extraction_method", "phone_extraction_method", "identity_extraction_method"), "")
+    | {"identity_match_type": "none", "legal_popup_detected": False, "latency_seconds": 0.0}
+)
+# The columns of the two reports.
+MODEL_COLUMNS = (
+    "deployment", "search_context_size", "audit_enabled", "site_extraction_enabled", "row_index", "siret", "company_name", "baseline_status", "baseline_email", "baseline_phone", "baseline_website",
+    "candidate_status", "candidate_email", "candidate_phone", "candidate_website", "email_exact_match", "phone_exact_match", "website_exact_match", "identity_match_type", "identity_source",
+    "email_source", "phone_source", "website_source", "sources", "input_tokens", "output_tokens", "total_tokens", "web_search_calls", "deterministic_pages", "deterministic_fields_found",
+    "email_extraction_method", "phone_extraction_method", "identity_extraction_method", "legal_popup_detected", "latency_seconds", "error_type", "error_message",
+)
+SITE_COLUMNS = (
+    "row_index", "siret", "company_name", "website", "baseline_email", "candidate_email", "email_source", "email_extraction_method", "baseline_phone", "candidate_phone", "phone_source",
+    "phone_extraction_method", "identity_match_type", "identity_source", "identity_extraction_method", "deterministic_pages", "deterministic_fields_found", "legal_popup_detected",
+    "latency_seconds", "error_type", "error_message",
+)
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """``rows`` with the cells of a report: lists as JSON, seconds to the millisecond, failed rows as ``WHERE_FAILED`` says."""
+    cells = {}
+    for c, default in WHERE_FAILED.items():
+        value = F.lit(default)
+        if c in rows.columns:
+            own = F.to_json(c) if rows.schema[c].dataType.typeName() == "array" else F.round(c, 3) if c == "latency_seconds" else F.col(c)
+            value = F.when(F.col("error_type") != "", default).otherwise(F.coalesce(own, F.lit(default)))
+        cells[c] = value
+    return rows.withColumns(cells | {"error_message": F.substring(F.coalesce("error_message", F.lit("")), 1, 500)})
+
+
+def model_rows(references: DataFrame, results: DataFrame, context_size: str, audit: bool, site_extraction: bool) -> DataFrame:
+    """The report of a model evaluation, ``MODEL_COLUMNS``: crossed references with their results by deployment and row."""
+    named = results.withColumnsRenamed({c: f"candidate_{c}" for c in V.CONTACTS})
+    rows = _cells(evaluation_rows(references, named.drop("siret", "company_name")))
+    settings = {"search_context_size": F.lit(context_size), "audit_enabled": F.lit(audit), "site_extraction_enabled": F.lit(site_extraction)}
+    return rows.withColumns(settings).select(*MODEL_COLUMNS)
+
+
+def site_rows(references: DataFrame, results: DataFrame, latency_seconds: float) -> DataFrame:
+    """The report of a site evaluation, ``SITE_COLUMNS``: trusted rows with what their sites gave; a row without a result
+    is an error that keeps its trusted contacts."""
+    known = references.select("row_index", V.digits(F.col("siret")).alias("siret"), "company_name", "website", F.col("email").alias("baseline_email"), F.col("phone").alias("baseline_phone"))
+    there = results.drop("website", "siret", "company_name", "error_type", "error_message").withColumnsRenamed({"email": "candidate_email", "phone": "candidate_phone"})
+    rows = known.join(there.withColumn("error_type", F.lit("")), "row_index", "left").withColumn("error_type", F.coalesce("error_type", F.lit("MissingResult")))
+    kept = {f"candidate_{c}": F.coalesce(f"candidate_{c}", f"baseline_{c}") for c in ("email", "phone")}
+    return _cells(rows.withColumns(kept | {"latency_seconds": F.lit(float(latency_seconds)), "error_message": F.lit("")})).select(*SITE_COLUMNS)
+
+
 def percentage(part: Column, whole: Column) -> Column:
     return F.coalesce(F.round(F.try_divide(part * 100, whole), 1), F.lit(0.0))
 
@@ -107,7 +165,9 @@ def write_report(rows: DataFrame, summary: DataFrame, folder: str, name: str, so
     out = {"json": f"{stem}.summary"}
     if not rows.isEmpty():
         out["csv"] = f"{stem}.rows"
-        rows.orderBy("row_index").coalesce(1).write.option("header", True).csv(out["csv"])
+        # spreadsheets know UTF-8 by the mark at the very start, which is that of the first column's name
+        marked = rows.withColumnRenamed(rows.columns[0], "\ufeff" + rows.columns[0])
+        marked.orderBy(marked["row_index"] if "row_index" in marked.columns else marked[0]).coalesce(1).write.option("header", True).csv(out["csv"])
     entry = summary.withColumns({"created_at_utc": F.lit(datetime.now(UTC).isoformat()), "source": F.lit(source)})
     entry.coalesce(1).write.json(out["json"])
     return out

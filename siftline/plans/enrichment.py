@@ -65,17 +65,7 @@ def run(sheet: DataFrame, provider: Callable[[], responses.Provider], keep: Call
     rows = eligibility.row_range(sheet, c.start_row, c.max_rows)
     todo = keep(rows.filter(~eligibility.skip(c.overwrite_existing, c.skip_if_filled)), "eligible")
     usable = eligibility.is_processable(F.col("siret"), F.col("company_name"))
-    asked = responses.requests(todo.filter(usable), c.model, c.instructions, c.template, c.unknown, c.context_size, c.audit, effort=c.effort)
-    raw = keep(responses.call(asked, provider, c.tries, c.wait_s, c.concurrency), "raw-answers")
-    results = keep(_results(raw, c.model), "results")
-    fine = results.filter("error_type = ''")
-    if c.read_sites and page_store is not None:
-        fine = enrich.enrich(todo, fine, page_store, c.site_pages, c.audit, lambda df: keep(df, "walk"))
-    if c.audit:
-        pages = V.union_distinct(F.col("sources"), F.col("deterministic_pages")) if "deterministic_pages" in fine.columns else F.col("sources")
-        fine = responses.evidence_policy(fine.withColumn("sources", pages))
-    fine = merge.identity_gate(fine)
-    failed = results.filter("error_type <> ''").select("row_index", "error_type", "error_message").withColumn("status", F.lit(V.TECHNICAL_ERROR))
+    raw, fine, failed = looked_up(todo.filter(usable), provider, keep, c, page_store)
     invalid = todo.filter(~usable).select("row_index", F.lit("InvalidInput").alias("error_type"), F.lit("").alias("error_message"), F.lit(V.INVALID_INPUT).alias("status"))
     everything = keep(fine.withColumn("status", F.lit(None).cast("string")).unionByName(failed, True).unionByName(invalid, True), "outcomes")
     lines = everything.join(todo.select("row_index", "siret", "company_name"), "row_index")
@@ -94,6 +84,21 @@ def run(sheet: DataFrame, provider: Callable[[], responses.Provider], keep: Call
     return Outcome(merged, everything, log, counters)
 
 
+def looked_up(companies: DataFrame, provider: Callable[[], responses.Provider], keep: Callable[[DataFrame, str], DataFrame], c: Config, page_store: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(raw answers, results after sites, audit and gate, rows whose lookup failed) of usable companies."""
+    asked = responses.requests(companies, c.model, c.instructions, c.template, c.unknown, c.context_size, c.audit, effort=c.effort)
+    raw = keep(responses.call(asked, provider, c.tries, c.wait_s, c.concurrency), "raw-answers")
+    results = keep(_results(raw, c.model), "results")
+    fine = results.filter("error_type = ''")
+    if c.read_sites and page_store is not None:
+        fine = enrich.enrich(companies, fine, page_store, c.site_pages, c.audit, lambda df: keep(df, "walk"))
+    if c.audit:
+        pages = V.union_distinct(F.col("sources"), F.col("deterministic_pages")) if "deterministic_pages" in fine.columns else F.col("sources")
+        fine = responses.evidence_policy(fine.withColumn("sources", pages))
+    failed = results.filter("error_type <> ''").select("row_index", "error_type", "error_message").withColumn("status", F.lit(V.TECHNICAL_ERROR))
+    return raw, merge.identity_gate(fine), failed
+
+
 def _results(raw: DataFrame, model: str) -> DataFrame:
     """The last answer of each row decoded, with where it comes from and the usage and searches of all its attempts."""
     costs = raw.withColumns({**responses.usage(F.col("raw")), "web_search_calls": responses.search_calls(F.col("raw"))})

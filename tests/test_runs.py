@@ -4,7 +4,7 @@ import pytest
 
 from siftline.functions.values import MISSING
 from siftline.operators import evaluate, journal, responses
-from siftline.plans import enrichment
+from siftline.plans import enrichment, evaluation
 from siftline.streaming import journal_stream
 
 SHEET = (
@@ -169,3 +169,41 @@ def test_journal_as_a_stream(spark, tmp_path):
     w = journal_stream.status_counts(journal_stream.records(spark, str(folder))).writeStream.format("memory").queryName("windows").outputMode("append").trigger(availableNow=True).start()
     w.awaitTermination(60)
     assert spark.table("windows").count() >= 1 and journal.SCHEMA.startswith("seq")
+
+
+def done(spark, rows):
+    """A sheet of finished rows: (siret, name, e-mail, phone, website, status)."""
+    table = [(i + 2, r[0], r[1], None, None, "Lyon", r[2], r[3], r[4], None, r[5], *([None] * 7)) for i, r in enumerate(rows)]
+    return spark.createDataFrame(table, SHEET)
+
+
+def test_models_are_evaluated(spark, keep, tmp_path):
+    known = done(spark, [("1" * 14, "Atelier", "INFO@atelier.fr", None, None, "success"), ("2" * 14, "Moulin", None, None, None, "not_found"), ("3" * 14, "Forge", None, None, None, None), ("bad", "X", None, None, None, "success")])
+    answers = {"good": {"1" * 14: answer("info@atelier.fr"), "2" * 14: answer("m@moulin.fr")}, "poor": {"1" * 14: "nothing"}}
+    rows, summary = evaluation.models(known, ["good", " poor", "good"], lambda name: responses.recorded(answers[name]), keep, enrichment.Config(audit=True, wait_s=0))
+    assert tuple(rows.columns) == evaluate.MODEL_COLUMNS and len(rows.columns) == 37
+    got = {(r.deployment, r.row_index): r for r in rows.collect()}
+    assert set(got) == {(d, i) for d in ("good", "poor") for i in (2, 3)}
+    r = got["good", 2]
+    assert (r.candidate_status, r.email_exact_match, r.candidate_email, r.total_tokens, r.web_search_calls, r.error_type, r.audit_enabled) == ("success", True, "info@atelier.fr", 15, 1, "", True)
+    assert json.loads(r.sources) == ["https://atelier.fr/contact"] and r.latency_seconds >= 0
+    e = got["poor", 2]
+    assert (e.candidate_status, e.error_type, e.sources, e.candidate_email, e.total_tokens, e.identity_match_type) == ("technical_error", "UnreadableAnswer", "[]", MISSING, 0, "none")
+    totals = {r.deployment: r for r in summary.collect()}
+    assert (totals["good"].exact_matches, totals["good"].exact_match_pct, totals["poor"].error_rows) == (1, 100.0, 2)
+    path = evaluate.write_report(rows, summary, str(tmp_path), "models", "s")["csv"]
+    assert next((tmp_path / path.rpartition("/")[2]).glob("*.csv")).read_bytes().startswith(b"\xef\xbb\xbfdeployment,")
+
+
+def test_sites_are_evaluated(spark, keep):
+    page = "<p>Atelier, SIRET 111 111 111 11111, Lyon. Contact : atelier@exemple.fr</p>"
+    store = spark.createDataFrame([("https://atelier.fr/", "https://www.atelier.com/", page), ("https://other.fr/", "https://other.fr/", page)], "requested string, url string, html string")
+    known = done(spark, [("1" * 14, "Atelier", None, "04 78 00 11 22", "https://atelier.fr/", "success"), ("2" * 14, "Moulin", None, None, "https://gone.fr/", "success"), ("3" * 14, "Forge", "f@g.fr", "04 78 00 11 22", "https://forge.fr/", "success")])
+    rows, summary = evaluation.sites(known, store, keep)
+    assert tuple(rows.columns) == evaluate.SITE_COLUMNS and len(rows.columns) == 21
+    got = {r.row_index: r for r in rows.collect()}
+    assert set(got) == {2, 3}
+    assert (got[2].baseline_email, got[2].candidate_email, got[2].identity_extraction_method, got[2].phone_extraction_method) == (MISSING, "atelier@exemple.fr", "site_siret_or_siren", "baseline")
+    assert json.loads(got[2].deterministic_pages) == ["https://www.atelier.com/"] and (got[3].candidate_email, got[3].identity_extraction_method) == (MISSING, "baseline")
+    total = summary.first()
+    assert (total.requested_rows, total.recovered_emails, total.rows_with_gain, total.pages_fetched, total.error_rows) == (2, 1, 1, 1, 0)
