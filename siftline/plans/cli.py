@@ -1,7 +1,9 @@
-"""Command line: enrich a table, or replay a journal.
+"""Command line: enrich a table, replay a journal, or evaluate models and sites.
 
 python -m siftline.plans.cli enrich companies.csv out --provider package.module:factory
 python -m siftline.plans.cli recover companies.csv journal out
+python -m siftline.plans.cli evaluate-models companies.csv out --provider package.module:factory --deployment a --deployment b
+python -m siftline.plans.cli evaluate-sites companies.csv out --page-store pages
 """
 
 from __future__ import annotations
@@ -13,8 +15,8 @@ import logging.handlers
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftline.operators import journal
-from siftline.plans import enrichment
+from siftline.operators import evaluate, journal
+from siftline.plans import enrichment, evaluation
 from siftline.sources import headers, sheets
 
 log = logging.getLogger("siftline")
@@ -60,9 +62,29 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("journal")
     r.add_argument("out")
     r.add_argument("--sheet")
+    m = commands.add_parser("evaluate-models")
+    m.add_argument("--provider", required=True, help="module:function that makes a provider for a deployment's name")
+    m.add_argument("--deployment", action="append", required=True)
+    m.add_argument("--page-store")
+    m.add_argument("--max-rows", type=int, default=20)
+    m.add_argument("--context-size")
+    m.add_argument("--no-audit", action="store_true")
+    w = commands.add_parser("evaluate-sites")
+    w.add_argument("--page-store", required=True)
+    w.add_argument("--max-rows", type=int, default=30)
+    for command in (m, w):
+        command.add_argument("table")
+        command.add_argument("out")
+        command.add_argument("--sheet")
+        command.add_argument("--start-row", type=int)
     return p
 
 
+def _named(name: str):
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(args)
     set_up_logging(a.log_level, a.log_file)
@@ -72,15 +94,23 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         done = enrichment.recover(table, journal.read(spark, a.journal))
         log.info("wrote %s", sheets.write_version(headers.titled(done), a.out))
         return 0
-    settings = ("start_row", "max_rows", "concurrency", "tries", "wait_s", "site_pages", "context_size", "model", "overwrite_existing", "audit")
-    config = enrichment.Config().overridden(**{n: getattr(a, n) for n in settings})
-    module, _, name = a.provider.partition(":")
-    store = spark.read.parquet(a.page_store) if a.page_store else None
 
     def keep(df: DataFrame, step: str) -> DataFrame:
         return spark.read.parquet(sheets.write_version(df, f"{a.out.rstrip('/')}/steps/{step}"))
 
-    outcome = enrichment.run(table, getattr(importlib.import_module(module), name), keep, config, store)
+    store = spark.read.parquet(a.page_store) if a.page_store else None
+    if a.command == "evaluate-models":
+        make = _named(a.provider)
+        config = enrichment.Config(audit=not a.no_audit).overridden(start_row=a.start_row, context_size=a.context_size)
+        report = evaluation.models(table, a.deployment, lambda name: lambda: make(name), keep, config, a.max_rows, store)
+    elif a.command == "evaluate-sites":
+        report = evaluation.sites(table, store, keep, enrichment.Config().overridden(start_row=a.start_row), a.max_rows)
+    if a.command.startswith("evaluate"):
+        log.info("wrote %s", evaluate.write_report(*report, a.out, a.command, a.table))
+        return 0
+    settings = ("start_row", "max_rows", "concurrency", "tries", "wait_s", "site_pages", "context_size", "model", "overwrite_existing", "audit")
+    config = enrichment.Config().overridden(**{n: getattr(a, n) for n in settings})
+    outcome = enrichment.run(table, _named(a.provider), keep, config, store)
     log.info("wrote %s", sheets.write_version(headers.titled(outcome.sheet), a.out))
     log.info("counts: %s", outcome.counters.first().asDict())
     return 0

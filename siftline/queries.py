@@ -641,14 +641,13 @@ _OK = "error_type = ''"
 
 @registered(f"""{_X} SELECT deployment, count(*) AS requested_rows, count(*) FILTER ({_OK}) AS completed_rows, count(*) FILTER (error_type <> '') AS error_rows, count(*) FILTER (baseline_status = 'success') AS baseline_success_rows,
   count(*) FILTER ({_OK} AND candidate_status = 'success') AS candidate_success_rows, {_sum3(_OK + ' AND {b}')} AS baseline_found_fields, {_sum3(_OK + ' AND {f}')} AS candidate_found_fields,
-  {_sum3(_OK + ' AND {b} AND {c}_exact_match')} AS exact_matches, {_sum3(_OK + ' AND {f} AND NOT ({b})')} AS new_contacts,
+  {_sum3(_OK + ' AND {b} AND {c}_exact_match')} AS exact_matches, round(CAST(100.0 AS DOUBLE) * ({_sum3(_OK + ' AND {b} AND {c}_exact_match')}) / ({_sum3(_OK + ' AND {b}')}), 1) AS exact_match_pct, {_sum3(_OK + ' AND {f} AND NOT ({b})')} AS new_contacts,
   CAST(sum(input_tokens) FILTER ({_OK}) AS BIGINT) AS input_tokens, CAST(sum(output_tokens) FILTER ({_OK}) AS BIGINT) AS output_tokens, CAST(sum(total_tokens) FILTER ({_OK}) AS BIGINT) AS total_tokens,
   CAST(sum(web_search_calls) FILTER ({_OK}) AS BIGINT) AS web_search_calls, CAST(sum(deterministic_fields_found) FILTER ({_OK}) AS BIGINT) AS deterministic_fields_found,
   count(*) FILTER ({_OK} AND deterministic_fields_found > 0) AS rows_with_gain, CAST(avg(latency_seconds) FILTER ({_OK}) AS DOUBLE) AS average_latency_seconds FROM x GROUP BY deployment""")
 def model_eval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The match rate in percent is left to the report: engines round halves differently."""
     rows = derived.evals(spark, sf_dir).withColumn("latency_seconds", F.col("latency_seconds").cast("double"))
-    return evaluate.model_summary(evaluate.compared(rows)).drop("exact_match_pct")
+    return evaluate.model_summary(evaluate.compared(rows))
 
 
 @registered(f"""{_E} SELECT count(*) AS requested_rows, count(*) FILTER ({_OK}) AS completed_rows, count(*) FILTER (error_type <> '') AS error_rows, count(*) FILTER ({_OK} AND deterministic_fields_found > 0) AS rows_with_gain,

@@ -72,3 +72,18 @@ def test_command_line(spark, tmp_path):
     assert {r["Raison sociale"]: r["Email"] for r in again.collect()} == {"Atelier": "a@b.fr", "Moulin": None}
     with pytest.raises(ValueError, match="concurrency"):
         cli.main(["enrich", str(tmp_path / "c.csv"), str(out), "--provider", "tests.test_web_and_cli:make_provider", "--concurrency", "99"], spark)
+
+
+def provider_of(deployment):
+    return make_provider()
+
+
+def test_evaluations_from_the_command_line(spark, tmp_path):
+    row = ("1" * 14, "Atelier", "Lyon", None, "04 78 00 11 22", "https://atelier.fr/", "success")
+    table = spark.createDataFrame([row], "`SIRET` string, `Raison sociale` string, `Ville` string, `Email` string, `Telephone` string, `Site Web` string, `Enrichment Status` string")
+    table.write.parquet(str(tmp_path / "table"))
+    spark.createDataFrame([("https://atelier.fr/", "https://atelier.fr/", "<p>Atelier, SIRET 111 111 111 11111, Lyon : atelier@exemple.fr</p>")], "requested string, url string, html string").write.parquet(str(tmp_path / "pages"))
+    assert cli.main(["evaluate-sites", str(tmp_path / "table"), str(tmp_path / "sites"), "--page-store", str(tmp_path / "pages")], spark) == 0
+    assert cli.main(["evaluate-models", str(tmp_path / "table"), str(tmp_path / "models"), "--provider", f"{__name__}:provider_of", "--deployment", "m"], spark) == 0
+    read = lambda name: spark.read.json(str(next((tmp_path / name).glob("*.summary")))).first()
+    assert read("sites").recovered_emails == 1 and read("models").requested_rows == 1
