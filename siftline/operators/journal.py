@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftline.functions import values as V
@@ -27,13 +27,24 @@ def append(records: DataFrame, path: str) -> None:
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Records of a journal; blank lines are skipped, unknown keys and bad lines make it unreadable."""
-    lines = spark.read.text(path).filter(F.btrim("value") != "")
+    place = {"file": F.col("_metadata.file_path"), "block": F.col("_metadata.file_block_start"), "at": F.monotonically_increasing_id()}
+    lines = spark.read.text(path).select("value", *[c.alias(n) for n, c in place.items()])
     known = [f.split()[0].rstrip(":") for f in ("seq", "version", "recorded_at_utc", "row_index", "siret", "company_name", "result", "status", "overwrite_existing", "error_type", "error_message")]
     keys = F.json_object_keys("value")
-    bad = keys.isNull() | (F.size(F.array_except(keys, F.array(*map(F.lit, known)))) > 0)
-    if n := lines.filter(bad).count():
-        raise JournalError(f"{n} journal lines can't be read")
-    return lines.select(F.from_json("value", SCHEMA, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+    bad = (F.btrim("value") != "") & (keys.isNull() | (F.size(F.array_except(keys, F.array(*map(F.lit, known)))) > 0))
+    if not lines.filter(bad).isEmpty():
+        first = _numbered(lines, bad).orderBy("file", "line").first()
+        raise JournalError(f"line {first.line} of {first.file} can't be read")
+    records = lines.filter(F.btrim("value") != "").select(F.from_json("value", SCHEMA, {"mode": "FAILFAST"}).alias("r"))
+    return records.select("r.*")
+
+
+def _numbered(lines: DataFrame, which: Column) -> DataFrame:
+    """(file, line from 1) of some lines: places within a block after the lines of the file's blocks before it."""
+    blocks = lines.groupBy("file", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    return lines.filter(which).join(blocks, ["file", "block"]).select("file", (F.col("before") + F.col("at") - F.col("first") + 1).alias("line"))
 
 
 def mismatches(journal: DataFrame, sheet: DataFrame) -> DataFrame:

@@ -62,6 +62,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("journal")
     r.add_argument("out")
     r.add_argument("--sheet")
+    r.add_argument("--commits", help="marks of runs whose table is written; their records are left out")
     m = commands.add_parser("evaluate-models")
     m.add_argument("--provider", required=True, help="module:function that makes a provider for a deployment's name")
     m.add_argument("--deployment", action="append", required=True)
@@ -91,7 +92,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or SparkSession.builder.appName("siftline").getOrCreate()
     table = read(spark, a.table, a.sheet)
     if a.command == "recover":
-        done = enrichment.recover(table, journal.read(spark, a.journal))
+        done = enrichment.recover(table, journal.read(spark, a.journal), spark.read.parquet(a.commits) if a.commits else None)
         log.info("wrote %s", sheets.write_version(headers.titled(done), a.out))
         return 0
 
@@ -112,6 +113,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
     config = enrichment.Config().overridden(**{n: getattr(a, n) for n in settings})
     outcome = enrichment.run(table, _named(a.provider), keep, config, store)
     log.info("wrote %s", sheets.write_version(headers.titled(outcome.sheet), a.out))
+    keep(enrichment.commit(spark, outcome.run), "commits")
     log.info("counts: %s", outcome.counters.first().asDict())
     return 0
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
-from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftline.functions import values as V
@@ -51,6 +51,7 @@ class Outcome:
     results: DataFrame
     journal: DataFrame
     counters: DataFrame
+    run: int
 
 
 def run(sheet: DataFrame, provider: Callable[[], responses.Provider], keep: Callable[[DataFrame, str], DataFrame], config: Config | None = None, page_store: DataFrame | None = None) -> Outcome:
@@ -60,7 +61,7 @@ def run(sheet: DataFrame, provider: Callable[[], responses.Provider], keep: Call
     built, so that a run that breaks off between the two can be replayed.
     """
     c = (config or Config()).checked()
-    began = datetime.now(UTC)  # orders this run's records after those of earlier runs; a row has one record a run
+    began = time.time_ns() // 1000  # orders this run's records after those of earlier runs; a row has one record a run
     sheet = keep(sheet, "sheet")
     rows = eligibility.row_range(sheet, c.start_row, c.max_rows)
     todo = keep(rows.filter(~eligibility.skip(c.overwrite_existing, c.skip_if_filled)), "eligible")
@@ -71,7 +72,7 @@ def run(sheet: DataFrame, provider: Callable[[], responses.Provider], keep: Call
     lines = everything.join(todo.select("row_index", "siret", "company_name"), "row_index")
     value = F.struct(*[F.col(x) for x in ("email", "phone", "website", "website_type", "sources", "email_source", "phone_source", "website_source")])
     written = lines.select(
-        F.unix_micros(F.lit(began)).alias("seq"), F.lit(1).alias("version"), F.current_timestamp().alias("recorded_at_utc"), "row_index", "siret", "company_name",
+        F.lit(began).cast("long").alias("seq"), F.lit(1).alias("version"), F.current_timestamp().alias("recorded_at_utc"), "row_index", "siret", "company_name",
         F.when(F.col("status").isNull(), value).alias("result"),
         F.coalesce("status", F.when(merge.is_not_found(lines), V.NOT_FOUND).otherwise(V.SUCCESS)).alias("status"), F.lit(c.overwrite_existing).alias("overwrite_existing"), "error_type", "error_message",
     )
@@ -81,7 +82,7 @@ def run(sheet: DataFrame, provider: Callable[[], responses.Provider], keep: Call
     touched = merged.join(everything.select("row_index"), "row_index", "left_semi")
     scanned = keep(rows.agg(F.count(F.lit(1)).alias("scanned_rows")), "scanned")
     counters = eligibility.run_counters(touched).withColumn("scanned_rows", scanned.scalar())
-    return Outcome(merged, everything, log, counters)
+    return Outcome(merged, everything, log, counters, began)
 
 
 def looked_up(companies: DataFrame, provider: Callable[[], responses.Provider], keep: Callable[[DataFrame, str], DataFrame], c: Config, page_store: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -111,6 +112,14 @@ def _results(raw: DataFrame, model: str) -> DataFrame:
     return responses.mark_methods(read).drop("raw", "answer", "decode_error").join(costs, "row_index")
 
 
-def recover(sheet: DataFrame, records: DataFrame) -> DataFrame:
-    """``sheet`` after the records of a run that broke off; fails as a whole if they belong to another table."""
+def commit(spark: SparkSession, run: int) -> DataFrame:
+    """The mark that a run's table is written, so that its records needn't be replayed; the caller writes it after the table."""
+    return spark.range(1).select(F.lit(run).cast("long").alias("seq"), F.current_timestamp().alias("committed_at_utc"))
+
+
+def recover(sheet: DataFrame, records: DataFrame, commits: DataFrame | None = None) -> DataFrame:
+    """``sheet`` after the records of runs that broke off, those without a mark in ``commits``; fails as a whole if any
+    belongs to another table."""
+    if commits is not None:
+        records = records.join(commits.select("seq").distinct(), "seq", "left_anti")
     return journal.replay(sheet, journal.from_records(records))

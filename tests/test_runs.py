@@ -52,8 +52,11 @@ def test_whole_run(spark, keep):
     assert {(r.row_index, r.response_id, r.model_snapshot, r.model_deployment) for r in out.results.filter("row_index = 2").collect()} == {(2, "r-1", "m-2", "recorded")}
     again = {r.row_index: (r.email, r.status) for r in enrichment.recover(sheet(spark), out.journal).collect()}
     assert again == {k: (r.email, r.status) for k, r in got.items()}
+    untouched = enrichment.recover(sheet(spark), out.journal, enrichment.commit(spark, out.run))
+    assert [r.status for r in untouched.orderBy("row_index").collect()] == [r.status for r in sheet(spark).orderBy("row_index").collect()]
     second = enrichment.run(out.sheet, responses.recorded({"22222222222222": answer("m@moulin.fr", verified=False)}), keep, enrichment.Config(wait_s=0))
     later = {r.row_index: r for r in second.sheet.collect()}
+    assert second.run > out.run and {r.seq for r in second.journal.collect()} == {second.run}
     assert later[3].status == "not_found" and later[3].email == MISSING and later[2].email == "info@atelier.fr"
 
 
@@ -207,3 +210,10 @@ def test_sites_are_evaluated(spark, keep):
     assert json.loads(got[2].deterministic_pages) == ["https://www.atelier.com/"] and (got[3].candidate_email, got[3].identity_extraction_method) == (MISSING, "baseline")
     total = summary.first()
     assert (total.requested_rows, total.recovered_emails, total.rows_with_gain, total.pages_fetched, total.error_rows) == (2, 1, 1, 1, 0)
+
+
+def test_journal_errors_name_the_line(spark, tmp_path):
+    good = '{"seq": 1, "row_index": 2, "status": "success"}'
+    (tmp_path / "j.jsonl").write_text("\n".join([good, "", good, "{broken", good, "{again"]) + "\n")
+    with pytest.raises(journal.JournalError, match=r"line 4 of .*j\.jsonl"):
+        journal.read(spark, str(tmp_path / "j.jsonl"))
