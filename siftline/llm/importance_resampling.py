@@ -138,9 +138,11 @@ def acceptable(weighted: DataFrame) -> int:
     """k from the labels: the number of all rows whose key is above the cut that best separates the labelled ones.
 
     The cut is the middle of the gap with the fewest labelled rows on the wrong side, shares of each class counting
-    alike. With one class only, k is all rows: nothing shows what to reject.
+    alike. With one class only, k is all rows: nothing shows what to reject. Of rows that share a labelled id the one
+    with the least text hash counts, so there are no more than the sample has ids.
     """
-    known = sorted((r.key, r.label) for r in weighted.filter("label IS NOT NULL").select("key", "label").limit(4 * LABELS_A_CLASS).collect())
+    one = weighted.filter("label IS NOT NULL").groupBy("id").agg(F.min(F.struct("text_hash", "key", "label")).alias("r"))
+    known = sorted((r.key, r.label) for r in one.select("r.key", "r.label").collect())  # bounded by the labels' sample
     good, bad = sum(y for _, y in known), sum(1 - y for _, y in known)
     if not good or not bad:
         return weighted.count()
@@ -164,7 +166,9 @@ def select(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def keep_selected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``select`` selects, with their columns."""
+    """The rows of ``docs`` that ``select`` selects, with their columns, whatever their names; repeated rows go together."""
     chosen = select(docs, labels, id_col, text_col).filter("selected").select(F.col("id").alias("_id"), F.col("text_hash").alias("_h")).distinct()
-    keyed = docs.withColumn("_h", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    return keyed.join(chosen, keyed[id_col].eqNullSafe(chosen["_id"]) & (keyed["_h"] == chosen["_h"]), "left_semi").select(*docs.columns)
+    place = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    keyed = docs.toDF(*place.values()).withColumn("text_hash", F.xxhash64(F.coalesce(F.col(place[text_col]), F.lit(""))))
+    hit = keyed.join(chosen, keyed[place[id_col]].eqNullSafe(chosen["_id"]) & (keyed["text_hash"] == chosen["_h"]), "left_semi")
+    return hit.select(*place.values()).toDF(*docs.columns)

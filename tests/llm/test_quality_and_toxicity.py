@@ -108,3 +108,13 @@ def test_sentences_end_where_they_should():
         _, first = T.sentences(w)
         assert [bytes(w.data[w.start[i] : w.end[i]]).decode() for i in first] == ["One", "three", "four", "five", "six", "seven"]
     assert len(re.split(r"[.!?\n]+", text)) == 5
+
+
+def test_selection_keeps_clashing_columns_and_repeated_ids(spark):
+    rows = [(i, f"good plain words number {i}" if i % 2 else f"zz qq xx {i} zz", 7, "h", 1) for i in range(1, 40)] + [(1, "another text of the first id", 7, "h", 1)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _h int, _id string, key int")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 30)], "doc_id long, quality int, toxic int")
+    kept = IR.keep_selected(docs, labels)
+    assert kept.columns == docs.columns
+    got = kept.collect()
+    assert got and {(r["_h"], r["_id"], r["key"]) for r in got} == {(7, "h", 1)} and [tuple(r) for r in got if tuple(r) not in set(rows)] == []
