@@ -128,6 +128,8 @@ def laced_sizes(data: bytes, at: int, end: int, lacing: int) -> tuple[list[int],
         return [end - at], at
     n, at = data[at] + 1, at + 1
     if lacing == 2:
+        if (end - at) % n:
+            raise ValueError(f"{end - at} bytes at {at} are no {n} frames of one size")
         return [(end - at) // n] * n, at
     sizes: list[int] = []
     for i in range(n - 1):

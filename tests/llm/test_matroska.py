@@ -32,6 +32,12 @@ def test_foreign_layout():
         M.parse(M.mux(b" " * 192)[:-3])
 
 
+def test_fixed_lacing_must_come_out_even():
+    assert M.laced_sizes(b"\x01abcd", 0, 5, 2) == ([2, 2], 1)
+    with pytest.raises(ValueError, match="5 bytes"):
+        M.laced_sizes(b"\x01abcde", 0, 6, 2)
+
+
 def test_documents_and_edge_cases(spark):
     texts = [None, "", "x", "é" * 96, "z" * 193, "long 漢 " * 200_000, "x"]
     texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
