@@ -7,16 +7,17 @@ source quotas. A pattern's flow is then taken as whole passes over all its docum
 
 from __future__ import annotations
 
-import heapq
-import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from siftline.llm.shared_storage import written
 
-#: Rows that the driver solves for at most; patterns and sources are summaries, not documents.
-MAX_PATTERNS = 20_000
+#: Membership patterns of overlapping sources that the driver solves for at most; they are a summary, not documents.
+MAX_PATTERNS = 200_000
 WORDS = r"[^\x20\x09-\x0D]+"
 _HASH_DIGITS = 3
 
@@ -24,51 +25,70 @@ _HASH_DIGITS = 3
 def min_cost_flow(capacity: dict[tuple, int], quota: dict, epochs: int = 3) -> dict[tuple, int]:
     """Tokens taken per pattern (a tuple of sources, each a possible recipient) so that quotas are met at least cost.
 
-    Pass k of a pattern costs k per token (0, 1, ...). Successive shortest paths with potentials: source -> pattern,
-    one arc per pass -> source of the mix -> sink. Quotas that can't be met stay short. Ties go to the earlier pattern.
+    Pass k of a pattern costs k per token (0, 1, ...), and nothing else costs anything. A path's cost is then that of the
+    pass that it begins with, so the cheapest flow fills all of pass k before any of pass k + 1: each pass is opened for
+    all patterns at once, and the flow is brought to its maximum before the next. Quotas that can't be met stay short.
+    Ties go to the earlier pattern.
     """
     patterns, names = sorted(capacity, key=repr), sorted(quota, key=repr)
-    node = {("p", p): i + 2 for i, p in enumerate(patterns)} | {("s", s): len(patterns) + i + 2 for i, s in enumerate(names)}
-    graph: list[list[list[int]]] = [[] for _ in range(len(node) + 2)]  # of [to, capacity, cost, place of the reverse arc]
+    place = {s: len(patterns) + i + 2 for i, s in enumerate(names)}
+    graph: list[list[list[int]]] = [[] for _ in range(len(patterns) + len(names) + 2)]  # of [to, capacity, place of the reverse arc]
 
-    def arc(a: int, b: int, cap: int, cost: int) -> None:
-        graph[a].append([b, cap, cost, len(graph[b])])
-        graph[b].append([a, 0, -cost, len(graph[a]) - 1])
+    def arc(a: int, b: int, cap: int) -> None:
+        graph[a].append([b, cap, len(graph[b])])
+        graph[b].append([a, 0, len(graph[a]) - 1])
 
-    for p in patterns:
-        for k in range(epochs):
-            arc(0, node["p", p], capacity[p], k)
+    for i, p in enumerate(patterns, 2):
+        arc(0, i, 0)
         for s in p:
-            if s in quota:
-                arc(node["p", p], node["s", s], capacity[p] * epochs, 0)
+            if s in place:
+                arc(i, place[s], capacity[p] * epochs)
     for s in names:
-        arc(node["s", s], 1, quota[s], 0)
-    potential = [0] * len(graph)
+        arc(place[s], 1, quota[s])
+    for _ in range(epochs):
+        for opened, p in zip(graph[0], patterns, strict=True):
+            opened[1] += capacity[p]
+        _fill(graph)
+    return {p: capacity[p] * epochs - opened[1] for opened, p in zip(graph[0], patterns, strict=True)}
+
+
+def _fill(graph: list[list[list[int]]]) -> None:
+    """Bring the flow from node 0 to node 1 to its maximum, by blocking flows over the shortest paths that are open."""
     while True:
-        far, by = [float("inf")] * len(graph), [(-1, -1)] * len(graph)
-        far[0], queue = 0, [(0, 0)]
-        while queue:
-            d, a = heapq.heappop(queue)
-            if d > far[a]:
-                continue
-            for i, (b, cap, cost, _) in enumerate(graph[a]):
-                if cap > 0 and d + cost + potential[a] - potential[b] < far[b]:
-                    far[b], by[b] = d + cost + potential[a] - potential[b], (a, i)
-                    heapq.heappush(queue, (far[b], b))
-        if far[1] == float("inf"):
-            break
-        potential = [h + (d if d < float("inf") else 0) for h, d in zip(potential, far, strict=True)]
-        push, b = None, 1
-        while b:
-            a, i = by[b]
-            push, b = graph[a][i][1] if push is None else min(push, graph[a][i][1]), a
-        b = 1
-        while b:
-            a, i = by[b]
-            graph[a][i][1] -= push
-            graph[b][graph[a][i][3]][1] += push
-            b = a
-    return {p: sum(capacity[p] - x[1] for x in graph[0] if x[0] == node["p", p]) for p in patterns}
+        level, queue = [0] + [-1] * (len(graph) - 1), [0]
+        for a in queue:
+            for b, cap, _ in graph[a]:
+                if cap > 0 and level[b] < 0:
+                    level[b] = level[a] + 1
+                    queue.append(b)
+        if level[1] < 0:
+            return
+        tried = [0] * len(graph)
+        while path := _open_path(graph, level, tried):
+            push = min(graph[a][i][1] for a, i in path)
+            for a, i in path:
+                to, _, back = graph[a][i]
+                graph[a][i][1] -= push
+                graph[to][back][1] += push
+
+
+def _open_path(graph: list[list[list[int]]], level: list[int], tried: list[int]) -> list[tuple[int, int]]:
+    """Arcs (node, place) of one open path that rises a level at each; empty if there is none. ``tried`` skips dead ends."""
+    path, a = [], 0
+    while a != 1:
+        if tried[a] == len(graph[a]):
+            if not path:
+                return []
+            a, i = path.pop()
+            tried[a] += 1
+            continue
+        b, cap, _ = graph[a][tried[a]]
+        if cap > 0 and level[b] == level[a] + 1:
+            path.append((a, tried[a]))
+            a = b
+        else:
+            tried[a] += 1
+    return path
 
 
 def take(docs: DataFrame, taken: DataFrame, seed: str, narrow: DataFrame | None = None) -> DataFrame:
@@ -155,28 +175,46 @@ def _size(text_col: str) -> Column:
 
 
 def _solved(rows: DataFrame, epochs: int) -> tuple[DataFrame, DataFrame]:
-    """Targets of each source, and (pattern, flow, capacity) of the documents of each, for one source a document."""
-    spark = rows.sparkSession
+    """Targets of each source, and (pattern, flow, capacity) of the documents of each, for one source a document.
+
+    Each source is then a graph of its own, so the flows are solved where the sources lie, however many there are.
+    """
     wanted = written(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), limit=epochs), "mix-targets")
-    summary = wanted.limit(MAX_PATTERNS + 1).collect()  # a row per source
-    if len(summary) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} sources: group them first")
-    flow = min_cost_flow({(r.source,): r.source_size for r in summary}, {r.source: math.floor(r.target + 0.5) for r in summary}, epochs)
-    return wanted, spark.createDataFrame([([r.source], flow[(r.source,)], r.source_size) for r in summary], "pattern array<string>, flow long, capacity long")
+    schema = StructType([wanted.schema["source"], StructField("flow", LongType()), StructField("capacity", LongType())])
+    solved = wanted.select("source", "source_size", F.floor(F.col("target") + 0.5).alias("quota")).mapInArrow(_flows(epochs), schema)
+    return wanted, solved.select(F.array("source").alias("pattern"), "flow", "capacity")
+
 
+def _flows(epochs: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            source, size, quota = batch.columns
+            each = zip(source.to_pylist(), size.to_pylist(), quota.to_pylist(), strict=True)
+            flow = [min_cost_flow({(s,): n}, {s: q}, epochs)[(s,)] for s, n, q in each]
+            yield pa.RecordBatch.from_arrays([source, pa.array(flow, pa.int64()), size], names=["source", "flow", "capacity"])
 
-def mix_overlapping(docs: DataFrame, quotas: dict[str, int], seed: str = "mix", epochs: int = 3) -> DataFrame:
+    return run
+
+
+def mix_overlapping(docs: DataFrame, quotas: dict[str, int], seed: str = "mix", epochs: int = 3, max_patterns: int = MAX_PATTERNS) -> DataFrame:
     """``docs`` (doc_id, size, sources array<string>) with ``taken``; a document counts for any one of its sources.
 
-    ``quotas`` are words per source. Documents without a quoted source take nothing; null arrays count as empty.
+    ``quotas`` are words per source. Documents without a quoted source take nothing; null arrays count as empty and null
+    sizes as zero. Other columns stay, whatever their names, but for one named ``taken``, which is replaced. Repeated
+    rows stay and are taken on their own; an empty table stays empty. The graph of patterns is solved on the driver, so
+    more than ``max_patterns`` of them raise.
     """
     spark = docs.sparkSession
-    names = F.array(*[F.lit(s) for s in sorted(quotas)])
-    rows = docs.withColumn("pattern", F.array_sort(F.array_intersect(F.coalesce("sources", F.array().cast("array<string>")), names)))
-    sums = rows.groupBy("pattern").agg(F.sum("size").alias("n")).limit(MAX_PATTERNS + 1).collect()  # a row per pattern
-    if len(sums) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
+    names = F.array(*[F.lit(s) for s in sorted(quotas)]).cast("array<string>")
+    docs = docs.drop("taken")
+    plain = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    named = docs.withColumnsRenamed(plain)
+    pattern = F.array_sort(F.array_intersect(F.coalesce(F.col(plain["sources"]), F.array().cast("array<string>")), names))
+    rows = named.withColumns({"doc_id": F.col(plain["doc_id"]), "size": F.coalesce(F.col(plain["size"]), F.lit(0)).cast("long"), "pattern": pattern})
+    sums = rows.groupBy("pattern").agg(F.sum("size").alias("n")).limit(max_patterns + 1).collect()  # a row per pattern
+    if len(sums) > max_patterns:
+        raise ValueError(f"more than {max_patterns} membership patterns")
     capacity = {tuple(r.pattern): r.n for r in sums}
     flow = min_cost_flow(capacity, quotas, epochs)
     solved = spark.createDataFrame([(list(p), flow[p], n) for p, n in capacity.items()], "pattern array<string>, flow long, capacity long")
-    return take(rows, solved, seed).drop("pattern", "times")
+    return take(rows, solved, seed).select(*[F.col(name).alias(c) for c, name in plain.items()], "taken")

@@ -1,4 +1,7 @@
+import itertools
+import random
 import re
+import time
 from collections import defaultdict
 
 import duckdb
@@ -74,3 +77,58 @@ def test_overlapping(spark):
     got = source_mixing.mix_overlapping(docs, {"a": 1500, "b": 600}).collect()
     assert len(got) == 1000 and abs(sum(r.taken for r in got) - 2100) <= 6
     assert all(r.taken == 0 for r in got if not r.sources) and all(r.taken <= 3 * r.size for r in got)
+
+
+def test_overlapping_keeps_clashing_columns(spark):
+    rows = [(i, 2, ["a"], "h", "b", "p", 7, 8) for i in range(20)] + [(None, None, None, None, None, None, None, None)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, size long, sources array<string>, _h string, _block string, pattern string, times long, taken long")
+    out = source_mixing.mix_overlapping(docs, {"a": 30})
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert len(got) == 22 and sum(r.taken for r in got) == 30
+    assert all((r._h, r._block, r.pattern, r.times) == ("h", "b", "p", 7) for r in got if r.doc_id is not None)
+    assert source_mixing.mix_overlapping(docs.limit(0), {"a": 30}).count() == 0
+
+
+def test_many_sources_need_no_solver_on_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(source_mixing, "MAX_PATTERNS", 10)
+    rows = [(i, "w " * (1 + i % 9), f"s{i % 500:03d}") for i in range(2000)]
+    got = source_mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    check(rows, got)
+
+
+def by_trying_all(capacity, quota, epochs):
+    """(flow, -cost) of the cheapest among the largest flows, by trying every one."""
+    patterns, best = sorted(capacity), (-1, 0)
+    shares = [[(p, s) for s in p] for p in patterns]
+    arcs = [a for x in shares for a in x]
+    for amounts in itertools.product(*[range(min(quota[s], capacity[p] * epochs) + 1) for p, s in arcs]):
+        into, out = defaultdict(int), defaultdict(int)
+        for (p, s), n in zip(arcs, amounts, strict=True):
+            into[s] += n
+            out[p] += n
+        if all(into[s] <= quota[s] for s in quota) and all(out[p] <= capacity[p] * epochs for p in patterns):
+            cost = sum(k * min(capacity[p], max(0, out[p] - k * capacity[p])) for p in patterns for k in range(epochs))
+            best = max(best, (sum(amounts), -cost))
+    return best
+
+
+def test_min_cost_flow_is_the_cheapest_of_the_largest():
+    draw = random.Random(5)
+    for _ in range(40):
+        capacity = {p: draw.randrange(3) for p in [("a",), ("a", "b"), ("b",)]}
+        quota = {"a": draw.randrange(6), "b": draw.randrange(6)}
+        flow = source_mixing.min_cost_flow(capacity, quota, 3)
+        cost = sum(k * min(capacity[p], max(0, n - k * capacity[p])) for p, n in flow.items() for k in range(3))
+        assert (sum(flow.values()), -cost) == by_trying_all(capacity, quota, 3), (capacity, quota, flow)
+
+
+def test_min_cost_flow_of_many_patterns_ends():
+    names = [f"s{i}" for i in range(40)]
+    draw = random.Random(7)
+    capacity = {tuple(sorted(draw.sample(names, draw.randrange(1, 5)))): draw.randrange(1, 1000) for _ in range(20000)}
+    quota = {s: sum(capacity.values()) // 40 for s in names}
+    started = time.monotonic()
+    flow = source_mixing.min_cost_flow(capacity, quota)
+    assert time.monotonic() - started < 60
+    assert sum(flow.values()) == sum(quota.values()) and all(n <= 3 * capacity[p] for p, n in flow.items())
