@@ -28,8 +28,8 @@ ALPHA = 0.4
 RANKED = 1 << 16
 #: Ranks whose pairs are counted apart: at most HOT * HOT counts.
 HOT = 64
-#: Rows from which the words whose pairs are counted apart are guessed.
-GUESS_ROWS = 500
+#: About how many rows, spread over the whole table by hash, the words whose pairs are counted apart are guessed from.
+GUESS_ROWS = 2000
 BATCH = "4m"
 CHUNK = 1 << 20
 _PAIRS_A_ROW = 1 << 16
@@ -173,8 +173,10 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     spark = docs.sparkSession
     sc = spark.sparkContext
     rows = docs.select(F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))).alias("key"), F.col(id_col).alias("id"))
-    # which words count as hot is guessed from a few rows; their counts are of all rows
-    guess = rows.select("text").limit(GUESS_ROWS).mapInArrow(_first_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(HOT - 1).collect()
+    # which words count as hot is guessed from rows of all parts of the table; their counts are of all rows
+    every = max(1, docs.count() // GUESS_ROWS)
+    spread = rows.filter(F.pmod("key", F.lit(every)) == 0)
+    guess = spread.select("text").mapInArrow(_first_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(HOT - 1).collect()
     frequent = np.array([r.word for r in guess], np.int64)
     with small_batches(spark, BATCH):
         counted = written(rows.select("text").mapInArrow(_counts(frequent.view(np.uint64)), "kind int, word long, n long").groupBy("kind", "word").agg(F.sum("n").alias("n")), "word-counts")
