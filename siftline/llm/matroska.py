@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 # Element ids of the Matroska specification.
 EBML, SEGMENT, INFO, TRACKS, CLUSTER, CUES = 0x1A45DFA3, 0x18538067, 0x1549A966, 0x1654AE6B, 0x1F43B675, 0x1C53BB6B
 TIMESTAMP_SCALE, DURATION, MUXING_APP, WRITING_APP = 0x2AD7B1, 0x4489, 0x4D80, 0x5741
-TRACK_ENTRY, TRACK_NUMBER, TRACK_UID, TRACK_TYPE, CODEC_ID, FLAG_LACING = 0xAE, 0xD7, 0x73C5, 0x83, 0x86, 0x9C
+TRACK_ENTRY, TRACK_NUMBER, TRACK_UID, TRACK_TYPE, CODEC_ID, FLAG_LACING, DEFAULT_DURATION = 0xAE, 0xD7, 0x73C5, 0x83, 0x86, 0x9C, 0x23E383
 AUDIO, SAMPLING_FREQUENCY, CHANNELS, BIT_DEPTH = 0xE1, 0xB5, 0x9F, 0x6264
 CLUSTER_TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK, REFERENCE_BLOCK, BLOCK_DURATION = 0xE7, 0xA3, 0xA0, 0xA1, 0xFB, 0x9B
 CUE_POINT, CUE_TIME, CUE_TRACK_POSITIONS, CUE_TRACK, CUE_CLUSTER_POSITION = 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
@@ -31,7 +31,7 @@ FRAMES_A_BLOCK, BLOCKS_A_CLUSTER = 8, 64
 
 class Packet(NamedTuple):
     track: int
-    timestamp: int  # in units of the timestamp scale, a millisecond unless the file says otherwise
+    timestamp: int  # in units of the timestamp scale, a millisecond unless the file says otherwise; of each frame of a lace
     offset: int
     size: int
     keyframe: bool
@@ -75,7 +75,7 @@ def mux(payload: bytes) -> bytes:
     clusters, cues, at, i, turn = [], [], 0, 0, 0
     info = element(INFO, _uint(TIMESTAMP_SCALE, 1_000_000) + element(DURATION, struct.pack(">d", stamp(len(frames)))) + element(MUXING_APP, b"siftline") + element(WRITING_APP, b"siftline"))
     audio = element(AUDIO, element(SAMPLING_FREQUENCY, struct.pack(">d", RATE)) + _uint(CHANNELS, 1) + _uint(BIT_DEPTH, 8))
-    entry = _uint(TRACK_NUMBER, 1) + _uint(TRACK_UID, 1) + _uint(TRACK_TYPE, 2) + _uint(FLAG_LACING, 1) + element(CODEC_ID, b"A_PCM/INT/LIT") + audio
+    entry = _uint(TRACK_NUMBER, 1) + _uint(TRACK_UID, 1) + _uint(TRACK_TYPE, 2) + _uint(FLAG_LACING, 1) + _uint(DEFAULT_DURATION, FRAME * 1_000_000_000 // RATE) + element(CODEC_ID, b"A_PCM/INT/LIT") + audio
     head = info + element(TRACKS, element(TRACK_ENTRY, entry))
     at = len(head)
     while i < len(frames):
@@ -158,20 +158,26 @@ class Parsed(NamedTuple):
 def parse(data: bytes) -> Parsed:
     """Packets in file order, tracks and cues; a file without a segment has none, a broken one is an error.
 
-    A cluster of unknown size ends where the next element of the segment begins. Frames of a laced block share its
-    timestamp, except in audio tracks with a default duration unknown to it: later frames then repeat the block's.
+    A cluster of unknown size ends where the next element of the segment begins. A block's timestamp is that of its first
+    frame. Each later frame of a lace follows by its track's default duration, else by its share of the block's duration,
+    else, in PCM, by the time that the bytes before it take; where a file tells none of these it repeats the block's.
     """
     uint = lambda a, b: int.from_bytes(data[a:b], "big")
     out = Parsed([], [], [], 1_000_000)
     scale, top_level = out.scale, {INFO, TRACKS, CLUSTER, CUES}
+    laces: list[tuple[int, int, int]] = []  # first packet, number of packets, duration of the block (0: not told)
+    default: dict[int, int] = {}  # by track: nanoseconds of a frame
+    byte_rate: dict[int, float] = {}  # by PCM track: bytes a second
 
-    def block(at: int, end: int, element_at: int, cluster: tuple[int, int], simple: bool, key: bool) -> None:
+    def block(at: int, end: int, element_at: int, cluster: tuple[int, int], simple: bool, key: bool, duration: int = 0) -> None:
         track, at = vint(data, at)
         relative, flags = struct.unpack_from(">hB", data, at)
         lacing = flags >> 1 & 3
         sizes, start = laced_sizes(data, at + 3, end, lacing)
         if min(sizes) < 0:
             raise ValueError(f"laces run past the block at {element_at}")
+        if len(sizes) > 1:
+            laces.append((len(out.packets), len(sizes), duration))
         for n in sizes:
             out.packets.append(Packet(track, cluster[1] + relative, start, n, bool(flags & 0x80) if simple else key, LACINGS[lacing], element_at, cluster[0]))
             start += n
@@ -189,9 +195,10 @@ def parse(data: bytes) -> Parsed:
                     if ident == BLOCK_GROUP:
                         inner = list(elements(data, a, b))
                         key = not any(x[0] == REFERENCE_BLOCK for x in inner)
+                        duration = next((uint(c, d) for i, _, c, d in inner if i == BLOCK_DURATION), 0)
                         for i, p, c, d in inner:
                             if i == BLOCK:
-                                block(c, d, p, cluster, False, key)
+                                block(c, d, p, cluster, False, key, duration)
                     elif ident == INFO:
                         scale = next((uint(c, d) for i, _, c, d in elements(data, a, b) if i == TIMESTAMP_SCALE), scale)
                     elif ident == TRACKS:
@@ -200,9 +207,12 @@ def parse(data: bytes) -> Parsed:
                                 got = {k: (e, f) for k, _, e, f in elements(data, c, d)}
                                 sound = {k: (e, f) for k, _, e, f in elements(data, *got[AUDIO])} if AUDIO in got else {}
                                 rate = data[slice(*sound[SAMPLING_FREQUENCY])] if SAMPLING_FREQUENCY in sound else b""
-                                number = lambda k, got=got: uint(*got[k]) if k in got else 0
+                                rate = struct.unpack(">d" if len(rate) == 8 else ">f", rate)[0] if rate else 0.0
+                                number = lambda k, of=got, least=0: max(uint(*of[k]) if k in of else 0, least)
                                 codec = data[slice(*got[CODEC_ID])].decode("ascii", "replace") if CODEC_ID in got else ""
-                                out.tracks.append((number(TRACK_NUMBER), number(TRACK_TYPE), codec, struct.unpack(">d" if len(rate) == 8 else ">f", rate)[0] if rate else 0.0))
+                                default[number(TRACK_NUMBER)] = number(DEFAULT_DURATION)
+                                byte_rate[number(TRACK_NUMBER)] = rate * number(CHANNELS, sound, 1) * number(BIT_DEPTH, sound) / 8 if codec.startswith("A_PCM/") else 0.0
+                                out.tracks.append((number(TRACK_NUMBER), number(TRACK_TYPE), codec, rate))
                     elif ident == CUES:
                         for i, _, c, d in elements(data, a, b):
                             time = next((uint(e, f) for k, _, e, f in elements(data, c, d) if k == CUE_TIME), 0) if i == CUE_POINT else 0
@@ -220,11 +230,21 @@ def parse(data: bytes) -> Parsed:
     for ident, _, a, b in elements(data, 0, len(data)):
         if ident == SEGMENT:
             segment(a, b)
+    for at, n, duration in laces:  # tracks may be told after their packets
+        first = out.packets[at]
+        step, rate = default.get(first.track, 0), byte_rate.get(first.track, 0.0)
+        for i, p in enumerate(out.packets[at : at + n]):
+            passed = i * step // scale if step else i * duration // n if duration else int((p.offset - first.offset) * 1_000_000_000 / rate) // scale if rate else 0
+            out.packets[at + i] = p._replace(timestamp=first.timestamp + passed)
     return out._replace(scale=scale)
 
 
 def store(docs: DataFrame, text_col: str = "text", media_col: str = "media") -> DataFrame:
-    """``docs`` with its text replaced by ``media_col`` binary and n_bytes long: see ``payload``. Null texts are empty."""
+    """``docs`` with its text replaced by ``media_col`` binary and n_bytes long: see ``payload``.
+
+    A row per row, repeats included, and equal files for equal texts. Null texts are empty, long ones whole; an empty
+    table stays empty. The other columns stay, but for those that already bear the names of the two new ones.
+    """
     own = [c for c in docs.columns if c not in (text_col, media_col, "n_bytes")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,7 +313,9 @@ def digests(files: DataFrame, media_col: str = "media") -> DataFrame:
     """``files`` without the media, with payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature.
 
     The payload is read back from the packets' byte ranges. The feature counts packets, clusters, laced packets and
-    cues that point at a cluster, and holds the last timestamp, the sum and the sum of squares of the samples.
+    cues that point at a cluster, and holds the last timestamp, the sum and the sum of squares of the samples. A row per
+    row, repeats included; null files are files of no bytes, broken ones an error; an empty table stays empty. Columns
+    that already bear the new names are replaced.
     """
     made = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
     names = [x.split()[0] for x in made.split(", ")]

@@ -38,6 +38,22 @@ def test_fixed_lacing_must_come_out_even():
         M.laced_sizes(b"\x01abcde", 0, 6, 2)
 
 
+def test_times_within_laces():
+    """By the track's default duration, by the block's, by the bytes of PCM, or not at all; tracks may come last."""
+    block = bytes([0x81]) + struct.pack(">hB", 5, 2 << 1) + M.lace([b"abcd"] * 4, "fixed")
+    sound = M.element(M.AUDIO, M.element(M.SAMPLING_FREQUENCY, struct.pack(">f", 1000)) + M._uint(M.CHANNELS, 2) + M._uint(M.BIT_DEPTH, 8))
+
+    def times(codec: bytes, track: bytes = b"", duration: bytes = b"") -> list[int]:
+        tracks = M.element(M.TRACKS, M.element(M.TRACK_ENTRY, M._uint(M.TRACK_NUMBER, 1) + M.element(M.CODEC_ID, codec) + sound + track))
+        group = M.element(M.BLOCK_GROUP, M.element(M.BLOCK, block) + duration)
+        return [p.timestamp for p in M.parse(M.element(M.SEGMENT, M.element(M.CLUSTER, M._uint(M.CLUSTER_TIMESTAMP, 100) + group) + tracks)).packets]
+
+    assert times(b"A_OPUS", M._uint(M.DEFAULT_DURATION, 20_000_000)) == [105, 125, 145, 165]
+    assert times(b"A_OPUS", duration=M._uint(M.BLOCK_DURATION, 40)) == [105, 115, 125, 135]
+    assert times(b"A_PCM/INT/LIT") == [105, 107, 109, 111]
+    assert times(b"A_OPUS") == [105] * 4
+
+
 def test_documents_and_edge_cases(spark):
     texts = [None, "", "x", "é" * 96, "z" * 193, "long 漢 " * 200_000, "x"]
     texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
@@ -53,7 +69,7 @@ def test_documents_and_edge_cases(spark):
         assert f"packets={len(full) // 192};" in r.feature and f";sum={sum(full)};" in r.feature
     assert got[2].media_sha256 == got[6].media_sha256
     table = M.packets(files.filter("doc_id = 5"), ["doc_id"]).collect()
-    assert [r.timestamp for r in table][:3] == [0, 24, 24] and {r.lacing for r in table} == set(M.LACINGS)
+    assert [r.timestamp for r in table] == [24 * i for i in range(len(table))] and {r.lacing for r in table} == set(M.LACINGS)
     assert M.packets(files.selectExpr("doc_id", "cast('junk' as binary) AS media"), ["doc_id"], errors="skip").count() == 0
     assert M.digests(M.store(docs.limit(0))).count() == 0
     places = {r.cluster_offset for r in table}
