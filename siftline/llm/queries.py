@@ -23,6 +23,25 @@ def op1_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quote_threads.threads(_table(spark, sf_dir, "conversations"), elsewhere_chars=quote_threads.ELSEWHERE_CHARS)
 
 
+def with_quoted_replies(messages: DataFrame) -> DataFrame:
+    """``messages`` (conv_id, turn, text) where each quotes the one before it at depth 1 and the one before that at depth 2.
+
+    What a message answers is found by its number, so that a long conversation needs no ordering in one task.
+    """
+    said = messages.groupBy("conv_id", "turn").agg(F.min("text").alias("said"))
+    out = messages.select("conv_id", "turn", "text")
+    for back in (1, 2):
+        out = out.join(said.select("conv_id", (F.col("turn") + back).alias("turn"), F.col("said").alias(f"back{back}")), ["conv_id", "turn"], "left")
+    quoted = lambda back, marks: F.concat(F.regexp_replace(F.col(back), "(?m)^", marks), F.lit("\n"))
+    text = F.concat(F.coalesce(quoted("back2", ">> "), F.lit("")), F.coalesce(quoted("back1", "> "), F.lit("")), F.coalesce("text", F.lit("")))
+    return out.select("conv_id", "turn", text.alias("text"))
+
+
+def quoted_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The linking of op1 where there are quotes to link: the tables' own conversations hold none."""
+    return quote_threads.threads(with_quoted_replies(_table(spark, sf_dir, "conversations")), elsewhere_chars=quote_threads.ELSEWHERE_CHARS)
+
+
 def op2_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.edits(_table(spark, sf_dir, "documents"))
 
@@ -76,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_source_mixing": op9_source_mixing,
     "op10_simhash": op10_simhash,
+    "quoted_replies": quoted_replies,
 }
 
 #: DuckDB SQL for the queries that SQL can express; the others are tested against brute force in tests/llm.

@@ -1,6 +1,8 @@
 import random
+import re
 from collections import defaultdict
 
+from siftline.llm import queries
 from siftline.llm import quote_threads as Q
 
 SCHEMA = "conv_id long, turn long, role string, text string, position string"
@@ -32,9 +34,8 @@ def brute(rows):
         for q in units.values():
             mine = [x for x in says[q["hash"]] if x[0] == c]
             to = min(mine) if mine and min(mine)[1] < t else None
-            if to is None and says[q["hash"]]:
-                first = min(says[q["hash"]])
-                to = first if not (first[0] == c and first[1] >= t) else None
+            if to is None:
+                to = min((x for x in says[q["hash"]] if x[0] != c), default=None)
             found.append((q, to))
             if to and q["whole"]:
                 hits.add(q["passage"])
@@ -123,3 +124,52 @@ def test_short_quotes(spark):
         assert got[1, 2] == (1, 1, 1, 1, 1, 1)
         assert got[2, 0] == (1, None, 0, *other)
         assert got[1, 3] == (1, None, 3, *((1, 3, 0) if least == 1 else (0, None, None)))
+
+
+def plain(text):
+    """(what a message says: whole, passages, lines; its quoted passages as (depth, lines)), told without the operator's parser."""
+    told, quoted = [[]], []
+    for line in (text or "").split("\n"):
+        marks = re.match(r"\s*(>\s*)*", line)[0] if line.lstrip().startswith(">") else ""
+        clean = " ".join(line[len(marks) :].split()).casefold()
+        depth = marks.count(">")
+        if not depth:
+            told.append([]) if not clean else told[-1].append(clean)
+        if not clean:
+            quoted.append((0, []))
+        elif depth and quoted and quoted[-1][0] == depth:
+            quoted[-1][1].append(clean)
+        else:
+            quoted.append((depth, [clean] if depth else []))
+    runs = [" ".join(r) for r in told if r]
+    return {" ".join(runs), *runs, *(x for r in told for x in r)} - {""}, [q for q in quoted if q[0]]
+
+
+def test_replies_query(spark):
+    sf = "/root/testdata/sf0.001"
+    source = spark.read.parquet(f"{sf}/conversations.parquet")
+    rows = [(r.conv_id, r.turn, r.text) for r in queries.with_quoted_replies(source).select("conv_id", "turn", "text").collect()]
+    assert len(rows) == source.count()
+    told = {(c, t): plain(x) for c, t, x in rows}
+    says = defaultdict(list)
+    for at, (own, _) in told.items():
+        for x in own:
+            says[x].append(at)
+    got = {(r.conv_id, r.turn): r for r in queries.quoted_replies(spark, sf).collect()}
+    assert len(got) == len(rows) == len(told)
+    for (c, t), (_, quoted) in told.items():
+        def found(x, c=c, t=t):
+            here = min((y[1] for y in says[x] if y[0] == c), default=t)
+            return (c, here) if here < t else min((y for y in says[x] if y[0] != c), default=None) if len(x) >= Q.ELSEWHERE_CHARS else None
+        linked, chars = 0, defaultdict(int)
+        for depth, lines in quoted:
+            whole = " ".join(lines)
+            hits = [(whole, found(whole))] if found(whole) else [(x, found(x)) for x in lines if len(lines) > 1]
+            linked += any(to for _, to in hits)
+            for x, to in {(x, to) for x, to in hits if to}:
+                chars[depth, to] += len(x)
+        reply = max(((n, to[1]) for (depth, to), n in chars.items() if depth == 1 and to[0] == c), default=(0, None))[1]
+        r = got[c, t]
+        assert (r.n_quotes, r.n_linked) == (len(quoted), linked), (c, t)
+        assert r.reply_to_turn == reply, (c, t)
+    assert sum(r.n_linked for r in got.values()) > len(got) // 2 and max(r.reply_depth for r in got.values()) > 1
