@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm import byte_bpe, importance_resampling, jump_hash, matroska, multiset_hash, quote_threads, simhash, source_mixing, stupid_backoff, toxicity
+from siftline.llm import byte_bpe, importance_resampling, jump_hash, matroska, multiset_hash, quote_threads, simhash, source_mixing, stupid_backoff, toxicity, word_tries
 from siftline.sources.tables import read_parquet
 
 #: The vocabulary of the byte-level BPE query.
@@ -84,6 +84,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_word_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_tries.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quote_threads": op1_quote_threads,
     "op2_multiset_hash": op2_multiset_hash,
@@ -95,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_source_mixing": op9_source_mixing,
     "op10_simhash": op10_simhash,
+    "op11_word_tries": op11_word_tries,
     "quoted_replies": quoted_replies,
 }
 
@@ -135,5 +140,38 @@ r AS (
 SELECT doc_id, size, source_size, target,
   CAST(size * (passes + CASE WHEN upto <= rest OR (upto - size < rest AND upto - rest < size - (upto - rest)) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM r
+""",
+    "op11_word_tries": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+f AS (
+  SELECT doc_id, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]), list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))) AS feature FROM d),
+g AS (
+  SELECT unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]), list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))) AS feature FROM b),
+fc AS (SELECT feature, count(*) AS n FROM f GROUP BY feature),
+gc AS (SELECT feature, count(*) AS n FROM g GROUP BY feature),
+entry AS (
+  SELECT list(list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)),
+named AS (SELECT DISTINCT feature, hex(encode(feature)) AS x FROM (SELECT feature FROM fc UNION ALL SELECT feature FROM gc)),
+hashed AS (
+  SELECT feature, xor(list_reduce(list_concat([4294967295], list_transform(range(0, len(x) // 2), lambda i: CAST('0x' || x[2 * i + 1:2 * i + 2] AS BIGINT))),
+    lambda c, k: xor(c >> 8, t[xor(c & 255, k) + 1])), 4294967295) % 10000 AS bucket
+  FROM named, entry),
+s AS (SELECT bucket, sum(n) AS s FROM fc JOIN hashed USING (feature) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS t FROM gc JOIN hashed USING (feature) GROUP BY bucket),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * CAST((SELECT coalesce(sum(n), 0) FROM fc) + 10000 AS DOUBLE)
+    / (CAST(s + 1 AS DOUBLE) * CAST((SELECT coalesce(sum(n), 0) FROM gc) + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket)),
+w AS (SELECT doc_id, sum(gain) AS weight FROM f JOIN hashed USING (feature) JOIN gain USING (bucket) GROUP BY doc_id),
+r AS (
+  SELECT doc_id, len(ws) AS n, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || sha256('42:' || doc_id)[1:8] AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN w USING (doc_id)),
+k AS (SELECT *, CASE WHEN n >= 20 THEN row_number() OVER (PARTITION BY n >= 20 ORDER BY score DESC, doc_id) END AS place, count(*) FILTER (n >= 20) OVER () * 5 // 100 AS drawn FROM r)
+SELECT doc_id, CAST(n + greatest(n - 1, 0) + greatest(n - 2, 0) AS BIGINT) AS n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank FROM k
 """,
 }
