@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm import byte_bpe, importance_resampling, jump_hash, matroska, multiset_hash, quote_threads, simhash, source_mixing, stupid_backoff, toxicity, word_tries
+from siftline.llm import byte_bpe, dual_tree, importance_resampling, jump_hash, matroska, multiset_hash, quote_threads, simhash, source_mixing, stupid_backoff, toxicity, word_tries
 from siftline.sources.tables import read_parquet
 
 #: The vocabulary of the byte-level BPE query.
@@ -88,6 +88,10 @@ def op11_word_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_tries.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree.mine(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quote_threads": op1_quote_threads,
     "op2_multiset_hash": op2_multiset_hash,
@@ -100,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mixing": op9_source_mixing,
     "op10_simhash": op10_simhash,
     "op11_word_tries": op11_word_tries,
+    "op13_dual_tree": op13_dual_tree,
     "quoted_replies": quoted_replies,
 }
 
@@ -173,5 +178,24 @@ r AS (
   FROM d LEFT JOIN w USING (doc_id)),
 k AS (SELECT *, CASE WHEN n >= 20 THEN row_number() OVER (PARTITION BY n >= 20 ORDER BY score DESC, doc_id) END AS place, count(*) FILTER (n >= 20) OVER () * 5 // 100 AS drawn FROM r)
 SELECT doc_id, CAST(n + greatest(n - 1, 0) + greatest(n - 2, 0) AS BIGINT) AS n_features, weight, score, CASE WHEN place <= drawn THEN place END AS rank FROM k
+""",
+    "op13_dual_tree": r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same,
+    CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * c.q[i])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS rank,
+    other_id AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
 """,
 }
