@@ -1,22 +1,18 @@
-"""Groups of near copies: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
-
-SimHash within a few bits leaves most edited copies, so fingerprints choose what is compared and sets decide:
-
-1. Anchor covering (``simhash.links``) joins 64-bit fingerprints within three bits by a forest of links.
-2. A complete prefix join finds what lies further apart. Each set is put in one global order, frequent shingles last. Two
-   sets of at least 0.8 share ceil(0.8 n) shingles or more, so they share one among the first n - ceil(0.8 n) + 1 of
-   either. Documents meet at the shingles of these prefixes; each takes one leader there that is close by a 128-bit
-   SimHash, so a meeting of any size gives a row per member.
-3. The links of both are checked by the whole sets, and their components are formed.
-4. Documents of different components that meet are compared once more, each with each, by parities: a set's 1024 bits
-   say whether an odd number of its shingles fall on each of 1024 places. Two sets differ in at least as many shingles as
-   their parities differ in bits, and in at most a ninth of their sizes' sum at 0.8, so no pair is lost. What passes is
-   held against up to 8192 parities and at last checked by the whole sets. Members of one component need no further
-   links, so at first each document takes one partner of another component a meeting, and all pairs only of what is
-   apart after that.
+"""Groups of near copies: documents whose sets of word shingles have a Jaccard similarity of 0.8 or more.
+
+Sketches choose what is compared and sets decide:
 
-The order of shingles decides only how many meet, never which pairs are found, so frequent shingles may be guessed from
-a sample. SimHash decides only which pairs are checked first.
+1. Texts of the same words are one body. Bodies meet in the bands of their SuperMinHash signatures, which miss a pair of
+   similarity 0.8 with a chance of 1e-11.
+2. In each band bucket a body takes one leader that is close by a 128-bit SimHash, so a bucket of any size gives a row
+   a member. The pipeline's stage also links fingerprints within three bits by anchor covering (``simhash.links``).
+3. These links are checked on the whole sets, and their components are formed.
+4. Bodies of different components that meet are compared once more, each with each, by parities: a set's 1024 bits say
+   whether an odd number of its shingles fall on each of 1024 places. Two sets differ in at least as many shingles as
+   their parities differ in bits, and in at most a ninth of their sizes' sum at 0.8, so no pair is lost. What passes is
+   held against up to 8192 parities and at last checked on the whole sets. Members of one component need no further
+   links, so at first each body takes one partner of another component a bucket, and all pairs only of what is apart
+   after that.
 """
 
 from __future__ import annotations
@@ -32,9 +28,11 @@ from pyspark.sql import functions as F
 
 from siftline.llm.shared_storage import written
 from siftline.llm.simhash import _LOWER, connected, keep_rows, links
+from siftline.llm.superminhash import band_keys, signatures
 from siftline.llm.word_hashes import mix
 
-SHINGLE_WORDS = 5
+#: Words of a shingle in the pipeline's stage, and in ``near_duplicates``.
+SHINGLE_WORDS, PAIR_WORDS = 5, 2
 #: Least Jaccard similarity, in tenths.
 LEAST_TENTHS = 8
 #: Of 128 bits: within which a document takes a leader.
@@ -43,15 +41,15 @@ LEADER_BITS = 28
 PARITIES, MOST_PARITIES = 1024, 8192
 #: Rows of one meeting that a task holds; larger meetings are split.
 MEMBERS_PER_TASK = 4096
-#: Rows from which frequent shingles are guessed, how often they occur there, and how many are kept (bounded).
-SAMPLE_ROWS, SAMPLE_LEAST, FREQUENT = 20_000, 4, 1 << 17
+#: Elements whose signatures are drawn together.
+_ELEMENTS = 1 << 17
 
 
-def shingles(text: str | None, size: int = SHINGLE_WORDS) -> tuple[int, np.ndarray]:
-    """(hash of the words, sorted distinct XXH64 of the word shingles); fewer words than ``size`` are one shingle."""
+def shingles(text: str | None, size: int = SHINGLE_WORDS) -> tuple[bytes, np.ndarray]:
+    """(128-bit hash of the words, sorted distinct XXH64 of the word shingles); fewer words than ``size`` are one shingle."""
     words = (text or "").encode().translate(_LOWER).split()
     joined = b" ".join(words)
-    body = xxhash.xxh64_intdigest(joined) - (1 << 63)
+    body = xxhash.xxh3_128_digest(joined)
     if not words:
         return body, np.empty(0, np.uint64)
     ends = list(accumulate((len(w) + 1 for w in words), initial=0))
@@ -87,48 +85,51 @@ def _allowed(n: np.ndarray, m: np.ndarray, differ: np.ndarray) -> np.ndarray:
     return (10 + LEAST_TENTHS) * differ <= (10 - LEAST_TENTHS) * (n + m)
 
 
-def prefix(hashes: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The first shingles by (frequency in the sample, hash), enough to share one with any near copy."""
-    n = len(hashes)
-    often = np.zeros(n, np.int64)
-    if len(frequent) and n:
-        at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
-        often = np.where(frequent[at] == hashes, counts[at], 0)
-    return hashes[np.argsort(often, kind="stable")][: n - -(-LEAST_TENTHS * n // 10) + 1 if n else 0]
-
-
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     flat = np.concatenate([*arrays, np.empty(0, np.uint64)]).view(np.int64)
     return pa.ListArray.from_arrays(pa.array(list(accumulate(map(len, arrays), initial=0)), pa.int32()), pa.array(flat))
 
 
-def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [shingles(x.as_py())[1] for x in batch.column(0)]
-        words, n = np.unique(np.concatenate([*found, np.empty(0, np.uint64)]), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], names=["s", "n"])
+def _sets(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingles(x.as_py(), size) for x in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.binary()), _lists([s for _, s in found])], names=["key", "all"])
 
+    return run
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        found = [shingles(x.as_py()) for x in batch.column(0)]
-        yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int64()), _lists([s for _, s in found])], names=["body", "all"])
+
+def _bands(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """The band keys of each set; an empty set has none."""
+    out: list[np.ndarray] = []
+    for at in _runs([len(s) for s in sets]):
+        sizes = np.array([len(s) for s in sets[at]], np.int64)
+        keys = band_keys(signatures(np.concatenate(sets[at]), sizes))
+        out += [k if n else k[:0] for k, n in zip(keys, sizes.tolist(), strict=True)]
+    return out
+
+
+def _runs(sizes: list[int]) -> Iterator[slice]:
+    """Slices of about ``_ELEMENTS`` elements, or of one larger set."""
+    start = total = 0
+    for i, n in enumerate(sizes):
+        if total and total + n > _ELEMENTS:
+            yield slice(start, i)
+            start, total = i, 0
+        total += n
+    if start < len(sizes):
+        yield slice(start, len(sizes))
 
 
-def _prefixes(frequent):
+def _prints(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies, sizes, prints, odd, firsts = [], [], [], [], []
-            for x in batch.column(1):
-                body, found = shingles(x.as_py())
-                bodies.append(body)
-                sizes.append(len(found))
-                prints.append(set_fingerprint(found))
-                odd.append(parities(found))
-                firsts.append(prefix(found, *frequent.value))
-            halves = np.array(prints, np.uint64).reshape(-1, 2).view(np.int64)
-            columns = [batch.column(0), batch.column(2), pa.array(bodies, pa.int64()), pa.array(sizes, pa.int32()), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), pa.array(odd, pa.binary()), _lists(firsts)]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "text_hash", "body", "n", "fp", "fp2", "odd", "first"])
+            for rows in (batch.slice(i, 512) for i in range(0, batch.num_rows, 512)):
+                found = [shingles(x.as_py(), size) for x in rows.column(1)]
+                sets = [s for _, s in found]
+                halves = np.array([set_fingerprint(s) for s in sets], np.uint64).reshape(-1, 2).view(np.int64)
+                columns = [rows.column(0), rows.column(2), pa.array([b for b, _ in found], pa.binary()), pa.array([len(s) for s in sets], pa.int32()), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), pa.array([parities(s) for s in sets], pa.binary()), _lists(_bands(sets))]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "text_hash", "key", "n", "fp", "fp2", "odd", "bands"])
 
     return run
 
@@ -243,56 +244,55 @@ def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([a.filter(use), b.filter(use)], names=["a", "b"])
 
 
-def _near(pairs: DataFrame, bodies: DataFrame, texts: DataFrame) -> DataFrame:
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"))
+
+
+def bodies_of(texts: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """(prints, bodies), written: a row for each of ``texts`` with the key of its words, and a numbered row for each key."""
+    kind = texts.schema["id"].dataType.simpleString()
+    prints = written(texts.mapInArrow(_prints(size), f"id {kind}, text_hash long, key binary, n int, fp long, fp2 long, odd binary, bands array<long>"), "prints")
+    row = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("text_hash").alias("h"))
+    one = prints.groupBy("key").agg(F.min(row).alias("k"), *[F.first(c).alias(c) for c in ("n", "fp", "fp2", "odd", "bands")])
+    return prints, written(one.withColumn("body", F.monotonically_increasing_id()), "bodies")
+
+
+def _near(pairs: DataFrame, bodies: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose whole sets have the similarity; only texts of plausible pairs are read again."""
     of = lambda end, n, odd: bodies.select(F.col("body").alias(end), F.col("n").alias(n), F.col("odd").alias(odd))
     sketched = pairs.join(of("a", "n", "odd"), "a").join(of("b", "m", "odd2"), "b").select("a", "b", "n", "odd", "m", "odd2")
     pairs = written(sketched.mapInArrow(_plausible, "a long, b long"), "plausible-pairs")
-    asked = pairs.select(F.col("a").alias("body")).union(pairs.select("b")).distinct().join(bodies.select("body", "k"), "body")
-    asked = written(asked.select(F.col("k.id").alias("asked_id"), F.col("k.h").alias("asked_hash")), "asked")
+    asked = pairs.select(F.col("a").alias("body")).union(pairs.select("b")).distinct().join(bodies.select("body", "key", "k"), "body")
+    asked = written(asked.select("body", F.col("key").alias("asked_key"), F.col("k.id").alias("asked_id"), F.col("k.h").alias("asked_hash")), "asked")
     there = texts.join(asked, texts["id"].eqNullSafe(asked["asked_id"]) & (texts["text_hash"] == asked["asked_hash"]), "left_semi")
-    sets = written(there.select("t").mapInArrow(_sets, "body long, all array<long>").groupBy("body").agg(F.first("all").alias("all")), "shingle-sets")
+    sets = there.select("t").mapInArrow(_sets(size), "key binary, all array<long>").groupBy("key").agg(F.first("all").alias("all"))
+    sets = written(sets.join(asked, sets["key"] == asked["asked_key"]).select("body", "all"), "shingle-sets")
     both = pairs.join(sets.select(F.col("body").alias("a"), F.col("all").alias("x")), "a").join(sets.select(F.col("body").alias("b"), F.col("all").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     return written(both.filter(10 * shared >= LEAST_TENTHS * (F.size("x") + F.size("y") - shared)).select("a", "b"), "near")
 
 
-def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", members_per_task: int = MEMBERS_PER_TASK) -> DataFrame:
-    """The rows of ``docs`` with one row of each group of near copies: the smallest (id, hash of the text).
-
-    Groups are the components of all pairs of similarity 0.8 or more. Null, empty and wordless texts are one group. The
-    columns and their order stay, whatever their names; rows without an id count after those with one. Of rows that
-    share id and text the least by its other columns stays. Texts are taken whole; an empty table stays empty.
-    """
-    spark = docs.sparkSession
-    kind = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"))
-    every = max(1, docs.count() // SAMPLE_ROWS)
-    sample = texts.filter(F.pmod(F.xxhash64("id", "text_hash"), F.lit(every)) == 0).select("t").mapInArrow(_sampled, "s long, n long")
-    often = sample.groupBy("s").agg(F.sum("n").alias("n")).filter(F.col("n") >= SAMPLE_LEAST).orderBy(F.desc("n"), "s").limit(FREQUENT).toArrow()  # bounded
-    words, n = often["s"].to_numpy().view(np.uint64), often["n"].to_numpy()
-    order = np.argsort(words)
-    prints = texts.mapInArrow(_prefixes(spark.sparkContext.broadcast((words[order], n[order]))), f"id {kind}, text_hash long, body long, n int, fp long, fp2 long, odd binary, first array<long>")
-    row = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("text_hash").alias("h"))
-    bodies = written(prints.groupBy("body").agg(F.min(row).alias("k"), *[F.first(c).alias(c) for c in ("n", "fp", "fp2", "odd", "first")]), "bodies")
-
-    # by anchors: the forest of close fingerprints, and all texts of one fingerprint with the first of them
+def _anchored(bodies: DataFrame) -> DataFrame:
+    """(a, b): the forest of fingerprints within three bits, and all bodies of one fingerprint with the first of them."""
     leads = written(bodies.groupBy("fp").agg(F.min("body").alias("lead")), "leads")
     forest = links(leads)
     for end in ("a", "b"):
         forest = forest.join(leads.select(F.col("fp").alias(end), F.col("lead").alias(f"lead_{end}")), end)
     same = bodies.select("fp", "body").join(leads, "fp").filter("body <> lead").select(F.least("body", "lead").alias("a"), F.greatest("body", "lead").alias("b"))
-    anchored = forest.select(F.least("lead_a", "lead_b").alias("a"), F.greatest("lead_a", "lead_b").alias("b")).union(same)
+    return forest.select(F.least("lead_a", "lead_b").alias("a"), F.greatest("lead_a", "lead_b").alias("b")).union(same)
 
-    # by prefixes: only shingles at which several documents meet
-    held = bodies.select(F.explode("first").alias("s"), "body")
+
+def labelled(bodies: DataFrame, texts: DataFrame, size: int, anchored: bool = False, members_per_task: int = MEMBERS_PER_TASK) -> DataFrame:
+    """(node, label) of every body that is linked to another: the smallest body of its component."""
+    # only bands in which several bodies meet
+    held = bodies.select(F.explode("bands").alias("s"), "body")
     sizes = held.groupBy("s").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     met = written(held.join(sizes, "s").join(bodies.select("body", "n", "fp", "fp2"), "body").select("s", "members", "body", "n", "fp", "fp2"), "meetings")
-    parts = F.ceil(F.col("members") / members_per_task).cast("int")
-    part = F.pmod(F.xxhash64("body"), parts).cast("int").alias("part")
+    part = F.pmod(F.xxhash64("body"), F.ceil(F.col("members") / members_per_task).cast("int")).cast("int").alias("part")
     dealt = met.select("s", part, "body", "n", "fp", "fp2").repartition("s", "part").sortWithinPartitions("s", "part", "body")
-    pairs = written(dealt.mapInArrow(_led, "a long, b long").union(anchored).distinct(), "candidates")
-    edges = _near(pairs, bodies, texts)
+    pairs = dealt.mapInArrow(_led, "a long, b long")
+    pairs = written((pairs.union(_anchored(bodies)) if anchored else pairs).distinct(), "candidates")
+    edges = _near(pairs, bodies, texts, size)
     labels = written(connected(edges), "labels")
 
     # what meets and is still apart: one partner each, then all
@@ -309,14 +309,50 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         further = written(dealt.mapInArrow(_apart(first), "a long, b long").distinct(), "further-candidates")
         further = further.join(checked, ["a", "b"], "left_anti")
         checked = checked.union(further)
-        edges = edges.union(_near(further, bodies, texts))
-        labels = written(connected(edges), "labels")
+        found = _near(further, bodies, texts, size)
+        if not found.isEmpty():
+            edges = edges.union(found)
+            labels = written(connected(edges), "labels")
+    return labels
+
 
-    grouped = bodies.select("body", "k").join(labels, bodies["body"] == labels["node"], "left")
-    kept = grouped.groupBy(F.coalesce("label", "body").alias("component")).agg(F.min("k").alias("k"))
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", members_per_task: int = MEMBERS_PER_TASK) -> DataFrame:
+    """The rows of ``docs`` with one row of each group of near copies: the smallest (id, hash of the text).
+
+    Groups are the components of all pairs of similarity 0.8 or more over five-word shingles. Null, empty and wordless
+    texts are one group. The columns and their order stay, whatever their names; rows without an id count after those
+    with one. Of rows that share id and text the least by its other columns stays. Texts are taken whole; an empty table
+    stays empty.
+    """
+    texts = _texts(docs, id_col, text_col)
+    bodies = bodies_of(texts, SHINGLE_WORDS)[1]
+    labels = labelled(bodies, texts, SHINGLE_WORDS, True, members_per_task)
+    of = bodies.select("body", "k").join(labels, bodies["body"] == labels["node"], "left")
+    kept = of.groupBy(F.coalesce("label", "body").alias("component")).agg(F.min("k").alias("k"))
     return keep_rows(docs, kept.select(F.col("k.id").alias("_id"), F.col("k.h").alias("_h")), id_col, text_col)
 
 
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = PAIR_WORDS, members_per_task: int = MEMBERS_PER_TASK) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
+
+    A text's set are its distinct word shingles of ``size`` words, A-Z lowered; fewer words are one shingle. Documents of
+    similarity 0.8 or more are linked, checked on whole sets of 64-bit shingle hashes; texts of the same words are told
+    from others by 128 bits. A text without words, or null, is linked with nothing. Null ids are grouped like others, are
+    never the smallest of a group that has an id, and are kept only where a group has none. Repeated rows are rows of
+    one group. An empty table gives no rows; other columns are not read, whatever their names.
+    """
+    texts = _texts(docs, id_col, text_col)
+    prints, bodies = bodies_of(texts, size)
+    labels = labelled(bodies, texts, size, members_per_task=members_per_task)
+    of = bodies.filter("n > 0").select("body", F.col("k.id").alias("id")).join(labels, F.col("body") == F.col("node"), "left").select("body", "id", F.coalesce("label", "body").alias("label"))
+    least = of.groupBy("label").agg(F.min("id").alias("least"))
+    place = of.select("body", "label").join(least, "label").join(bodies.select("body", F.col("key").alias("k")), "body").select("k", "least")
+    rows = prints.select("id", "key", "n")
+    component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("least"))
+    out = rows.join(written(place, "places"), rows["key"] == F.col("k"), "left").select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"))
+    return out.withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
+
+
 def _cells(crowded: DataFrame, members_per_task: int, rest: list[str]) -> DataFrame:
     """Large meetings as cells of homes and visitors. Homes are the members outside the meeting's largest component: a
     pair of two components has one of these at least."""

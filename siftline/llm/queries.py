@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftline.llm import byte_bpe, dual_tree, importance_resampling, jump_hash, matroska, multiset_hash, quote_threads, simhash, source_mixing, stupid_backoff, toxicity, word_tries
+from siftline.llm import byte_bpe, dual_tree, importance_resampling, jump_hash, matroska, multiset_hash, near_copies, quote_threads, simhash, source_mixing, stupid_backoff, toxicity, word_tries
 from siftline.sources.tables import read_parquet
 
 #: The vocabulary of the byte-level BPE query.
@@ -88,6 +88,10 @@ def op11_word_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_tries.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op13_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dual_tree.mine(_table(spark, sf_dir, "embeddings"))
 
@@ -104,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mixing": op9_source_mixing,
     "op10_simhash": op10_simhash,
     "op11_word_tries": op11_word_tries,
+    "op12_superminhash": op12_superminhash,
     "op13_dual_tree": op13_dual_tree,
     "quoted_replies": quoted_replies,
 }
@@ -197,5 +202,28 @@ n AS (
     other_id AS negative_id, positive_score, score AS negative_score
   FROM p JOIN s USING (anchor_id) WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score)
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+""",
+    "op12_superminhash": r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+f AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) > 1 THEN list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) ELSE ws END) AS shingles FROM t),
+n AS (SELECT doc_id, len(shingles) AS n FROM f),
+e AS (SELECT doc_id, unnest(shingles) AS s FROM f),
+often AS (SELECT s, count(*) AS df FROM e GROUP BY s),
+-- sets of a similarity of 0.8 share one of the rarest shingles of each
+first AS (
+  SELECT doc_id, s, n FROM (SELECT doc_id, s, n, row_number() OVER (PARTITION BY doc_id ORDER BY df, s) AS place FROM e JOIN often USING (s) JOIN n USING (doc_id))
+  WHERE place <= n - (4 * n + 4) // 5 + 1),
+candidate AS (
+  SELECT DISTINCT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb FROM first a JOIN first b ON a.s = b.s AND a.doc_id < b.doc_id
+  WHERE 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)),
+shared AS (SELECT a, b, any_value(na) AS na, any_value(nb) AS nb, count(*) AS i FROM candidate JOIN e x ON x.doc_id = a JOIN e y ON y.doc_id = b AND x.s = y.s GROUP BY a, b),
+link AS (SELECT a, b FROM shared WHERE 100 * i >= 80 * (na + nb - i)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT a, a AS c FROM edge UNION SELECT reach.a, edge.b FROM reach JOIN edge ON edge.a = reach.c),
+least_of AS (SELECT a, min(c) AS component FROM reach GROUP BY a)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, coalesce(component, doc_id) AS component_id, coalesce(component, doc_id) = doc_id AS kept
+FROM n LEFT JOIN least_of ON a = doc_id
 """,
 }
