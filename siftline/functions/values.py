@@ -72,6 +72,17 @@ def boolean(value: Column, default: bool = False) -> Column:
     return F.when(text.isin(*TRUE_TOKENS), True).when(text.isin(*FALSE_TOKENS), False).otherwise(F.lit(default))
 
 
+def setting(text: str | None, kind: str, default: object) -> object:
+    """A setting's text as its kind (a type's name, with ``| None`` or without): blank is the default, a 0 is kept, a
+    truth value that isn't one is the default, a number that isn't one is an error."""
+    text = (text or "").strip()
+    if not text:
+        return default
+    if kind.startswith("bool"):
+        return True if text.lower() in TRUE_TOKENS else False if text.lower() in FALSE_TOKENS else default
+    return {"int": int, "float": float}.get(kind.partition(" ")[0], str)(text)
+
+
 def optional_number(value: Column, kind: str) -> Column:
     """Blank is null; anything else must be a number (under ANSI rules a bad one is an error)."""
     return F.nullif(F.btrim(value), F.lit("")).cast(kind)

@@ -7,6 +7,7 @@ sites, not the number of pages; no site's pages are gathered in one task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from urllib.parse import urljoin
 
@@ -59,11 +60,12 @@ def walk(start: str, needs_email: bool, needs_phone: bool, seen: dict[str, dict
     return read, []
 
 
-def crawl(starts: DataFrame, facts: DataFrame, max_pages: int = MAX_PAGES, keep=lambda df: df.checkpoint()) -> DataFrame:
+def crawl(starts: DataFrame, facts: DataFrame | Callable[[DataFrame], DataFrame], max_pages: int = MAX_PAGES, keep=lambda df: df.checkpoint()) -> DataFrame:
     """(row_index, page_no, requested): the pages each walk reads, in order.
 
-    ``starts`` is (row_index, start, needs_email, needs_phone); ``facts`` as ``page_facts`` gives. ``keep`` cuts the
-    lineage of a round's state (a reliable checkpoint by default).
+    ``starts`` is (row_index, start, needs_email, needs_phone); ``facts`` as ``page_facts`` gives, or a function that
+    gives those of a round's (url), distinct: pages that are fetched as walks ask for them. A page that it doesn't give
+    is absent. ``keep`` cuts the lineage of a round's state (a reliable checkpoint by default).
     """
     if not 1 <= max_pages <= 12:
         raise ValueError("a walk reads 1 to 12 pages")
@@ -82,7 +84,8 @@ def crawl(starts: DataFrame, facts: DataFrame, max_pages: int = MAX_PAGES, keep=
     finished = []
     while True:
         asked = walks.select("row_index", F.explode("waits").alias("url"))
-        got = asked.join(facts, F.col("url") == F.col("fact.requested"), "left").groupBy("row_index").agg(
+        known = facts(asked.select("url").distinct()) if callable(facts) else facts
+        got = asked.join(known, F.col("url") == F.col("fact.requested"), "left").groupBy("row_index").agg(
             F.array_distinct(F.collect_list("fact")).alias("new"), F.collect_set(F.when(F.col("fact").isNull(), F.col("url"))).alias("gone")
         )
         walks = walks.join(got, "row_index", "left")

@@ -7,20 +7,26 @@ from pyspark.sql import functions as F
 
 from siftline.functions import values as V
 from siftline.operators import crawl, identity, pages
+from siftline.operators.fetched import Fetched
 
 
-def enrich(companies: DataFrame, results: DataFrame, page_store: DataFrame, max_pages: int = crawl.MAX_PAGES, audit: bool = False, keep=lambda df: df.checkpoint()) -> DataFrame:
+def enrich(companies: DataFrame, results: DataFrame, page_store: DataFrame | Fetched, max_pages: int = crawl.MAX_PAGES, audit: bool = False, keep=lambda df: df.checkpoint()) -> DataFrame:
     """``results`` with missing e-mails and phones filled from the companies' sites.
 
     ``companies``: row_index, siret, company_name, address, postal_code, city. ``results``: row_index, the contacts,
-    identity_verified, identity_match_type and whatever else. ``page_store``: requested, url (after redirects), html.
+    identity_verified, identity_match_type and whatever else. ``page_store``: requested, url (after redirects), html, as a
+    table, or as pages that are fetched while the walks go on.
     Results without a website or with both contacts stay as they are. Adds site_pages, deterministic_fields_found,
     legal_popup_detected and, per contact, source and method of what was found.
     """
     open_rows = (F.col("website") != V.MISSING) & ((F.col("email") == V.MISSING) | (F.col("phone") == V.MISSING))
     starts = results.filter(open_rows).select("row_index", V.canonical_url(F.col("website")).alias("start"), (F.col("email") == V.MISSING).alias("needs_email"), (F.col("phone") == V.MISSING).alias("needs_phone"))
-    parsed = keep(pages.parse(asked_pages(page_store, starts)))
-    read = crawl.crawl(starts, crawl.page_facts(parsed), max_pages, keep)
+    if isinstance(page_store, Fetched):
+        read = crawl.crawl(starts, page_store.facts, max_pages, keep)
+        parsed = page_store.parsed().join(read.select("requested").distinct(), "requested", "left_semi")
+    else:
+        parsed = keep(pages.parse(asked_pages(page_store, starts)))
+        read = crawl.crawl(starts, crawl.page_facts(parsed), max_pages, keep)
     known = identity.company_keys(companies.select("row_index", "siret", "company_name", "address", "postal_code", "city")).drop("siret", "company_name", "address", "postal_code", "city")
     claims = results.select("row_index", "website", "identity_verified", "email", "phone")
     seen = read.join(parsed, "requested").join(known, "row_index").join(claims, "row_index")

@@ -20,15 +20,16 @@ class JournalError(RuntimeError):
     """A journal that can't be replayed: a bad line, or a record of another company."""
 
 
-def append(records: DataFrame, path: str) -> None:
+def append(records: DataFrame, path: str, mode: str = "append") -> None:
     """Records as JSON lines; messages keep 500 characters."""
-    records.withColumn("error_message", F.substring("error_message", 1, 500)).write.mode("append").json(path)
+    records.withColumn("error_message", F.substring("error_message", 1, 500)).write.mode(mode).option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """Records of a journal; blank lines are skipped, unknown keys and bad lines make it unreadable."""
+    """Records of a journal, a file or a folder of them at any depth; blank lines are skipped, unknown keys and bad lines
+    make it unreadable."""
     place = {"file": F.col("_metadata.file_path"), "block": F.col("_metadata.file_block_start"), "at": F.monotonically_increasing_id()}
-    lines = spark.read.text(path).select("value", *[c.alias(n) for n, c in place.items()])
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select("value", *[c.alias(n) for n, c in place.items()])
     known = [f.split()[0].rstrip(":") for f in ("seq", "version", "recorded_at_utc", "row_index", "siret", "company_name", "result", "status", "overwrite_existing", "error_type", "error_message")]
     keys = F.json_object_keys("value")
     bad = (F.btrim("value") != "") & (keys.isNull() | (F.size(F.array_except(keys, F.array(*map(F.lit, known)))) > 0))

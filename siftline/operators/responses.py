@@ -7,18 +7,23 @@ reads back; decoding can be repeated at will.
 from __future__ import annotations
 
 import json
+import math
 import re
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from siftline.functions import values as V
 from siftline.operators.merge import SOURCES, sanitized
+from siftline.sources import versions
 
 # The fields an answer must have, and how many of its sources count.
 ANSWER = "email string, phone string, website string, website_type string, email_source string, phone_source string, website_source string, identity_verified boolean, identity_match_type string, identity_source string"
@@ -186,30 +191,124 @@ class Provider(Protocol):
     def __call__(self, request: str, key: str) -> str: ...
 
 
+_SAVED = pa.schema([("row_index", pa.int32()), ("attempt", pa.int32()), ("raw", pa.string()), ("error_type", pa.string()), ("error_message", pa.string()), ("latency_seconds", pa.float64())])
+
+
 class Retryable(RuntimeError):
     """A provider's error that another try may get past: a timeout, a limit, a server's fault."""
 
 
-def call(requests: DataFrame, make_provider: Callable[[], Provider], tries: int = 3, wait_s: float = 5.0, concurrency: int | None = None) -> DataFrame:
+class Pacer:
+    """Calls at least ``1 / per_second`` seconds apart, from the moment each may begin; no bound if it is none or 0."""
+
+    def __init__(self, per_second: float | None, now: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> None:
+        self.gap, self.now, self.sleep, self.next = (1 / per_second if per_second else 0.0), now, sleep, -math.inf
+
+    def wait(self) -> None:
+        at = self.now()
+        if at < self.next:
+            self.sleep(self.next - at)
+        self.next = max(at, self.next) + self.gap
+
+
+def paced(provider: Provider, pacer: Pacer) -> Provider:
+    """``provider`` under a pacer: every request counts, tries and second generations too."""
+
+    def ask(request: str, key: str) -> str:
+        pacer.wait()
+        return provider(request, key)
+
+    return ask
+
+
+ANSWERS = "row_index int, attempt int, raw string, error_type string, error_message string, latency_seconds double"
+_COLUMNS = [c.split()[0] for c in ANSWERS.split(", ")]
+
+
+def _dealt(requests: DataFrame, concurrency: int | None, calls_per_second: float | None) -> tuple[DataFrame, float | None]:
+    """Requests over as many tasks as may call at once, and each task's part of the calls a second.
+
+    The bound holds because no more than ``concurrency`` tasks exist, however many cores there are.
+    """
+    if calls_per_second and not concurrency:
+        raise ValueError("a bound on calls a second needs a bound on tasks that call at once")
+    dealt = requests.select("row_index", "request")
+    return (dealt.repartition(concurrency) if concurrency else dealt), calls_per_second / concurrency if calls_per_second else None
+
+
+def call(requests: DataFrame, make_provider: Callable[[], Provider], tries: int = 3, wait_s: float = 5.0, concurrency: int | None = None, calls_per_second: float | None = None) -> DataFrame:
     """(row_index, attempt, raw, error_type, error_message, latency_seconds) of each request; a row per call.
 
-    Runs on the executors, one client a task; ``concurrency`` is how many tasks call at once. An answer cut off at its
-    token cap is asked for once more with twice the cap or ``SECOND_CAP``, whichever is more. An answer that can't be
-    used (no JSON object, an unknown value) is generated once more, under ``SECOND_CAP`` or its own cap, whichever is
-    more. The latency is measured at the call, with its tries and waits. The caller writes the result before
-    using it: reading it twice would bill twice, so the key of a call is its row and attempt.
+    Runs on the executors, one client a task; ``concurrency`` is how many tasks call at once, and all of them together
+    make at most ``calls_per_second`` calls. An answer cut off at its token cap is asked for once more with twice the cap
+    or ``SECOND_CAP``, whichever is more. An answer that can't be used (no JSON object, an unknown value) is generated
+    once more, under ``SECOND_CAP`` or its own cap, whichever is more. The latency is measured at the call, with its
+    tries and waits. The caller writes the result before using it: reading it twice would bill twice, so the key of a
+    call is its row and attempt. ``call_once`` writes answers as they come.
     """
+    dealt, share = _dealt(requests, concurrency, calls_per_second)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        provider = make_provider()
+        provider = paced(make_provider(), Pacer(share))
         for pdf in batches:
             rows = []
             for row, request in zip(pdf["row_index"], pdf["request"], strict=True):
                 rows += _generations(provider, int(row), request, tries, wait_s)
-            yield pd.DataFrame(rows, columns=["row_index", "attempt", "raw", "error_type", "error_message", "latency_seconds"])
+            yield pd.DataFrame(rows, columns=_COLUMNS)
+
+    return dealt.mapInPandas(run, ANSWERS)
+
 
-    dealt = requests.repartition(concurrency) if concurrency else requests
-    return dealt.select("row_index", "request").mapInPandas(run, "row_index int, attempt int, raw string, error_type string, error_message string, latency_seconds double")
+def call_once(requests: DataFrame, make_provider: Callable[[], Provider], folder: str, tries: int = 3, wait_s: float = 5.0, concurrency: int = 4, calls_per_second: float | None = None, chunk: int = 20) -> DataFrame:
+    """What ``call`` gives, saved in ``folder`` by the tasks themselves as it comes, so that a run that breaks off has paid
+    for nothing twice: rows with a saved answer are not asked again.
+
+    A task saves after every ``chunk`` rows and, whatever ends it short of a kill, what it holds then; a killed one loses
+    less than a chunk, for which a provider has the keys of the calls. A task that is tried again looks up what was saved
+    before. Rows saved twice, by tasks that ran twice at once, count once, by the least (error, answer).
+    """
+    spark, (dealt, share) = requests.sparkSession, _dealt(requests, concurrency, calls_per_second)
+    folder = versions.made(spark, folder)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import dataset, fs, parquet
+
+        store, place = fs.FileSystem.from_uri(folder)
+        held: list[tuple] = []
+
+        def save() -> int:
+            if not held:
+                return 0
+            name, rows = uuid.uuid4().hex, {r[0] for r in held}
+            parquet.write_table(pa.Table.from_pandas(pd.DataFrame(held, columns=_COLUMNS), _SAVED, preserve_index=False), f"{place}/_{name}", filesystem=store)
+            store.move(f"{place}/_{name}", f"{place}/{name}.parquet")
+            held.clear()
+            return len(rows)
+
+        there: set[int] = set()
+        context = TaskContext.get()
+        if context is not None and context.attemptNumber() > 0:
+            files = [f.path for f in store.get_file_info(fs.FileSelector(place)) if f.path.endswith(".parquet")]
+            there = set(dataset.dataset(files, filesystem=store, schema=_SAVED).to_table(["row_index"])["row_index"].to_pylist()) if files else there
+        provider = paced(make_provider(), Pacer(share))
+        rows = n = 0
+        try:
+            for pdf in batches:
+                for row, request in zip(pdf["row_index"], pdf["request"], strict=True):
+                    if int(row) not in there:
+                        held += _generations(provider, int(row), request, tries, wait_s)
+                        n += 1
+                        if n % chunk == 0:
+                            rows += save()
+        finally:
+            rows += save()
+        yield pd.DataFrame({"rows": [rows]})
+
+    saved = lambda: spark.read.schema(ANSWERS).parquet(folder)
+    left = dealt.join(saved().select("row_index").distinct(), "row_index", "left_anti")
+    left.repartition(concurrency).mapInPandas(run, "rows long").agg(F.sum("rows")).collect()
+    one = saved().groupBy("row_index", "attempt").agg(F.min(F.struct("error_type", "raw", "error_message", "latency_seconds")).alias("r"))
+    return one.select("row_index", "attempt", "r.raw", "r.error_type", "r.error_message", "r.latency_seconds")
 
 
 def _generations(provider: Provider, row: int, request: str, tries: int, wait_s: float) -> list[tuple]:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
-from dataclasses import dataclass, field, replace
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field, fields, replace
+from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,9 @@ from pyspark.sql import functions as F
 from siftline.functions import values as V
 from siftline.operators import eligibility, enrich, journal, merge, responses
 
+if TYPE_CHECKING:
+    from siftline.plans import runs
+
 
 @dataclass(frozen=True)
 class Config:
@@ -27,6 +31,8 @@ class Config:
     concurrency: int = 4
     tries: int = 3
     wait_s: float = 5.0
+    calls_per_second: float | None = None
+    host_gap_s: float = 1.0
     model: str = "recorded"
     context_size: str = "default"
     effort: str = "low"
@@ -34,8 +40,14 @@ class Config:
     template: str = "SIRET: {siret}\nName: {company_name}\nAddress: {address}\nPostal code: {postal_code}\nCity: {city}"
     unknown: dict[str, str] = field(default_factory=lambda: {"address": "unknown", "postal_code": "unknown", "city": "unknown"})
 
+    @classmethod
+    def from_environment(cls, env: Mapping[str, str], prefix: str = "SIFTLINE_") -> Config:
+        """Settings from variables such as SIFTLINE_MAX_ROWS; blank ones count as not given, a 0 is kept, others must fit."""
+        given = {f.name: V.setting(env.get(f"{prefix}{f.name.upper()}"), str(f.type), f.default) for f in fields(cls) if f.name != "unknown"}
+        return cls(**given).checked()
+
     def checked(self) -> Config:
-        bad = [n for n, ok in (("start_row", self.start_row >= 2), ("site_pages", 1 <= self.site_pages <= 12), ("concurrency", 1 <= self.concurrency <= 32), ("tries", self.tries > 0), ("wait_s", self.wait_s >= 0), ("context_size", self.context_size in ("default", "low", "medium", "high")), ("effort", self.effort in ("none", "minimal", "low", "medium", "high"))) if not ok]
+        bad = [n for n, ok in (("start_row", self.start_row >= 2), ("site_pages", 1 <= self.site_pages <= 12), ("concurrency", 1 <= self.concurrency <= 32), ("tries", self.tries > 0), ("wait_s", self.wait_s >= 0), ("host_gap_s", self.host_gap_s >= 0), ("calls_per_second", self.calls_per_second is None or self.calls_per_second > 0), ("context_size", self.context_size in ("default", "low", "medium", "high")), ("effort", self.effort in ("none", "minimal", "low", "medium", "high"))) if not ok]
         if bad:
             raise ValueError(f"out of range: {', '.join(bad)}")
         return self
@@ -54,19 +66,20 @@ class Outcome:
     run: int
 
 
-def run(sheet: DataFrame, provider: Callable[[], responses.Provider], keep: Callable[[DataFrame, str], DataFrame], config: Config | None = None, page_store: DataFrame | None = None) -> Outcome:
-    """Enrich ``sheet`` (logical columns and row_index). ``keep`` writes a step and reads it back.
+def run(sheet: DataFrame, provider: Callable[[], responses.Provider], keep: Callable[[DataFrame, str], DataFrame], config: Config | None = None, page_store: DataFrame | None = None, run: runs.Run | None = None) -> Outcome:
+    """Enrich ``sheet`` (logical columns and row_index, and any others). ``keep`` writes a step and reads it back.
 
     The raw answers are kept before anything is derived from them. The journal is kept before the merged table is
-    built, so that a run that breaks off between the two can be replayed.
+    built, so that a run that breaks off between the two can be replayed. With ``run`` answers are saved as they come, the
+    journal is one of JSON lines, and the records carry the run's number.
     """
     c = (config or Config()).checked()
-    began = time.time_ns() // 1000  # orders this run's records after those of earlier runs; a row has one record a run
+    began = run.number if run else time.time_ns() // 1000  # orders this run's records after those of earlier runs; a row has one record a run
     sheet = keep(sheet, "sheet")
     rows = eligibility.row_range(sheet, c.start_row, c.max_rows)
     todo = keep(rows.filter(~eligibility.skip(c.overwrite_existing, c.skip_if_filled)), "eligible")
     usable = eligibility.is_processable(F.col("siret"), F.col("company_name"))
-    raw, fine, failed = looked_up(todo.filter(usable), provider, keep, c, page_store)
+    raw, fine, failed = looked_up(todo.filter(usable), provider, keep, c, page_store, run.answered if run else responses.call)
     invalid = todo.filter(~usable).select("row_index", F.lit("InvalidInput").alias("error_type"), F.lit("").alias("error_message"), F.lit(V.INVALID_INPUT).alias("status"))
     everything = keep(fine.withColumn("status", F.lit(None).cast("string")).unionByName(failed, True).unionByName(invalid, True), "outcomes")
     lines = everything.join(todo.select("row_index", "siret", "company_name"), "row_index")
@@ -76,7 +89,7 @@ def run(sheet: DataFrame, provider: Callable[[], responses.Provider], keep: Call
         F.when(F.col("status").isNull(), value).alias("result"),
         F.coalesce("status", F.when(merge.is_not_found(lines), V.NOT_FOUND).otherwise(V.SUCCESS)).alias("status"), F.lit(c.overwrite_existing).alias("overwrite_existing"), "error_type", "error_message",
     )
-    log = keep(written, "journal")
+    log = run.journaled(written) if run else keep(written, "journal")
     keep(responses.unreadable(raw), "unreadable-answers")
     merged = keep(merge.merge(sheet, everything, c.overwrite_existing, c.audit), "merged")
     touched = merged.join(everything.select("row_index"), "row_index", "left_semi")
@@ -85,10 +98,10 @@ def run(sheet: DataFrame, provider: Callable[[], responses.Provider], keep: Call
     return Outcome(merged, everything, log, counters, began)
 
 
-def looked_up(companies: DataFrame, provider: Callable[[], responses.Provider], keep: Callable[[DataFrame, str], DataFrame], c: Config, page_store: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+def looked_up(companies: DataFrame, provider: Callable[[], responses.Provider], keep: Callable[[DataFrame, str], DataFrame], c: Config, page_store: DataFrame | None, call: Callable[..., DataFrame] = responses.call) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(raw answers, results after sites, audit and gate, rows whose lookup failed) of usable companies."""
     asked = responses.requests(companies, c.model, c.instructions, c.template, c.unknown, c.context_size, c.audit, effort=c.effort)
-    raw = keep(responses.call(asked, provider, c.tries, c.wait_s, c.concurrency), "raw-answers")
+    raw = keep(call(asked, provider, tries=c.tries, wait_s=c.wait_s, concurrency=c.concurrency, calls_per_second=c.calls_per_second), "raw-answers")
     results = keep(_results(raw, c.model), "results")
     fine = results.filter("error_type = ''")
     if c.read_sites and page_store is not None:

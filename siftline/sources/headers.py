@@ -90,14 +90,47 @@ def bind(headers: list[str]) -> Binding:
     return Binding(found, tuple(f for f in OUTPUT_ALIASES if f not in found))
 
 
+OTHER = "other column "
+#: Fields that are written as numbers where a sheet has numbers.
+NUMERIC = ("input_tokens", "output_tokens", "total_tokens", "web_search_calls", "deterministic_fields_found")
+#: Fields that are written without an audit as well.
+ALWAYS = ("email", "phone", "website", "website_type", "status")
+
+
 def bound(df: DataFrame, binding: Binding | None = None) -> DataFrame:
-    """``df`` with its columns under their logical names and missing output fields as null strings; others go."""
-    binding = binding or bind(df.columns)
+    """``df`` with its columns under their logical names and missing output fields as null strings.
+
+    Columns that no field takes follow under ``other column <position>``, so that ``restored`` can put them back.
+    """
+    names = [c for c in df.columns if c != "row_index"]
+    binding = binding or bind(names)
     plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    inputs = [F.col(f"c{binding.found[f]}").alias(f) if f in binding.found else F.lit(None).cast("string").alias(f) for f in INPUT_ALIASES]
-    outputs = [F.col(f"c{binding.found[f]}").alias(f) if f in binding.found else F.lit(None).cast("string").alias(f) for f in OUTPUT_ALIASES]
-    extra = [F.col(f"c{df.columns.index('row_index')}").alias("row_index")] if "row_index" in df.columns else []
-    return plain.select(*extra, *inputs, *outputs)
+    at = [df.columns.index("row_index")] if "row_index" in df.columns else []
+    places = [i for i in range(len(df.columns)) if i not in at[:1]]
+    fields = [F.col(f"c{places[binding.found[f]]}").alias(f) if f in binding.found else F.lit(None).cast("string").alias(f) for f in (*INPUT_ALIASES, *OUTPUT_ALIASES)]
+    others = [F.col(f"c{i}").alias(f"{OTHER}{n}") for n, i in enumerate(places) if n not in binding.found.values()]
+    return plain.select(*[F.col(f"c{i}").alias("row_index") for i in at[:1]], *fields, *others)
+
+
+def restored(df: DataFrame, names: list[str], binding: Binding, audit: bool = True) -> DataFrame:
+    """A bound table under the headers it came with, in their order; appended fields follow under their titles."""
+    field_at = {place: f for f, place in binding.found.items()}
+    own = [F.col(field_at[i] if i in field_at else f"{OTHER}{i}").alias(f"c{i}") for i in range(len(names))]
+    added = [f for f in binding.appended if audit or f in ALWAYS]
+    row = ["row_index"] if "row_index" in df.columns else []
+    return df.select(*row, *own, *[F.col(f).alias(f"a{i}") for i, f in enumerate(added)]).toDF(*row, *names, *[TITLES[f] for f in added])
+
+
+def output_cells(df: DataFrame, width: int, binding: Binding, audit: bool = True) -> tuple[DataFrame, dict[int, str]]:
+    """(cells, titles) for a workbook of ``width`` columns: per row the values of the output fields that hold any, by
+    column from 0, and the titles of the header cells that the sheet lacks."""
+    fields = [f for f in OUTPUT_ALIASES if audit or f in ALWAYS]
+    added = [f for f in binding.appended if f in fields]
+    place = {f: binding.found[f] if f in binding.found else width + added.index(f) for f in fields}
+    entries = F.array(*[F.struct(F.lit(place[f]).alias("key"), F.col(f).alias("value")) for f in fields])
+    values = F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
+    numeric = F.array(*[F.lit(place[f]) for f in fields if f in NUMERIC]).cast("array<int>")
+    return df.select("row_index", values.alias("values"), numeric.alias("numeric")).filter(F.size("values") > 0), {place[f]: TITLES[f] for f in added}
 
 
 def titled(df: DataFrame) -> DataFrame:

@@ -2,98 +2,11 @@
 
 from __future__ import annotations
 
-import io
-import re
-import uuid
-import zipfile
-from collections.abc import Iterator
-from datetime import UTC, datetime
-from xml.etree import ElementTree
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftline.functions.values import clean
-
-_MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
-_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
-
-
-def _column(reference: str) -> int:
-    n = 0
-    for c in re.match("[A-Z]+", reference)[0]:
-        n = 26 * n + ord(c) - 64
-    return n - 1
-
-
-def workbook_cells(data: bytes, sheet: str | None) -> Iterator[tuple[int, int, str]]:
-    """(row from 1, column from 0, text) of a workbook's sheet (the first one unless named); blank cells are left out.
-
-    Numbers under a format of 0 and # alone keep its leading zeros.
-    """
-    with zipfile.ZipFile(io.BytesIO(data)) as z:
-        read = lambda name: ElementTree.fromstring(z.read(name))
-        sheets = {s.get("name"): s.get(_REL) for s in read("xl/workbook.xml").iter(f"{_MAIN}sheet")}
-        if sheet is not None and sheet not in sheets:
-            raise ValueError(f"no sheet {sheet!r}; there are {', '.join(sheets)}")
-        targets = {r.get("Id"): r.get("Target") for r in read("xl/_rels/workbook.xml.rels")}
-        path = targets[sheets[sheet] if sheet is not None else next(iter(sheets.values()))].lstrip("/")
-        shared = ["".join(t.text or "" for t in s.iter(f"{_MAIN}t")) for s in read("xl/sharedStrings.xml")] if "xl/sharedStrings.xml" in z.namelist() else []
-        codes, styles = {}, []
-        if "xl/styles.xml" in z.namelist():
-            root = read("xl/styles.xml")
-            codes = {f.get("numFmtId"): f.get("formatCode", "") for f in root.iter(f"{_MAIN}numFmt")}
-            styles = [codes.get(x.get("numFmtId"), "") for x in root.findall(f"{_MAIN}cellXfs/{_MAIN}xf")]
-        with z.open(path if path.startswith("xl/") else f"xl/{path}") as f:
-            for _, cell in ElementTree.iterparse(f):
-                if cell.tag == f"{_MAIN}row":
-                    cell.clear()
-                if cell.tag != f"{_MAIN}c":
-                    continue
-                kind, value = cell.get("t", "n"), cell.findtext(f"{_MAIN}v")
-                if kind == "s" and value is not None:
-                    text = shared[int(value)]
-                elif kind == "inlineStr":
-                    text = "".join(t.text or "" for t in cell.iter(f"{_MAIN}t"))
-                elif kind == "b" and value is not None:
-                    text = "True" if value == "1" else "False"
-                elif kind == "n" and value is not None:
-                    number = float(value)
-                    text = str(int(number)) if number.is_integer() else value
-                    style = int(cell.get("s", "0"))
-                    form = re.sub(r'[\\"\s]', "", styles[style]) if style < len(styles) else ""
-                    if re.fullmatch("[0#]*0[0#]*", form) and number.is_integer():
-                        text = text.zfill(form.count("0"))
-                else:
-                    text = value or ""
-                if text.strip():
-                    yield int(re.search(r"\d+", cell.get("r"))[0]), _column(cell.get("r")), text
-
-
-def read_xlsx(spark: SparkSession, path: str, sheet: str | None = None) -> DataFrame:
-    """Workbooks as one table; a workbook is read by one task (the format can't be split), many in parallel."""
-
-    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for file, data in zip(pdf["path"], pdf["content"], strict=True):
-                rows: list[tuple[int, int, str]] = []
-                for cell in workbook_cells(data, sheet):
-                    rows.append(cell)
-                    if len(rows) == 50_000:
-                        yield pd.DataFrame([(file, *r) for r in rows], columns=["path", "row_index", "place", "text"])
-                        rows = []
-                yield pd.DataFrame([(file, *r) for r in rows], columns=["path", "row_index", "place", "text"])
-
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    found = files.mapInPandas(cells, "path string, row_index int, place int, text string")
-    headers = {r.place: r.text for r in found.filter("row_index = 1").groupBy("place").agg(F.first("text").alias("text")).collect()}
-    width = max(headers, default=-1) + 1
-    names = [headers.get(i) or f"column {i + 1}" for i in range(width)]
-    rows = found.filter("row_index > 1").groupBy("path", "row_index").agg(F.map_from_entries(F.collect_list(F.struct("place", "text"))).alias("m"))
-    out = rows.select("row_index", *[F.col("m")[i].alias(f"c{i}") for i in range(width)])
-    return out.toDF("row_index", *names)
-
+from siftline.sources.workbooks import read_xlsx  # noqa: F401
 
 def read_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     return with_row_index(spark.read.option("header", True).option("sep", sep).option("multiLine", True).csv(path))
@@ -128,12 +41,5 @@ def text_columns(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") if c == "row_index" else clean(F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
-def write_version(df: DataFrame, folder: str) -> str:
-    """A new version of a table beside the old ones, which stay as its backups; returns its path."""
-    path = f"{folder.rstrip('/')}/v{datetime.now(UTC):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    df.write.parquet(path)
-    return path
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)

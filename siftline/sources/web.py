@@ -42,12 +42,12 @@ def public_address(url: str, resolve: Callable = socket.getaddrinfo) -> str | No
         return None
 
 
-def open_address(url: str, address: str, timeout: float, max_bytes: int) -> Answer:
+def open_address(url: str, address: str, timeout: float, max_bytes: int, context: ssl.SSLContext | None = None) -> Answer:
     """One request to ``address`` in the name of the url's host; reads a byte more than allowed, to tell."""
     u = urlsplit(url)
     sock = socket.create_connection((address, u.port or (443 if u.scheme == "https" else 80)), timeout)
     if u.scheme == "https":
-        sock = ssl.create_default_context().wrap_socket(sock, server_hostname=u.hostname)
+        sock = (context or ssl.create_default_context()).wrap_socket(sock, server_hostname=u.hostname)
     connection = http.client.HTTPConnection(u.hostname, timeout=timeout)
     connection.sock = sock
     try:
@@ -83,6 +83,15 @@ def fetch(url: str, resolve: Callable = socket.getaddrinfo, opener: Callable = o
     return None
 
 
+def client(ca_file: str | None = None, max_bytes: int = MAX_BYTES, timeout: float = TIMEOUT_S) -> Callable[[str], tuple[str, str] | None]:
+    """``fetch`` with one TLS context for all its requests, which trusts the certificates of ``ca_file`` too; a task makes one."""
+    context = ssl.create_default_context()
+    if ca_file:
+        context.load_verify_locations(ca_file)
+    opener = lambda url, address, timeout, most: open_address(url, address, timeout, most, context)
+    return lambda url: fetch(url, opener=opener, max_bytes=max_bytes, timeout=timeout)
+
+
 def page_store(urls: DataFrame, url_col: str = "url", concurrency: int = 4, fetcher: Callable[[str], tuple[str, str] | None] = fetch) -> DataFrame:
     """(requested, url, html) of the pages that could be read. Write the result before using it: reading it again fetches again."""
 

@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,3 +109,20 @@ def test_best_doesnt_depend_on_partitions(spark, parts):
         want.add((k, value, url, score))
     assert got == want
     assert identity.ranked(df, ["row_index"]).filter(F.col("rank") == 1).count() == 9
+
+
+def test_hostile_pages_are_read_in_bounded_time():
+    block = lambda text: f'<script type="application/ld+json">{text}</script>'
+    deep = "[" * 100_000
+    nested = '{"a":' * 1200 + '{"email": "deep@b.fr"}' + "}" * 1200
+    parsed = pages.parse_page("https://a.fr/", block(deep) + block(nested) + block('[{"x": {"email": "in@b.fr"}, "email": "out@b.fr"}]'))
+    assert [c["raw"] for c in parsed["candidates"]] in (["out@b.fr", "in@b.fr"], ["deep@b.fr", "out@b.fr", "in@b.fr"])
+    began = time.perf_counter()
+    many = "<header></header>" * 20_000 + "<main>" + '<a href="/x">x</a>' * 20_000
+    links = pages.parse_page("https://a.fr/", many)["links"]
+    assert len(links) == 20_000 and {x["region"] for x in links} == {"main"} and time.perf_counter() - began < 20
+
+
+@pytest.mark.parametrize(("page", "region"), [("<main><header><a href=x>y</a>", "header"), ("<main><header></header><a href=x>y</a>", "main"), ("<header><main></header><a href=x>y</a>", "main"), ("</main><footer><footer></footer><a href=x>y</a>", "footer"), ("<main></main></main><main></main><a href=x>y</a>", "body")])
+def test_innermost_open_region(page, region):
+    assert [x["region"] for x in pages.parse_page("https://a.fr/", page + "</a>")["links"]] == [region]

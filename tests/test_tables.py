@@ -54,8 +54,6 @@ def test_text_readers(spark, tmp_path):
     many = spark.range(1000).repartition(7)
     assert sorted(r.row_index for r in sheets.with_row_index(many).collect()) == list(range(2, 1002))
     assert sheets.with_row_index(many.limit(0)).count() == 0
-    path = sheets.write_version(df, str(tmp_path / "versions"))
-    assert sheets.write_version(df, str(tmp_path / "versions")) != path and sheets.read_parquet(spark, path).count() == 3
 
 
 def test_binding():
