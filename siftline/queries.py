@@ -9,7 +9,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftline import site_queries
 from siftline.functions import search_text as T
+from siftline.functions import sql as sql_functions
 from siftline.functions import values as V
 from siftline.operators import eligibility, evaluate, identity, journal, merge, pages, responses
 from siftline.sources import derived, headers, tables
@@ -672,3 +674,93 @@ def site_references(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered(f"{_C}, d AS (SELECT unnest(['alpha', 'beta']) AS deployment) SELECT deployment, row_index FROM companies, d")
 def deployments_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.cross_deployments(derived.companies(spark, sf_dir).select("row_index"), [" alpha", "beta", "alpha"]).select("deployment", "row_index")
+
+
+# ---- evaluation reports, audit merges, contexts ----
+
+_AUDIT_SHEET = f"""{_R}, c AS (SELECT *, CASE WHEN row_index % 3 = 0 THEN concat('https://old.example/', row_index) END AS email_source, CASE WHEN row_index % 2 = 0 THEN '["https://s.example/"]' END AS sources,
+  CASE WHEN row_index % 4 = 0 THEN 'directory' END AS website_type FROM companies)"""
+
+
+def _audit_sql(over: bool) -> str:
+    takes = lambda c: f"({str(over).lower()} OR coalesce({_clean('c.' + c)}, 'Non trouvé') = 'Non trouvé')"
+    new_type = "CASE WHEN r_website = 'Non trouvé' THEN 'not_found' WHEN wt = 'not_found' THEN 'unknown' ELSE wt END"
+    both = """'["https://s.example/","https://t.example/' || r.row_index || '"]'"""
+    return f"""{_AUDIT_SHEET} SELECT c.row_index,
+  CASE WHEN r.row_index IS NULL THEN c.email_source WHEN {takes("email")} AND ({str(over).lower()} OR c.email_source IS NULL) THEN CASE WHEN r_email <> 'Non trouvé' THEN concat('https://src.example/', r.row_index, '/email') END ELSE c.email_source END AS email_source,
+  CASE WHEN r.row_index IS NOT NULL AND {takes("website")} THEN {new_type} ELSE c.website_type END AS website_type,
+  CASE WHEN r.row_index IS NULL THEN c.sources ELSE {both} END AS sources,
+  CASE WHEN r.row_index IS NOT NULL THEN CAST(100 + r.row_index % 50 AS VARCHAR) ELSE '7' END AS input_tokens, CASE WHEN r.row_index IS NULL THEN 'before' WHEN r.row_index % 2 = 0 THEN 'm-2' END AS model_snapshot
+FROM c LEFT JOIN r ON c.row_index = r.row_index AND r.row_index % 10 <> 1"""
+
+
+def _audited(spark: SparkSession, sf_dir: str, over: bool) -> DataFrame:
+    k = F.col("row_index")
+    new = merge.identity_gate(_results(spark, sf_dir)).filter("row_index % 10 <> 1")
+    new = new.select("row_index", *V.CONTACTS, "website_type", *[f"{c}_source" for c in V.CONTACTS], F.array(F.lit("https://s.example/"), F.concat(F.lit("https://t.example/"), k.cast("string"))).alias("sources"), (100 + k % 50).alias("input_tokens"), F.when(k % 2 == 0, "m-2").otherwise("").alias("model_snapshot"))
+    sheet = derived.companies(spark, sf_dir).withColumns({
+        "email_source": F.when(k % 3 == 0, F.concat(F.lit("https://old.example/"), k.cast("string"))), "sources": F.when(k % 2 == 0, '["https://s.example/"]'), "website_type": F.when(k % 4 == 0, "directory"),
+        "input_tokens": F.lit("7"), "model_snapshot": F.lit("before"),
+    })
+    return merge.merge(sheet, new, over, True).select("row_index", "email_source", "website_type", "sources", "input_tokens", "model_snapshot")
+
+
+@registered(_audit_sql(False))
+def audit_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _audited(spark, sf_dir, False)
+
+
+@registered(_audit_sql(True))
+def audit_merge_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _audited(spark, sf_dir, True)
+
+
+@registered("SELECT doc_id, m[1] AS address, substr(text, greatest(1, strpos(text, m[1]) - 300), least(strpos(text, m[1]) - 1, 300) + 300) AS context FROM (SELECT doc_id, text, regexp_extract_all(text, '" + _MAIL + "') AS m FROM documents) WHERE len(m) > 0")
+def email_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first address of each text and what the operator says stands around it."""
+    first = F.get(pages.scanned_emails(F.col("text")), F.lit(0))
+    return _dealt(spark, sf_dir, "documents").select("doc_id", first.alias("x")).filter("x IS NOT NULL").select("doc_id", F.col("x.raw").alias("address"), "x.context")
+
+
+_REPORT = {"sources": "'[]'", "deterministic_pages": "'[]'", "email_extraction_method": "''", "phone_extraction_method": "''", **dict.fromkeys(("identity_source", "email_source", "phone_source", "website_source"), "'Non trouvé'")}
+
+
+@registered(f"""{_X}, y AS (SELECT *, row_index % 13 = 0 AS gone, CASE WHEN row_index % 13 = 0 THEN 'MissingResult' ELSE error_type END AS e FROM x) SELECT deployment, 'low' AS search_context_size, true AS audit_enabled, false AS site_extraction_enabled, row_index, '1' AS siret, 'Firm' AS company_name, baseline_status, baseline_email, baseline_phone, baseline_website,
+  CASE WHEN e <> '' THEN 'technical_error' WHEN {_FOUND['candidate_email']} OR {_FOUND['candidate_phone']} OR {_FOUND['candidate_website']} THEN 'success' ELSE 'not_found' END AS candidate_status,
+  {', '.join(f"CASE WHEN e <> '' THEN 'Non trouvé' ELSE candidate_{c} END AS candidate_{c}, e = '' AND {c}_exact_match AS {c}_exact_match" for c in V.CONTACTS)},
+  'none' AS identity_match_type, {', '.join(f'{v} AS {c}' for c, v in _REPORT.items())}, {', '.join(f"CASE WHEN e <> '' THEN 0 ELSE {c} END AS {c}" for c in ('input_tokens', 'output_tokens', 'total_tokens', 'web_search_calls', 'deterministic_fields_found'))},
+  CASE WHEN e <> '' THEN '' ELSE identity_extraction_method END AS identity_extraction_method, e = '' AND legal_popup_detected AS legal_popup_detected, CASE WHEN e <> '' THEN CAST(0 AS DOUBLE) ELSE round(CAST(latency_seconds AS DOUBLE), 3) END AS latency_seconds, e AS error_type, '' AS error_message FROM y""")
+def model_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 37 columns of a model evaluation's report; some rows have no result."""
+    e = derived.evals(spark, sf_dir).withColumn("latency_seconds", F.col("latency_seconds").cast("double"))
+    known = e.select("deployment", "row_index", F.lit("1").alias("siret"), F.lit("Firm").alias("company_name"), "baseline_status", *[f"baseline_{c}" for c in V.CONTACTS])
+    done = e.filter("row_index % 13 <> 0").withColumnsRenamed({f"candidate_{c}": c for c in V.CONTACTS}).withColumns({"error_message": F.lit(""), "siret": F.lit("1"), "company_name": F.lit("Firm")})
+    done = done.drop("candidate_status", "baseline_status", *[f"baseline_{c}" for c in V.CONTACTS])
+    return evaluate.model_rows(known, done, "low", True, False)
+
+
+for _name, _sql_text in site_queries.ORACLES.items():
+    registered(_sql_text)(getattr(site_queries, _name))
+
+
+# ---- the operators under plain SQL ----
+
+
+def _by_sql(spark: SparkSession, sf_dir: str, sql: str, *tables_read: str) -> DataFrame:
+    sql_functions.register(spark)
+    return spark.sql(sql, **{t: _dealt(spark, sf_dir, t) for t in tables_read})
+
+
+@registered("""SELECT h AS href, count(DISTINCT page_id) AS pages, count(*) AS links FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS h FROM pages) GROUP BY h""")
+def sql_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_sql(spark, sf_dir, "SELECT l.href, count(DISTINCT p.page_id) AS pages, count(*) AS links FROM {pages} p, LATERAL page_links(p.url, p.html) l GROUP BY l.href", "pages")
+
+
+@registered(rf"SELECT doc_id, CAST(i - 1 AS INTEGER) AS place, m[i] AS address FROM (SELECT doc_id, m, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{_MAIL}') AS m FROM documents))")
+def sql_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_sql(spark, sf_dir, "SELECT d.doc_id, c.place, c.raw AS address FROM {documents} d, LATERAL contacts_in(d.text) c WHERE c.field = 'email'", "documents")
+
+
+@registered(f"SELECT split_part(k, ' ', 1) AS first_word, count(*) AS n FROM (SELECT {_KEY} AS k FROM documents) GROUP BY ALL HAVING count(*) > 1")
+def sql_search_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_sql(spark, sf_dir, "SELECT split_part(k, ' ', 1) AS first_word, count(*) AS n FROM (SELECT search_key(text) AS k FROM {documents}) GROUP BY 1 HAVING count(*) > 1", "documents")
