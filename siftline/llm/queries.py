@@ -20,7 +20,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quote_threads.threads(_table(spark, sf_dir, "conversations"), elsewhere_chars=quote_threads.ELSEWHERE_CHARS)
+    return quote_threads.threads(_table(spark, sf_dir, "conversations"))
 
 
 def with_quoted_replies(messages: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def with_quoted_replies(messages: DataFrame) -> DataFrame:
 
 def quoted_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The linking of op1 where there are quotes to link: the tables' own conversations hold none."""
-    return quote_threads.threads(with_quoted_replies(_table(spark, sf_dir, "conversations")), elsewhere_chars=quote_threads.ELSEWHERE_CHARS)
+    return quote_threads.threads(with_quoted_replies(_table(spark, sf_dir, "conversations")))
 
 
 def op2_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,8 +20,6 @@ from siftline.llm.shared_storage import checkpointed, written
 _MARKS = re.compile(r"[ \t]*(?:>[ \t]*)+")
 # How an introduction to a quote ends in four languages.
 _INTRODUCTION = re.compile(r"(?:wrote|écrit|schrieb|escribió)[^\n]{0,40}:\s*$", re.I)
-#: Shorter passages say too little about which other conversation they come from; the query links them inside their own.
-ELSEWHERE_CHARS = 12
 _SAID = "struct<body: string, own: array<bigint>, quotes: array<struct<level: int, passage: int, whole: boolean, hash: bigint, chars: int>>>"
 
 
@@ -76,9 +74,10 @@ def threads(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
     quoted_conv_id, quoted_turn, text, text_hash.
 
     A quote is linked to the first message of its own conversation that says it and comes earlier, else to the first
-    message of any other conversation that does; passages and lines of fewer than ``elsewhere_chars`` normalised
-    characters are linked inside their own conversation only, and count in n_quotes like any other. reply_to_turn is the earlier message of the conversation most quoted at depth 1
-    (by characters, then the latest); quoted_conv_id and quoted_turn name the most quoted message anywhere. A thread is
+    message of any other conversation that does, however short it is; a caller may keep passages and lines of fewer than
+    ``elsewhere_chars`` normalised characters inside their own conversation, where they count in n_quotes like any
+    other. reply_to_turn is the earlier message of the conversation most quoted at depth 1 (by characters, then the
+    latest); quoted_conv_id and quoted_turn name the most quoted message anywhere. A thread is
     a message that answers none, with all that answer it; position numbers a conversation's messages from 0 by (thread,
     turn, hash of the text), so that answers follow what they answer. ``text`` has no quotes left.
     Null texts are empty. Rows without conversation or turn keep their row but link to nothing. Rows that share

@@ -119,7 +119,7 @@ def test_quotes_said_later_here_are_found_in_other_conversations(spark):
 def test_short_quotes(spark):
     rows = [(1, 0, "Yes, I agree"), (1, 1, "Why?"), (1, 2, "> why?\nsince it is so"), (1, 3, "> 好的，明天见\nfine"), (2, 0, "> Why?\n> why?\nno idea"), (3, 0, "好的，明天见")]
     df = spark.createDataFrame([(c, t, "user", x, "") for c, t, x in rows], SCHEMA)
-    for least, other in ((1, (1, 1, 1)), (Q.ELSEWHERE_CHARS, (0, None, None))):
+    for least, other in ((1, (1, 1, 1)), (12, (0, None, None))):
         got = {(r.conv_id, r.turn): (r.n_quotes, r.reply_to_turn, r.thread_turn, r.n_linked, r.quoted_conv_id, r.quoted_turn) for r in Q.threads(df, elsewhere_chars=least).collect()}
         assert got[1, 2] == (1, 1, 1, 1, 1, 1)
         assert got[2, 0] == (1, None, 0, *other)
@@ -160,7 +160,7 @@ def test_replies_query(spark):
     for (c, t), (_, quoted) in told.items():
         def found(x, c=c, t=t):
             here = min((y[1] for y in says[x] if y[0] == c), default=t)
-            return (c, here) if here < t else min((y for y in says[x] if y[0] != c), default=None) if len(x) >= Q.ELSEWHERE_CHARS else None
+            return (c, here) if here < t else min((y for y in says[x] if y[0] != c), default=None)
         linked, chars = 0, defaultdict(int)
         for depth, lines in quoted:
             whole = " ".join(lines)
