@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,14 +71,17 @@ def site_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _kept(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder that the session names; only a local session without one takes a temporary one."""
-    sc = df.sparkSession.sparkContext
+    """A step written as Parquet in the session's checkpoint folder and read back; only a local session without such a
+    folder takes a temporary one."""
+    spark, sc = df.sparkSession, df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None and not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="siftline-"))
-    return df.checkpoint()
+    path = f"{sc.getCheckpointDir()}/site-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _TEXT = "concat('Appelez le 04.22.33.44.', tail, ' ou +33 (0)6 ', tail, ' 11 22 33, pas le 104 22 33 44 ', tail, ' ni 00', tail, '. Fax 0033', 1 + k % 9, '00112233', repeat(' suite', 120))"
