@@ -7,6 +7,7 @@ import hashlib
 import os
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +44,11 @@ class ByteBPE:
                 a, b = token[:i], token[i:]
                 if ranks.get(a, ranks[token]) < ranks[token] and ranks.get(b, ranks[token]) < ranks[token]:
                     merges.append((spelled[a], spelled[b]))
-        self.tokens = {r: t for t, r in ranks.items()}
+        self.spelled = {r: spelled[t] for t, r in ranks.items()}
+        self._bytes = np.zeros(max(map(ord, chars)) + 1, np.uint8)  # the byte table turned round, by code point
+        self._bytes[[ord(c) for c in chars]] = np.arange(256, dtype=np.uint8)
+        self._lengths = np.zeros(max(ranks.values(), default=-1) + 1, np.int64)
+        self._lengths[list(ranks.values())] = [len(t) for t in ranks]
         self._tokenizer = Tokenizer(models.BPE({spelled[t]: r for t, r in ranks.items()}, merges, ignore_merges=True))
         self._tokenizer.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.Split(Regex(pattern), "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
@@ -66,8 +71,25 @@ class ByteBPE:
             at = to
 
     def decode(self, ids: Sequence[int]) -> bytes:
-        """The bytes of ``ids``; they may begin or end inside a character."""
-        return b"".join(map(self.tokens.__getitem__, ids))
+        """The bytes of ``ids``, spelled in byte characters and read back by the reversed table.
+
+        They may begin or end inside a character.
+        """
+        characters = "".join(map(self.spelled.__getitem__, ids)).encode("utf-16-le")  # all below U+0200: two bytes each
+        return self._bytes[np.frombuffer(characters, "<u2")].tobytes()
+
+    def offsets(self, ids: Sequence[int], data: bytes) -> tuple[np.ndarray, int]:
+        """(character offsets of each token as rows of start and end, number of characters whose bytes fall to several tokens).
+
+        ``data`` are the bytes that ``ids`` stand for. A character in several tokens lies within the offsets of each.
+        """
+        end = np.cumsum(self._lengths[np.asarray(ids, np.int64)])
+        begins = (np.frombuffer(data, np.uint8) & 0xC0) != 0x80
+        before = np.concatenate(([0], np.cumsum(begins)))  # characters that begin before each byte
+        edges = np.concatenate(([0], end))
+        inside = np.append(~begins, False)[edges]  # does the edge cut a character?
+        spans = np.column_stack((before[edges[:-1]] - inside[:-1], before[end]))
+        return spans, len(np.unique(before[edges[inside]]))
 
 
 _built: dict[tuple[str, str], ByteBPE] = {}
@@ -134,25 +156,32 @@ def decode(df: DataFrame, rank_path: str, pattern: str, ids_col: str = "token_id
 
 
 def round_trip(df: DataFrame, rank_path: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """``df`` without its text, with n_tokens long, ids_sha256 and decoded_sha256 string.
+    """``df`` without its text, with n_tokens long, ids_sha256, decoded_sha256, offsets_sha256 string and n_split long.
 
     Encodes every whole text (null: empty), decodes its ids and hashes both, so that ids needn't leave the task.
+    ``offsets_sha256`` hashes each token's character offsets, start and end as 64-bit little-endian integers in token
+    order; ``n_split`` counts characters whose bytes fall to several tokens.
     Columns of ``df`` named like a result are left out; repeated rows stay; an empty table gives an empty table.
     """
     ranks = _shipped(df, rank_path)
-    made = ["n_tokens", "ids_sha256", "decoded_sha256"]
+    made = ["n_tokens", "ids_sha256", "decoded_sha256", "offsets_sha256", "n_split"]
     own = [c for c in df.columns if c != text_col and c not in made]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks.value, pattern)
-        decimal = {r: str(r) for r in codec.tokens}
+        decimal = {r: str(r) for r in codec.spelled}
         for batch in batches:
-            counts, hashes, decoded = [], [], []
+            counts, hashes, decoded, where, split = [], [], [], [], []
             for ids, _ in codec.encode(batch.column(batch.num_columns - 1).fill_null("").to_pylist()):
                 counts.append(len(ids))
                 hashes.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
-                decoded.append(hashlib.sha256(codec.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())], names=[*own, *made])
-
-    schema = df.select(*own).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+                data = codec.decode(ids)
+                decoded.append(hashlib.sha256(data).hexdigest())
+                spans, n = codec.offsets(ids, data)
+                where.append(hashlib.sha256(spans.astype("<i8").tobytes()).hexdigest())
+                split.append(n)
+            strings = [pa.array(x, pa.string()) for x in (hashes, decoded, where)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(counts, pa.int64()), *strings, pa.array(split, pa.int64())], names=[*own, *made])
+
+    schema = df.select(*own).schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string").add("offsets_sha256", "string").add("n_split", "long")
     return df.select(*own, F.col(text_col).alias("_text")).mapInArrow(run, schema)

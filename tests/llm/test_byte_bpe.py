@@ -17,6 +17,19 @@ def reference():
     return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def plain_offsets(tokens, text):
+    """(character offsets of each token, number of characters in several tokens), a byte at a time."""
+    owner = [i for i, c in enumerate(text) for _ in c.encode()]
+    spans, seen, at = [], {}, 0
+    for k, token in enumerate(tokens):
+        mine = owner[at : at + len(token)]
+        spans.append((mine[0], mine[-1] + 1))
+        for c in mine:
+            seen.setdefault(c, set()).add(k)
+        at += len(token)
+    return spans, sum(len(x) > 1 for x in seen.values())
+
+
 def test_equals_rank_merging(spark, reference):
     rng = random.Random(3)
     alphabet = "aaabbb eénñ'sß \u0085 \n\t 123٣²½$%€漢字😀👩‍🚀éİſ<|endoftext|>"
@@ -31,6 +44,9 @@ def test_equals_rank_merging(spark, reference):
         assert got[i].n_tokens == len(ids), t
         assert got[i].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), t
         assert got[i].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest(), t
+        spans, split = plain_offsets([reference.decode_single_token_bytes(x) for x in ids], t or "")
+        assert got[i].offsets_sha256 == hashlib.sha256(b"".join(n.to_bytes(8, "little") for s in spans for n in s)).hexdigest(), t
+        assert got[i].n_split == split, t
     assert byte_bpe.round_trip(docs.limit(0), RANKS, P.PATTERN).count() == 0
 
 
@@ -55,3 +71,17 @@ def test_offsets_and_split_characters(spark):
     codec = byte_bpe.ByteBPE(open(RANKS, "rb").read(), P.PATTERN)
     ids = next(iter(codec.encode(["\U0001f9ff"])))[0]
     assert len(ids) > 1 and codec.decode(ids[:1]).decode("utf-8", "replace").endswith("�") and codec.decode(ids).decode() == "\U0001f9ff"
+
+
+def test_offsets_equal_the_library_and_bytes_go_back_by_the_table():
+    codec = byte_bpe.ByteBPE(open(RANKS, "rb").read(), P.PATTERN)
+    texts = ["Größe 漢字😀 end", "", "plain words", "\U0001f9ff\U0001f9ff x", "\u0301e\u0301 ½٣"]
+    fast, slow = list(codec.encode(texts)), list(codec.encode(texts, offsets=True))
+    for text, (ids, _), (same, spans) in zip(texts, fast, slow, strict=True):
+        data = codec.decode(ids)
+        assert ids == same and data == text.encode()
+        assert [tuple(x) for x in codec.offsets(ids, data)[0].tolist()] == list(spans), text
+    chars = byte_bpe.byte_characters()
+    assert len(set(chars)) == 256 and all(codec._bytes[ord(c)] == b for b, c in enumerate(chars))
+    with pytest.raises(KeyError):
+        codec.decode([10**9])
