@@ -19,6 +19,8 @@ from siftline.llm.shared_storage import written
 
 LANES = 74
 WHITE = r"[\x20\x09-\x0D]+"
+#: Parts of a text and its edited form: paragraphs of both, those that the edit takes out, those that it puts in.
+SAME, OLD, NEW = range(3)
 _PAIR = (1 << 32) + 1
 _MASK = (1 << 32) - 1
 
@@ -47,18 +49,20 @@ def lanes(packed: Column) -> Column:
     return F.flatten(F.transform(packed, lambda x: F.array(x.bitwiseAND(F.lit(_MASK)), F.shiftrightunsigned(x, 32))))
 
 
-def _packed(unpacked: Column) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.lit(LANES // 2 - 1)), lambda i: F.get(unpacked, 2 * i).bitwiseOR(F.shiftleft(F.get(unpacked, 2 * i + 1), 32)))
+def _by_lanes(packed: Column, other: Column, of) -> Column:
+    """``of`` both lanes of each pair of packed longs, modulo 2**32; null where either fingerprint is."""
+    low, high = (lambda x: x.bitwiseAND(F.lit(_MASK))), (lambda x: F.shiftrightunsigned(x, 32))
+    return F.zip_with(packed, other, lambda a, b: low(of(low(a), low(b))).bitwiseOR(F.shiftleft(of(high(a), high(b)), 32)))
 
 
 def insert(packed: Column, more: Column) -> Column:
     """The fingerprint after the paragraphs of ``more`` are put in."""
-    return _packed(F.zip_with(lanes(packed), lanes(more), lambda a, b: (a + b).bitwiseAND(F.lit(_MASK))))
+    return _by_lanes(packed, more, lambda a, b: a + b)
 
 
 def delete(packed: Column, less: Column) -> Column:
     """The fingerprint after the paragraphs of ``less`` are taken out."""
-    return _packed(F.zip_with(lanes(packed), lanes(less), lambda a, b: (a - b).bitwiseAND(F.lit(_MASK))))
+    return _by_lanes(packed, less, lambda a, b: a - b)
 
 
 def to_text(packed: Column) -> Column:
@@ -92,8 +96,8 @@ def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     The edited text has the last third of the code points (rounded down) replaced by the first as many of the next
     document by descending id, nulls last; the last document is followed by the first. Rows that share an id share
     their next document, and where the next id is repeated, the row with the smallest hash of its text stands for it.
-    Other columns are not read; the
-    smallest long is taken for no id. A single document is its own next.
+    The edited fingerprint is the own one with the paragraphs from the edit on deleted and the new ones inserted. Other
+    columns are not read; the smallest long is taken for no id. A single document is its own next.
     """
     none = F.lit(-(1 << 63))  # null ids come last, below all others
     # both joins below take this table by k with the same columns, so that its texts are shuffled once
@@ -107,16 +111,24 @@ def edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     heads = heads.groupBy("for_k", "next_k").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.left("text", F.col("need")).alias("head"))).alias("m"))
     joined = base.join(heads.select(F.col("for_k").alias("k"), "next_k", F.col("m.head").alias("head")), "k")
     joined = joined.withColumn("n_chars", F.char_length("text").cast("long"))
-    edited = F.concat(F.left("text", (F.col("n_chars") - third).cast("int")), F.left("head", third))
-    joined = joined.select("k", F.monotonically_increasing_id().alias("row"), F.nullif("k", none).alias("doc_id"), "next_k", "n_chars", "text", edited.alias("edited"))
+    joined = joined.withColumn("whole", F.left("text", (F.col("n_chars") - third).cast("int")))
+    # the edit changes the paragraphs from the one it begins in: those before are hashed once for both texts
+    begin = F.length("whole") - F.coalesce(F.length(F.substring_index("whole", "\n", -1)), F.lit(0))
+    edited = F.concat("whole", F.left("head", third))
+    joined = joined.select("k", F.monotonically_increasing_id().alias("row"), F.nullif("k", none).alias("doc_id"), "next_k", "n_chars", "text", edited.alias("edited"), begin.alias("begin"))
     kept = ["k", "row", "doc_id", "next_k", "n_chars", "text_hash", "edited_sha256"]
     # what the rows keep is computed inside the exploded array, once, and not again for each exploded row
     made = ["doc_id", "next_k", "n_chars", F.xxhash64("text").alias("text_hash"), F.sha2("edited", 256).alias("edited_sha256")]
-    both = joined.select("k", "row", F.explode_outer(F.array(*[F.struct(F.lit(i).alias("kind"), F.col(c).alias("text"), *made) for i, c in enumerate(("text", "edited"))])).alias("v"))
-    both = both.select("k", "row", "v.*").select(*kept, "kind", "text")
-    prints = _fingerprints(both, [*kept, "kind"])
+    rest = lambda c: F.substring(c, F.col("begin") + 1, F.length(c))
+    # the break before ``begin`` is dropped, as it only parts paragraphs; where it begins at 0 there is nothing before
+    parts = [F.when(F.col("begin") > 0, F.left("text", F.col("begin") - 1)), rest(F.col("text")), rest(F.col("edited"))]
+    split = joined.select("k", "row", F.explode_outer(F.array(*[F.struct(F.lit(i).alias("kind"), c.alias("text"), *made) for i, c in enumerate(parts)])).alias("v"))
+    split = split.select("k", "row", "v.*").filter("text IS NOT NULL").select(*kept, "kind", "text")
+    prints = _fingerprints(split, [*kept, "kind"])
     one = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("packed")))
-    found = written(prints.groupBy(*kept).agg(one(0).alias("own"), one(1).alias("changed")).drop("row"), "multiset-hashes")
+    prints = prints.groupBy(*kept).agg(one(SAME).alias("same"), one(OLD).alias("old"), one(NEW).alias("new")).drop("row")
+    prints = prints.withColumn("own", F.coalesce(insert(F.col("same"), F.col("old")), "old"))
+    found = written(prints.withColumn("changed", insert(delete(F.col("own"), F.col("old")), F.col("new"))).drop("same", "old", "new"), "multiset-hashes")
     following = found.groupBy(F.col("k").alias("next_k")).agg(F.min(F.struct("text_hash", "own")).alias("m")).select("next_k", F.col("m.own").alias("following"))
     out = found.join(following, "next_k")
     return out.select(F.col("doc_id").cast(docs.schema[id_col].dataType).alias("doc_id"), "n_chars", "edited_sha256", to_text(F.col("own")).alias("fingerprint"), to_text(F.col("changed")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("changed")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"))
