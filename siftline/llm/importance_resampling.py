@@ -1,8 +1,9 @@
 """Quality by importance resampling: hashed n-gram models of target and raw text, and Gumbel top-k on their ratio.
 
 Target text is a bounded sample of rows labelled good, raw text is every document. A document's log weight is the sum
-over its n-grams of log p_target - log p_raw. Adding standard Gumbel noise and keeping the k largest draws k documents
-without replacement in proportion to their weights.
+over its n-grams of log p_target - log p_raw, tempered to ``EVIDENCE`` n-grams where it has more: n-grams of a text are
+not independent, and untempered sums of long texts would outweigh any noise. Adding standard Gumbel noise and keeping
+the k largest draws k documents without replacement in proportion to their weights.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftline.llm.labelled import sampled_labels, with_sample
@@ -24,6 +25,8 @@ BUCKETS = 1 << 13
 FEATURES = 2 * BUCKETS + 2
 #: Labelled rows of each class that are used at most.
 LABELS_A_CLASS = 10_000
+#: A longer text weighs as if it had so many n-grams with its mean log ratio.
+EVIDENCE = 40
 MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _BINS = 1024
 
@@ -59,6 +62,17 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return out
 
 
+def tempered(sums: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Log weights from sums over ``n`` n-grams each: ``EVIDENCE`` times the mean, for shorter texts the sum itself."""
+    return sums * np.minimum(1.0, EVIDENCE / np.maximum(n, 1))
+
+
+def gumbel_key(log_weight: Column, seed: int, *identity: Column | str) -> Column:
+    """The log weight plus standard Gumbel noise, which the seed and a row's identity decide."""
+    uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), *identity), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
+    return log_weight - F.log(-F.log(uniform))
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     raw, target = np.zeros(FEATURES, np.int64), np.zeros(FEATURES, np.int64)
     for batch in batches:
@@ -86,14 +100,14 @@ def weigh(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col:
         for batch in batches:
             weight = np.zeros(batch.num_rows)
             for first, last, row, feature in features(batch.column(0)):
-                weight[first:last] = np.bincount(row, weights=model.value[feature], minlength=last - first)
+                sums = np.bincount(row, weights=model.value[feature], minlength=last - first)
+                weight[first:last] = tempered(sums, np.bincount(row, minlength=last - first))
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(weight)], names=["id", "text_hash", "label", "log_weight"])
 
     kind = rows.schema["id"].dataType.simpleString()
     texts = rows.select("text", "id", F.xxhash64(F.coalesce("text", F.lit(""))), "_label")
     scored = texts.mapInArrow(score, f"id {kind}, text_hash long, label int, log_weight double")
-    uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "id", "text_hash"), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
-    return written(scored.withColumn("key", F.col("log_weight") - F.log(-F.log(uniform))), "weights")
+    return written(scored.withColumn("key", gumbel_key(F.col("log_weight"), seed, "id", "text_hash")), "weights")
 
 
 def kth_largest(rows: DataFrame, k: int, column: str = "key") -> float:
@@ -154,15 +168,17 @@ def acceptable(weighted: DataFrame) -> int:
     return weighted.filter(F.col("key") >= cut).count()
 
 
-def select(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", labels_a_class: int = LABELS_A_CLASS) -> DataFrame:
+def select(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", labels_a_class: int = LABELS_A_CLASS, k: int | None = None, seed: int = 7) -> DataFrame:
     """(id, text_hash, label, log_weight, key, selected) of every row of ``docs``.
 
+    ``k`` rows are drawn; unset, labels set it (``acceptable``).
+
     ``labels`` has the id and quality 0 or 1; null labels and ids are no labels. Null and empty texts weigh nothing:
     their key is the noise alone. Repeated rows get equal keys and are selected together. An empty table stays empty,
     and without labels of both classes every row is selected.
     """
-    weighted = weigh(docs, sampled_labels(labels, "quality", labels_a_class), id_col, text_col)
-    return gumbel_top_k(weighted, acceptable(weighted))
+    weighted = weigh(docs, sampled_labels(labels, "quality", labels_a_class), id_col, text_col, seed)
+    return gumbel_top_k(weighted, acceptable(weighted) if k is None else k)
 
 
 def keep_selected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

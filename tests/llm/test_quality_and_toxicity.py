@@ -59,9 +59,44 @@ def test_log_weight_against_a_plain_count(spark):
         if quality.get(r.doc_id) == 1:
             np.add.at(target, found.get(i, []), 1)
     ratio = IR.log_ratio(target, raw)
-    want = {r.doc_id: sum(ratio[f] for f in found.get(i, [])) for i, r in enumerate(rows)}
-    for r in IR.select(docs, labels).collect():
+    want = {r.doc_id: sum(ratio[f] for f in found.get(i, [])) * min(1, IR.EVIDENCE / max(1, len(found.get(i, [])))) for i, r in enumerate(rows)}
+    got = IR.select(docs, labels).collect()
+    for r in got:
         assert r.log_weight == pytest.approx(want[r.id], abs=1e-6)
+    # the selection, from keys and labels alone: the cut that parts the labelled rows best, then all rows above it
+    known = sorted((r.key, quality[r.id]) for r in got if quality.get(r.id) is not None)
+    good, bad = sum(y for _, y in known), sum(1 - y for _, y in known)
+    wrong = [sum(y for _, y in known[: i + 1]) / good + sum(1 - y for _, y in known[i + 1 :]) / bad for i in range(len(known))]
+    best = min(range(len(known)), key=lambda i: (wrong[i], i))
+    cut = (known[best][0] + known[best + 1][0]) / 2 if wrong[best] < 1 and best + 1 < len(known) else -math.inf if wrong[best] >= 1 else math.inf
+    assert {r.id for r in got if r.selected} == {r.id for r in got if r.key > cut}
+
+
+def test_one_draw_follows_the_weights(spark):
+    logs = [0.0, 1.0, 2.0, -1.0]
+    rows = spark.range(4 * 20000).select((F.col("id") % 4).cast("int").alias("i"), F.floor(F.col("id") / 4).alias("trial"))
+    keyed = rows.withColumn("key", IR.gumbel_key(F.element_at(F.array(*map(F.lit, logs)), F.col("i") + 1), 5, "i", "trial"))
+    won = keyed.groupBy("trial").agg(F.max_by("i", "key").alias("i")).groupBy("i").count().collect()
+    share = np.exp(logs) / np.exp(logs).sum()
+    for r in won:
+        assert r["count"] / 20000 == pytest.approx(share[r.i], abs=0.015)
+
+
+def test_seeds_draw_different_documents_by_weight(spark):
+    docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    drawn = []
+    for seed in (1, 2, 3):
+        got = IR.select(docs, labels, k=200, seed=seed).collect()
+        chosen = {r.id for r in got if r.selected}
+        assert len(chosen) == 200
+        by_weight = [r.id for r in sorted(got, key=lambda r: -r.log_weight)]
+        assert chosen != set(by_weight[:200])  # noise matters
+        first, last = set(by_weight[: len(got) // 4]), set(by_weight[-len(got) // 10 :])
+        assert len(chosen & first) > 1.2 * len(got) // 4 * 200 / len(got) and len(chosen & last) <= 2
+        drawn.append(chosen)
+    assert 20 < len(drawn[0] & drawn[1]) < 180 and drawn[1] != drawn[2]
+    again = {r.id for r in IR.select(docs.repartition(5), labels, k=200, seed=1).filter("selected").collect()}
+    assert again == drawn[0]
 
 
 def test_toxicity_held_out(spark):
