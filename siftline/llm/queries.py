@@ -80,6 +80,12 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def shared_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flow of op9 where sources overlap: a text that several sources hold counts for any of them."""
+    mixed = source_mixing.mix_shared(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", F.array_join("sources", ",").alias("sources"), "taken")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -111,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_superminhash": op12_superminhash,
     "op13_dual_tree": op13_dual_tree,
     "quoted_replies": quoted_replies,
+    "shared_source_mix": shared_source_mix,
 }
 
 #: DuckDB SQL for the queries that SQL can express; the others are tested against brute force in tests/llm.

@@ -218,3 +218,26 @@ def mix_overlapping(docs: DataFrame, quotas: dict[str, int], seed: str = "mix",
     flow = min_cost_flow(capacity, quotas, epochs)
     solved = spark.createDataFrame([(list(p), flow[p], n) for p, n in capacity.items()], "pattern array<string>, flow long, capacity long")
     return take(rows, solved, seed).select(*[F.col(name).alias(c) for c, name in plain.items()], "taken")
+
+
+def shared_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """(doc_id, size, sources): each text once, under its smallest id, with all sources that hold it.
+
+    Texts are told apart by their SHA-256; null counts as empty. A source is named "=" and its name, a null one "null".
+    What is kept of a text's copies is a set of sources, combined before the shuffle. An empty table stays empty.
+    """
+    source = F.when(F.col(source_col).isNull(), "null").otherwise(F.concat(F.lit("="), F.col(source_col)))
+    rows = docs.select(F.col(id_col).alias("doc_id"), _size(text_col).alias("size"), source.alias("source"), F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256).alias("t"))
+    return rows.groupBy("t").agg(F.min("doc_id").alias("doc_id"), F.max("size").alias("size"), F.array_sort(F.collect_set("source")).alias("sources")).drop("t")
+
+
+def mix_shared(docs: DataFrame, seed: str = "mix", epochs: int = 3, weights: tuple[int, ...] = (5, 2, 1)) -> DataFrame:
+    """``shared_texts`` of ``docs`` with ``taken``: a text in several sources may fill the quota of any of them.
+
+    A source's quota is its target by ``weights`` among the words of its texts, rounded; a row per source and per set
+    of sources reaches the driver.
+    """
+    texts = written(shared_texts(docs), "mix-shared")
+    sizes = texts.select("size", F.explode("sources").alias("source")).groupBy("source").agg(F.sum("size").alias("source_size"))
+    quotas = {r.source: int(r.target + 0.5) for r in targets(sizes, weights, epochs).collect()}  # a row per source
+    return mix_overlapping(texts, quotas, seed, epochs)

@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from siftline.llm import queries, source_mixing
 
@@ -132,3 +133,39 @@ def test_min_cost_flow_of_many_patterns_ends():
     flow = source_mixing.min_cost_flow(capacity, quota)
     assert time.monotonic() - started < 60
     assert sum(flow.values()) == sum(quota.values()) and all(n <= 3 * capacity[p] for p, n in flow.items())
+
+
+def test_shared_texts_fill_quotas_of_any_of_their_sources(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    # every third text is held by a second source too
+    more = docs.filter("doc_id % 3 = 0").select((F.col("doc_id") + 10**6).alias("doc_id"), "text", "lang", F.lit("mirror").alias("source"), "n_chars")
+    docs = docs.withColumn("source", F.when(F.col("doc_id") % 6 < 5, F.concat(F.lit("s"), F.col("doc_id") % 6))).unionByName(more)
+    where, first = defaultdict(set), {}
+    for r in docs.collect():
+        where[r.text or ""].add("null" if r.source is None else "=" + r.source)
+        first[r.text or ""] = min(r.doc_id, first.get(r.text or "", r.doc_id))
+    size = {t: len(re.findall("[^\x20\x09-\x0d]+", t)) for t in where}
+    capacity, sizes = defaultdict(int), defaultdict(int)
+    for t, s in where.items():
+        capacity[tuple(sorted(s))] += size[t]
+        for x in s:
+            sizes[x] += size[t]
+    assert len([p for p in capacity if len(p) > 1]) > 2
+    names = {s: (s[1:] if s != "null" else None) for s in sizes}
+    wanted = brute_targets({names[s]: n for s, n in sizes.items()})
+    quota = {s: int(wanted[names[s]] + 0.5) for s in sizes}
+    flow = source_mixing.min_cost_flow(dict(capacity), quota)
+    got = source_mixing.mix_shared(docs).collect()
+    assert sorted(r.doc_id for r in got) == sorted(first.values())
+    taken, biggest = defaultdict(int), defaultdict(int)
+    for r in got:
+        assert 0 <= r.taken <= 3 * r.size and r.taken % max(1, r.size) == 0
+        taken[tuple(r.sources)] += r.taken
+        biggest[tuple(r.sources)] = max(biggest[tuple(r.sources)], r.size)
+    assert set(taken) <= set(capacity) and all(abs(taken[p] - flow[p]) <= biggest[p] for p in capacity)
+    # the largest flow is the least cut
+    least = min(sum(quota[s] for s in quota if s not in some) + sum(3 * c for p, c in capacity.items() if set(p) & set(some)) for n in range(len(quota) + 1) for some in itertools.combinations(sorted(quota), n))
+    assert sum(flow.values()) == least
+    assert source_mixing.mix_shared(docs.limit(0)).count() == 0
+    odd = spark.createDataFrame([(1, None, None), (2, "", "a"), (2, "", "a"), (None, "one two", None), (4, "one two", "null")], "doc_id long, text string, source string")
+    assert {(r.doc_id, tuple(r.sources)) for r in source_mixing.shared_texts(odd).collect()} == {(1, ("=a", "null")), (4, ("=null", "null"))}
