@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from siftline.llm.ordering import in_blocks, with_running_total
 
@@ -35,19 +36,29 @@ def shard(key: Column, shards: int) -> Column:
     return of(F.coalesce(key.cast("long"), F.lit(0)))
 
 
+def long_key(docs: DataFrame, key_col: str) -> Column:
+    """The long that stands for a key: a whole number itself, any other kind the XXH64 of its text; null stays null."""
+    kind = docs.schema[key_col].dataType
+    if isinstance(kind, IntegralType):
+        return F.col(f"`{key_col}`").cast("long")
+    text = F.col(f"`{key_col}`").cast("string")
+    return F.when(text.isNotNull(), F.xxhash64(text))
+
+
 def place(docs: DataFrame, shards: int, key_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard), one row per row of ``docs``.
 
-    Only the key decides the shard, so growing by one shard moves rows into the new shard only. Slots number the
+    Keys may be of any kind that casts to text (see ``long_key``) and keep theirs as doc_id. Only the key decides the shard, so growing by one shard moves rows into the new shard only. Slots number the
     shard's rows in order of (key with nulls first, size, CRC-32) from 0. Equal rows are counted before they are
     ordered and take consecutive slots. A null text has size 8 and the CRC-32 of nothing; other columns are not read.
     """
     payload = F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8")
-    rows = docs.select(F.col(key_col).alias("doc_id"), (F.octet_length(payload) + F.lit(8)).cast("long").alias("size"), F.crc32(payload).alias("text_crc32"))
+    rows = docs.select(F.col(f"`{key_col}`").alias("doc_id"), (F.octet_length(payload) + F.lit(8)).cast("long").alias("size"), F.crc32(payload).alias("text_crc32"))
     order = [F.col("doc_id").asc_nulls_first(), F.col("size"), F.col("text_crc32")]
     counted = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("copies"))
     blocks = in_blocks(counted, order, "shard-order")
-    blocks = blocks.withColumn("shard", shard(F.col("doc_id"), shards)).withColumn("grown_shard", shard(F.col("doc_id"), shards + 1))
+    key = long_key(blocks, "doc_id")
+    blocks = blocks.withColumn("shard", shard(key, shards)).withColumn("grown_shard", shard(key, shards + 1))
     ranked = with_running_total(blocks, ["shard"], order, "copies", "before")
     slots = F.explode(F.sequence(F.col("before"), F.col("before") + F.col("copies") - 1))
     return ranked.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", slots.alias("slot"), "grown_shard")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bz2
 import hashlib
 import struct
 import zlib
@@ -21,7 +22,10 @@ TIMESTAMP_SCALE, DURATION, MUXING_APP, WRITING_APP = 0x2AD7B1, 0x4489, 0x4D80, 0
 TRACK_ENTRY, TRACK_NUMBER, TRACK_UID, TRACK_TYPE, CODEC_ID, FLAG_LACING, DEFAULT_DURATION = 0xAE, 0xD7, 0x73C5, 0x83, 0x86, 0x9C, 0x23E383
 AUDIO, SAMPLING_FREQUENCY, CHANNELS, BIT_DEPTH = 0xE1, 0xB5, 0x9F, 0x6264
 CLUSTER_TIMESTAMP, SIMPLE_BLOCK, BLOCK_GROUP, BLOCK, REFERENCE_BLOCK, BLOCK_DURATION = 0xE7, 0xA3, 0xA0, 0xA1, 0xFB, 0x9B
+ENCODINGS, ENCODING, ENCODING_ORDER, ENCODING_SCOPE, ENCODING_TYPE = 0x6D80, 0x6240, 0x5031, 0x5032, 0x5033
+COMPRESSION, COMPRESSION_ALGORITHM, COMPRESSION_SETTINGS = 0x5034, 0x4254, 0x4255
 CUE_POINT, CUE_TIME, CUE_TRACK_POSITIONS, CUE_TRACK, CUE_CLUSTER_POSITION = 0xBB, 0xB3, 0xB7, 0xF7, 0xF1
+COMPRESSIONS = ("zlib", "bzlib", "lzo1x", "header")
 LACINGS = ("none", "xiph", "fixed", "ebml")
 
 FRAME = 192  # samples of a packet: 24 ms at 8 kHz
@@ -40,6 +44,13 @@ class Packet(NamedTuple):
     cluster: int  # byte position of the cluster's element
 
 
+class Encoding(NamedTuple):
+    """How a track's frames are stored; they are decoded in order of the list that a track has of these."""
+
+    kind: str  # one of COMPRESSIONS, "encrypted" or "unknown"
+    header: bytes  # the bytes that "header" left out at the front of each frame
+
+
 def _size(n: int) -> bytes:
     width = next(w for w in range(1, 9) if n < (1 << 7 * w) - 1)  # all ones means unknown
     return (n | 1 << 7 * width).to_bytes(width, "big")
@@ -153,17 +164,55 @@ class Parsed(NamedTuple):
     tracks: list[tuple[int, int, str, float]]  # number, type, codec, sampling frequency
     cues: list[tuple[int, int, int]]  # timestamp, track, byte position of the cluster
     scale: int
+    encodings: dict[int, list[Encoding]]  # of the frames of a track, in order of decoding; only tracks that have some
+
+
+def _encodings(data: bytes, at: int, end: int) -> list[Encoding]:
+    """Those of a ContentEncodings element that cover frames; the last applied is undone first."""
+    found = []
+    for ident, _, a, b in elements(data, at, end):
+        if ident != ENCODING:
+            continue
+        got = {k: data[c:d] for k, _, c, d in elements(data, a, b)}
+        number = lambda of, k, least: int.from_bytes(of[k], "big") if k in of else least
+        if not number(got, ENCODING_SCOPE, 1) & 1:
+            continue
+        how = {k: got[COMPRESSION][c:d] for k, _, c, d in elements(got[COMPRESSION], 0, len(got[COMPRESSION]))} if COMPRESSION in got else {}
+        algorithm = number(how, COMPRESSION_ALGORITHM, 0)
+        kind = "encrypted" if number(got, ENCODING_TYPE, 0) else COMPRESSIONS[algorithm] if algorithm < len(COMPRESSIONS) else "unknown"
+        found.append((number(got, ENCODING_ORDER, 0), Encoding(kind, how.get(COMPRESSION_SETTINGS, b"") if kind == "header" else b"")))
+    return [e for _, e in sorted(found, key=lambda x: -x[0])]
+
+
+def frame(data: bytes | memoryview, packet: Packet, encodings: dict[int, list[Encoding]]) -> bytes | memoryview:
+    """A packet's frame as its codec takes it: the stored bytes with the track's encodings undone.
+
+    Encrypted frames, and those of compressions other than zlib, bzip2 and header stripping, are a ValueError.
+    """
+    out = data[packet.offset : packet.offset + packet.size]
+    for e in encodings.get(packet.track, ()):
+        if e.kind == "header":
+            out = e.header + bytes(out)
+        elif e.kind in ("zlib", "bzlib"):
+            try:
+                out = zlib.decompress(out) if e.kind == "zlib" else bz2.decompress(out)
+            except (zlib.error, OSError) as broken:
+                raise ValueError(f"frame at {packet.offset} is no {e.kind} data") from broken
+        else:
+            raise ValueError(f"frames of track {packet.track} are {e.kind}")
+    return out
 
 
-def parse(data: bytes) -> Parsed:
+def parse(data: bytes, clusters: Callable[[int], bool] | None = None) -> Parsed:
     """Packets in file order, tracks and cues; a file without a segment has none, a broken one is an error.
 
+    ``clusters`` tells by byte position which clusters to read (otherwise all); the others are stepped over by their size.
     A cluster of unknown size ends where the next element of the segment begins. A block's timestamp is that of its first
     frame. Each later frame of a lace follows by its track's default duration, else by its share of the block's duration,
     else, in PCM, by the time that the bytes before it take; where a file tells none of these it repeats the block's.
     """
     uint = lambda a, b: int.from_bytes(data[a:b], "big")
-    out = Parsed([], [], [], 1_000_000)
+    out = Parsed([], [], [], 1_000_000, {})
     scale, top_level = out.scale, {INFO, TRACKS, CLUSTER, CUES}
     laces: list[tuple[int, int, int]] = []  # first packet, number of packets, duration of the block (0: not told)
     default: dict[int, int] = {}  # by track: nanoseconds of a frame
@@ -188,6 +237,8 @@ def parse(data: bytes) -> Parsed:
         while todo:
             for ident, pos, a, b in todo[-1]:
                 if ident == CLUSTER:
+                    if clusters is not None and not clusters(pos) and vint(data, vint(data, pos, True)[1])[0] >= 0:
+                        continue
                     cluster = (pos, 0)
                     todo.append(elements(data, a, b))
                     break
@@ -212,6 +263,8 @@ def parse(data: bytes) -> Parsed:
                                 codec = data[slice(*got[CODEC_ID])].decode("ascii", "replace") if CODEC_ID in got else ""
                                 default[number(TRACK_NUMBER)] = number(DEFAULT_DURATION)
                                 byte_rate[number(TRACK_NUMBER)] = rate * number(CHANNELS, sound, 1) * number(BIT_DEPTH, sound) / 8 if codec.startswith("A_PCM/") else 0.0
+                                if ENCODINGS in got and (how := _encodings(data, *got[ENCODINGS])):
+                                    out.encodings[number(TRACK_NUMBER)] = how
                                 out.tracks.append((number(TRACK_NUMBER), number(TRACK_TYPE), codec, rate))
                     elif ident == CUES:
                         for i, _, c, d in elements(data, a, b):
@@ -239,6 +292,27 @@ def parse(data: bytes) -> Parsed:
     return out._replace(scale=scale)
 
 
+def between(data: bytes, start_ms: int, end_ms: int) -> Parsed:
+    """``parse`` of the packets with ``start_ms`` <= timestamp < ``end_ms``, from the clusters that the cues point to.
+
+    Reading begins at each track's last cue at or before the start (all clusters before it are stepped over) and ends
+    where a cue lies so far past the end that no block of its cluster reaches back: their times lie within 65,536 units. So packets before the cue that a track's entry is at, told out of order, aren't looked for. A file
+    without cues, or a track of packets without any, is read from its first cluster.
+    """
+    index = parse(data, lambda _: False)
+    unit = lambda ms: -(-ms * 1_000_000 // index.scale)
+    first: dict[int, int] = {t[0]: 0 for t in index.tracks}
+    last = len(data)
+    for time, track, place in sorted(index.cues):
+        if time <= unit(start_ms):
+            first[track] = max(first.get(track, 0), place)
+        if time - (1 << 16) >= unit(end_ms):
+            last = min(last, place)
+    begin = min(first.values(), default=0)
+    found = parse(data, lambda at: begin <= at < last)
+    return found._replace(packets=[p for p in found.packets if unit(start_ms) <= p.timestamp < unit(end_ms)])
+
+
 def store(docs: DataFrame, text_col: str = "text", media_col: str = "media") -> DataFrame:
     """``docs`` with its text replaced by ``media_col`` binary and n_bytes long: see ``payload``.
 
@@ -265,11 +339,12 @@ def payload(data: bytes) -> bytes:
 
 
 _PACKETS = "track int, timestamp long, byte_offset long, byte_size long, keyframe boolean, lacing string, block_offset long, cluster_offset long"
-_TRACKS = "track int, kind int, codec string, sampling_frequency double"
+_TRACKS = "track int, kind int, codec string, sampling_frequency double, encodings string"
+_FRAMES = f"{_PACKETS}, frame binary"
 _CUES = "timestamp long, track int, cluster_offset long"
 
 
-def _rows(files: DataFrame, id_cols: list[str], media_col: str, errors: str, ddl: str, found: Callable[[Parsed], list[tuple]]) -> DataFrame:
+def _rows(files: DataFrame, id_cols: list[str], media_col: str, errors: str, ddl: str, found: Callable[[bytes], list[tuple]]) -> DataFrame:
     """A row per tuple that ``found`` makes of a file: ``id_cols`` and the columns of ``ddl``.
 
     Null files have none. A broken file is an error, or with ``errors="skip"`` has none.
@@ -281,7 +356,7 @@ def _rows(files: DataFrame, id_cols: list[str], media_col: str, errors: str, ddl
         for batch in batches:
             for row in range(batch.num_rows):
                 try:
-                    rows = found(parse(batch.column(batch.num_columns - 1)[row].as_py() or b""))
+                    rows = found(batch.column(batch.num_columns - 1)[row].as_py() or b"")
                 except (ValueError, IndexError, struct.error):
                     if errors == "raise":
                         raise
@@ -296,23 +371,42 @@ def _rows(files: DataFrame, id_cols: list[str], media_col: str, errors: str, ddl
 
 def packets(files: DataFrame, id_cols: list[str], media_col: str = "media", errors: str = "raise") -> DataFrame:
     """A row per packet: ``id_cols``, track, timestamp (ms), byte range, keyframe, lacing, block and cluster positions; see ``_rows``."""
-    return _rows(files, id_cols, media_col, errors, _PACKETS, lambda p: [x._replace(timestamp=x.timestamp * p.scale // 1_000_000) for x in p.packets])
+    return _rows(files, id_cols, media_col, errors, _PACKETS, lambda data: [x._replace(timestamp=x.timestamp * p.scale // 1_000_000) for p in [parse(data)] for x in p.packets])
+
+
+def frames(files: DataFrame, id_cols: list[str], start_ms: int, end_ms: int, media_col: str = "media", errors: str = "raise") -> DataFrame:
+    """The rows of ``packets`` from ``start_ms`` until before ``end_ms``, found by ``between``, with frame binary: see ``frame``."""
+
+    def found(data: bytes) -> list[tuple]:
+        p = between(data, start_ms, end_ms)
+        return [(*x._replace(timestamp=x.timestamp * p.scale // 1_000_000), bytes(frame(data, x, p.encodings))) for x in p.packets]
+
+    return _rows(files, id_cols, media_col, errors, _FRAMES, found)
 
 
 def tracks(files: DataFrame, id_cols: list[str], media_col: str = "media", errors: str = "raise") -> DataFrame:
-    """A row per track: ``id_cols``, its number, kind (1 video, 2 audio), codec and sampling frequency; see ``_rows``."""
-    return _rows(files, id_cols, media_col, errors, _TRACKS, lambda p: p.tracks)
+    """A row per track: ``id_cols``, its number, kind (1 video, 2 audio), codec, sampling frequency and encodings; see ``_rows``.
+
+    Encodings name what ``frame`` undoes, in its order, split by commas; "header" has the stripped bytes behind a colon.
+    """
+
+    def found(data: bytes) -> list[tuple]:
+        p = parse(data, lambda _: False)
+        told = lambda n: ",".join(f"{e.kind}:{e.header.hex()}" if e.kind == "header" else e.kind for e in p.encodings.get(n, ()))
+        return [(*t, told(t[0])) for t in p.tracks]
+
+    return _rows(files, id_cols, media_col, errors, _TRACKS, found)
 
 
 def cues(files: DataFrame, id_cols: list[str], media_col: str = "media", errors: str = "raise") -> DataFrame:
     """A row per cue: ``id_cols``, timestamp (ms), track and the byte position of its cluster; see ``_rows``."""
-    return _rows(files, id_cols, media_col, errors, _CUES, lambda p: [(t * p.scale // 1_000_000, *rest) for t, *rest in p.cues])
+    return _rows(files, id_cols, media_col, errors, _CUES, lambda data: [(t * p.scale // 1_000_000, *rest) for p in [parse(data, lambda _: False)] for t, *rest in p.cues])
 
 
 def digests(files: DataFrame, media_col: str = "media") -> DataFrame:
     """``files`` without the media, with payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature.
 
-    The payload is read back from the packets' byte ranges. The feature counts packets, clusters, laced packets and
+    The payload is read back from the packets' byte ranges, with the encodings of their tracks undone. The feature counts packets, clusters, laced packets and
     cues that point at a cluster, and holds the last timestamp, the sum and the sum of squares of the samples. A row per
     row, repeats included; null files are files of no bytes, broken ones an error; an empty table stays empty. Columns
     that already bear the new names are replaced.
@@ -328,7 +422,7 @@ def digests(files: DataFrame, media_col: str = "media") -> DataFrame:
                 data = media.as_py() or b""
                 parsed = parse(data)
                 view = memoryview(data)
-                back = b"".join([view[p.offset : p.offset + p.size] for p in parsed.packets])
+                back = b"".join([frame(view, p, parsed.encodings) for p in parsed.packets])
                 samples = np.frombuffer(back, np.uint8)
                 places = {p.cluster for p in parsed.packets}
                 laced = sum(p.lacing != "none" for p in parsed.packets)

@@ -2,6 +2,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from siftline.llm import jump_hash
@@ -46,3 +47,16 @@ def test_edge_cases(spark):
     docs = spark.createDataFrame([(*r, "z", 1) for r in rows], "doc_id long, text string, shard string, slot int").repartition(4)
     assert Counter(map(tuple, jump_hash.place(docs, 24).collect())) == brute(rows, 24)
     assert jump_hash.place(docs.filter(F.lit(False)), 24).count() == 0
+
+
+def test_keys_that_are_no_numbers(spark):
+    """Text keys, numerals too, are hashed; a number that a key spells is not taken for it."""
+    rows = [(None, "n"), ("", "e"), ("doc-é", "x"), ("17", "y"), ("doc-é", "x")] + [(f"https://a.example/{i}", "t") for i in range(400)]
+    docs = spark.createDataFrame(rows, "`doc.id` string, text string").repartition(3)
+    got = jump_hash.place(docs, 24, key_col="doc.id").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        key = 0 if r.doc_id is None else xxhash.xxh64_intdigest(r.doc_id.encode(), seed=42)
+        assert (r.shard, r.grown_shard) == (walk(key, 24), walk(key, 25))
+    for s in range(24):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))

@@ -1,3 +1,4 @@
+import bz2
 import hashlib
 import random
 import struct
@@ -54,6 +55,52 @@ def test_times_within_laces():
     assert times(b"A_OPUS") == [105] * 4
 
 
+def encoded(frame: bytes, *encodings: bytes) -> bytes:
+    track = M.element(M.TRACK_ENTRY, M._uint(M.TRACK_NUMBER, 1) + M.element(M.CODEC_ID, b"A_MPEG/L3") + M.element(M.ENCODINGS, b"".join(M.element(M.ENCODING, e) for e in encodings)))
+    block = M.element(M.SIMPLE_BLOCK, bytes([0x81]) + struct.pack(">hB", 0, 0x80) + frame)
+    return M.element(M.SEGMENT, M.element(M.TRACKS, track) + M.element(M.CLUSTER, M._uint(M.CLUSTER_TIMESTAMP, 0) + block))
+
+
+def compression(algorithm: int, settings: bytes = b"", order: int = 0, scope: int = 1) -> bytes:
+    return M._uint(M.ENCODING_ORDER, order) + M._uint(M.ENCODING_SCOPE, scope) + M.element(M.COMPRESSION, M._uint(M.COMPRESSION_ALGORITHM, algorithm) + M.element(M.COMPRESSION_SETTINGS, settings))
+
+
+def test_content_encodings(spark):
+    """Stripped headers come back, compressions are undone last first, private data's alone don't touch frames."""
+    files = {
+        "header:fffb": encoded(b"abcd", compression(3, b"\xff\xfb")),
+        "zlib": encoded(zlib.compress(b"\xff\xfbabcd"), compression(0)),
+        "bzlib,header:ff": encoded(bz2.compress(b"\xfbabcd"), compression(3, b"\xff"), compression(1, order=1)),
+        "": encoded(b"\xff\xfbabcd", compression(0, scope=2)),
+    }
+    table = spark.createDataFrame([(k, v, 1) for k, v in files.items()], "name string, media binary, frame int")
+    assert {r.name: r.encodings for r in M.tracks(table, ["name"]).collect()} == {k: k for k in files}
+    assert {bytes(r.frame) for r in M.frames(table, ["name"], 0, 10).collect()} == {b"\xff\xfbabcd"}
+    assert {r.payload_sha256 for r in M.digests(table).collect()} == {hashlib.sha256(b"\xff\xfbabcd").hexdigest()}
+    for bad in (encoded(b"abcd", M._uint(M.ENCODING_TYPE, 1)), encoded(b"abcd", compression(2)), encoded(b"abcd", compression(0))):
+        parsed = M.parse(bad)
+        with pytest.raises(ValueError):
+            M.frame(bad, parsed.packets[0], parsed.encodings)
+        broken = spark.createDataFrame([(1, bad)], "name int, media binary")
+        assert M.packets(broken, ["name"]).count() == 1 and M.frames(broken, ["name"], 0, 10, errors="skip").count() == 0
+
+
+def test_seeking_by_cues():
+    """A range read from the clusters that cues point to holds what a whole parse does, and reads less."""
+    data = M.mux(random.Random(5).randbytes(192 * 40_000))
+    whole = M.parse(data)
+    end = whole.packets[-1].timestamp + 24
+    for start, stop in ((0, 1), (0, end), (500_000, 500_100), (501_233, 511_234), (end - 24, end), (end, end + 5), (30, 30)):
+        part = M.between(data, start, stop)
+        assert part.packets == [p for p in whole.packets if start <= p.timestamp < stop]
+    read = []
+    seek = M.parse(data, lambda at: read.append(at) or False)
+    assert not seek.packets and seek.cues == whole.cues and len(read) == len(whole.cues)
+    without = M.element(M.SEGMENT, M.element(M.CLUSTER, M._uint(M.CLUSTER_TIMESTAMP, 7) + M.element(M.SIMPLE_BLOCK, b"\x81\0\0\x80x")))
+    assert [p.timestamp for p in M.between(without, 7, 8).packets] == [7]
+    assert M.between(b"", 0, 9).packets == []
+
+
 def test_documents_and_edge_cases(spark):
     texts = [None, "", "x", "é" * 96, "z" * 193, "long 漢 " * 200_000, "x"]
     texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
@@ -73,6 +120,6 @@ def test_documents_and_edge_cases(spark):
     assert M.packets(files.selectExpr("doc_id", "cast('junk' as binary) AS media"), ["doc_id"], errors="skip").count() == 0
     assert M.digests(M.store(docs.limit(0))).count() == 0
     places = {r.cluster_offset for r in table}
-    assert [tuple(r) for r in M.tracks(files.filter("doc_id = 2"), ["doc_id"]).collect()] == [(2, 1, 2, "A_PCM/INT/LIT", 8000.0)]
+    assert [tuple(r) for r in M.tracks(files.filter("doc_id = 2"), ["doc_id"]).collect()] == [(2, 1, 2, "A_PCM/INT/LIT", 8000.0, "")]
     found = M.cues(files.filter("doc_id = 5"), ["doc_id"]).collect()
     assert {r.cluster_offset for r in found} == places and [r.timestamp for r in found] == sorted({min(p.timestamp for p in table if p.cluster_offset == c) for c in places})
