@@ -114,13 +114,13 @@ def _doc_pairs(texts: pa.Array, words: np.ndarray, ranks: np.ndarray) -> Iterato
         yield first, doc, context, target
 
 
-def _pack(shipped, hot_table, ids: list[int]):
+def _pack(shipped, hot_table, buckets: int):
     """Rows of ``_PACKED``: per chunk of documents, bucket and side the pairs of its documents with their own counts."""
 
     def rows(side: int, group: np.ndarray, key: np.ndarray, **columns: np.ndarray) -> Iterator[pa.RecordBatch]:
         if not len(key):
             return
-        bucket = (mix(group.view(np.uint64)) % np.uint64(len(ids))).astype(np.int64)
+        bucket = (mix(group.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         bucket = bucket[order]
         edges = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
@@ -128,7 +128,7 @@ def _pack(shipped, hot_table, ids: list[int]):
         n = len(edges) - 1
         lists = lambda x: pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(x[order]))
         none = lambda t: pa.ListArray.from_arrays(pa.array(np.zeros(n + 1), pa.int32()), pa.array([], t))
-        out = [pa.array(np.array(ids, np.int32)[bucket[edges[:-1]]]), pa.array(np.full(n, side, np.int32)), lists(key)]
+        out = [pa.array(bucket[edges[:-1]].astype(np.int32)), pa.array(np.full(n, side, np.int32)), lists(key)]
         out += [lists(columns[c]) if c in columns else none(t) for c, t in _NONE.items()]
         yield pa.RecordBatch.from_arrays(out, names=["bucket", "side", "key", *_NONE])
 
@@ -196,9 +196,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     known = sc.broadcast((hot, np.pad(counts[:HOT], (0, max(0, HOT - len(counts)))), float(total), len(frequent) + 1))
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # an id for each shuffle partition, so that buckets are dealt evenly
-    ids = [r.id for r in spark.range(40 * parts).groupBy(F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts)).alias("p")).agg(F.min("id").alias("id")).orderBy("p").collect()]
-    packed = rows.select("text", "key").mapInArrow(_pack(ranks, known, ids), _PACKED).repartition("bucket")
+    packed = rows.select("text", "key").mapInArrow(_pack(ranks, known, parts), _PACKED).repartitionById(parts, "bucket")
     each = packed.select("bucket", "side", F.explode(F.arrays_zip("key", "own", "a", "b", "al", "bl", "given")).alias("x")).select("bucket", "side", "x.*")
     wide = lambda code, word: F.coalesce(F.col(code).cast("long") + F.lit(RANKED // 2), F.col(word))
     each = each.select("bucket", "side", "key", "own", wide("a", "al").alias("a"), wide("b", "bl").alias("b"), "given")
