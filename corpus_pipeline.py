@@ -15,22 +15,43 @@ from siftline.sources.tables import read_parquet
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows that importance resampling selects, with all their columns; the others go.
+
+    Rows of the same id and text stay or go together. Null texts count as empty. Without labels of both classes all
+    rows stay.
+    """
     return importance_resampling.keep_selected(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows that the model, trained on the labelled ones among ``docs``, doesn't predict toxic, with all their columns.
+
+    Null, empty and wordless texts score 0 and stay; repeated rows have one score and stay or go together.
+    """
     return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of near copies (five-word shingles, similarity 0.8 or more): the smallest id, nulls last.
+
+    Null, empty and wordless texts are one group; of rows of the same id and text one stays.
+    """
     return near_copies.one_per_group(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows as often as the mix takes them: none to three times each, with all their columns.
+
+    A null source is a source of its own; texts without words have no size and so no part in the mix.
+    """
     return source_mixing.mixed(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row per row: its columns but the text, with counts and hashes of its tokens, decoded bytes and offsets.
+
+    Null texts are empty and have no tokens; columns that bear a result's name give way to it.
+    """
     return byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN)
 
 
