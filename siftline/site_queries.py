@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from siftline.functions import values as V
 from siftline.operators import crawl, enrich, pages
-from siftline.sources import derived
+from siftline.sources import derived, tables
 
 #: Every customer has a site of a page or three, but each sixth has none; what a page says depends on the customer's key.
 SITES = """
@@ -29,7 +29,8 @@ _WITH = f"WITH s AS ({derived.for_duckdb(SITES)})"
 
 
 def _sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    return spark.sql(sql, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("customer", "nation")})
+    customer, nation = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("customer", "nation"))
+    return spark.sql(sql, customer=tables.dealt(customer), nation=nation)
 
 
 def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +61,7 @@ def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
 def crawl_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages that each company's walk reads, in order."""
     starts = _results(spark, sf_dir).select("row_index", F.concat("website", F.lit("/")).alias("start"), F.lit(True).alias("needs_email"), (F.col("phone") == V.MISSING).alias("needs_phone"))
-    return crawl.crawl(starts, crawl.page_facts(pages.parse(site_pages(spark, sf_dir))), keep=_kept)
+    return crawl.crawl(starts, _kept(crawl.page_facts(pages.parse(site_pages(spark, sf_dir)))), keep=_kept)
 
 
 def site_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 FEW_TASKS = 8
 
 
+#: Rows of a table that is dealt out that one task gets at most, about.
+ROWS_A_TASK = 20_000
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, and over more tasks where it is long, however few files or row groups hold it: for short
+    rows that much is made of."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_A_TASK)))
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """The table at ``path``. A small one in few splits is dealt over the cores, where parsing or tokenizing its rows
     would else run in a task or two; a large one has splits enough and is read as it lies."""
