@@ -22,8 +22,10 @@ _OTHER = re.compile("[^a-z0-9]+")
 
 
 def search_key_of(text: str | None) -> str:
-    plain = unicodedata.normalize("NFKD", text or "")
-    return _OTHER.sub(" ", "".join(c for c in plain if not unicodedata.combining(c)).casefold()).strip()
+    text = text or ""
+    if not text.isascii():  # no ASCII character decomposes or combines
+        text = "".join(c for c in unicodedata.normalize("NFKD", text) if c.isascii() or not unicodedata.combining(c))
+    return _OTHER.sub(" ", text.casefold()).strip()
 
 
 @F.pandas_udf(StringType())

@@ -1,7 +1,11 @@
 """Plans whose work is spread and done once, on tables that lie in one file."""
 
-from siftline import site_queries
-from siftline.operators import crawl
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from siftline import queries, site_queries
+from siftline.operators import crawl, pages
 from siftline.sources import tables
 
 SF = "/root/testdata/sf0.01"
@@ -22,3 +26,22 @@ def test_walks_do_not_parse_again(spark, monkeypatch):
     monkeypatch.setattr(crawl, "crawl", lambda starts, facts, keep: seen.append(facts))
     site_queries.crawl_pages(spark, SF)
     assert "parsed(" not in plan(seen[0]) and seen[0].count() == site_queries.site_pages(spark, SF).count()
+
+
+def test_parsed_fields_are_handed_on_in_pieces():
+    texts = pd.Series([None, "a" * 10, "b" * pages.HTML_AT_ONCE, "", "c"])
+    runs = list(pages.html_runs(texts))
+    assert [(r.start, r.stop) for r in runs] == [(0, 3), (3, 5)] and not list(pages.html_runs(texts[:0]))
+    many = pd.Series(["x" * 1000] * 5000)
+    assert max(many.iloc[r].str.len().sum() for r in pages.html_runs(many)) <= pages.HTML_AT_ONCE + 1000
+
+
+@pytest.mark.parametrize("name", ["page_links", "link_region", "link_keywords", "page_text"])
+def test_pages_are_parsed_once(spark, name):
+    assert plan(queries.QUERIES[name].run(spark, SF)).count("ArrowEvalPython [parsed(") == 1
+
+
+def test_pieces_keep_rows_together(spark, monkeypatch):
+    rows = [(i, f"https://h/{i}", f"<p>text {i}</p>" + "x" * 3000 * (i % 7)) for i in range(1500)]
+    got = pages.parse(spark.createDataFrame(rows, "id int, url string, html string").coalesce(1)).select("id", F.split("text", "\n")[0].alias("t")).collect()
+    assert len(got) == 1500 and all(r.t == f"text {r.id}" for r in got)
