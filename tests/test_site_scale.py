@@ -45,3 +45,7 @@ def test_pieces_keep_rows_together(spark, monkeypatch):
     rows = [(i, f"https://h/{i}", f"<p>text {i}</p>" + "x" * 3000 * (i % 7)) for i in range(1500)]
     got = pages.parse(spark.createDataFrame(rows, "id int, url string, html string").coalesce(1)).select("id", F.split("text", "\n")[0].alias("t")).collect()
     assert len(got) == 1500 and all(r.t == f"text {r.id}" for r in got)
+
+
+def test_json_ld_pages_are_parsed_once(spark):
+    assert plan(site_queries.json_ld_records(spark, SF)).count("ArrowEvalPython [parsed(") == 1
