@@ -49,3 +49,16 @@ def test_pieces_keep_rows_together(spark, monkeypatch):
 
 def test_json_ld_pages_are_parsed_once(spark):
     assert plan(site_queries.json_ld_records(spark, SF)).count("ArrowEvalPython [parsed(") == 1
+
+
+def test_candidates_are_brought_into_form_once(spark):
+    parsed = spark.createDataFrame([], f"id int, {pages.PARSED}")
+    tests = [line for line in pages.candidates(parsed, ["id"])._jdf.queryExecution().optimizedPlan().toString().splitlines() if line.strip(" :+-").startswith("Filter")]
+    assert tests and not any("regexp_replace" in line for line in tests)
+
+
+def test_invalid_and_reversed_candidates(spark):
+    page = {"id": 1} | pages.parse_page("https://a.fr", "<a href='mailto:rf.a%40tcatnoc'>m</a><a href='mailto:nobody'>x</a><a href='mailto:none@b..fr'>y</a><a href='tel:12'>z</a><p>04 22 33 44 55 Info@A.fr info@a.fr</p>")
+    parsed = spark.createDataFrame([tuple(page.values())], f"id int, {pages.PARSED}")
+    got = {(r.field, r.value, r.method) for r in pages.candidates(parsed, ["id"]).collect()}
+    assert got == {("email", "contact@a.fr", "reversed_mailto"), ("email", "info@a.fr", "visible_text"), ("phone", "04 22 33 44 55", "visible_text")}
